@@ -15,7 +15,11 @@ from docketry.operators.lookups import Lookup, build_keys
 
 AS_OF = date(2004, 1, 1)
 TRAIN_UNTIL, VALIDATE_UNTIL = 1998, 2000
-FILE_YEARS = range(1990, 2005)
+FILE_YEARS = range(1993, 2012)
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -197,7 +197,97 @@ _QUALITY = (
 _MESSAGE_ROWS = from_messages("SELECT * FROM messages")
 _CLEANED_ROWS = from_cleaned("SELECT * FROM cleaned")
 
+# The columns of the given tables, for the profile.
+TABLE_COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+_MESSAGE_COLUMNS = (
+    "ddl_case_id state_code dist_code court_no judge_position type_name purpose_name disp_name "
+    "date_of_filing date_of_decision date_first_list date_last_list date_next_list "
+    "female_petitioner female_defendant"
+)
+
+
+def _profile() -> str:
+    parts = []
+    for table, columns in {**TABLE_COLUMNS, "messages": _MESSAGE_COLUMNS}.items():
+        names = columns.split()
+        parts += [
+            f"SELECT '{table}' AS table_name, count(*) AS row_count, {len(names)} AS column_count, "
+            f"{i} AS position, '{c}' AS column_name, count(*) - count({c}) AS nulls FROM {table}"
+            for i, c in enumerate(names)
+        ]
+    return from_messages(" UNION ALL ".join(parts))
+
+
+_FILE_YEAR = (
+    "CAST(CASE WHEN date_of_filing LIKE '__/%' THEN substr(date_of_filing, 7, 4) "
+    "ELSE substr(date_of_filing, 1, 4) END AS INT)"
+)
+_FILES = from_messages(
+    "SELECT "
+    + ", ".join(f"coalesce({c}, '') AS {c}" for c in _MESSAGE_COLUMNS.split())
+    + f", {_FILE_YEAR} AS file_year FROM messages"
+)
+_RAW = """
+raw AS (
+  SELECT * REPLACE (nullif(date_of_decision, '') AS date_of_decision),
+    try_cast(date_of_filing AS DATE) AS filing_date_parsed,
+    try_cast(date_of_decision AS DATE) AS decision_date_parsed FROM messages)
+"""
+_IS_RESOLVED = (
+    "(decision_date_parsed >= filing_date_parsed AND try_cast(state_code AS INT) > 0 "
+    "AND try_cast(disp_name AS INT) > 0)"
+)
+_IS_PENDING = (
+    "(date_of_decision IS NULL AND filing_date_parsed IS NOT NULL AND try_cast(state_code AS INT) > 0)"
+)
+
+
+def from_raw(sql: str) -> str:
+    return f"WITH {MESSAGES}, {_RAW} {sql}"
+
+
+def _sizes() -> str:
+    parts = []
+    for name, sql in SUMMARIES.items():
+        total = "case_age_days" if name == "oldest_pending_cases" else "total_cases"
+        parts.append(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum({total}) AS BIGINT) AS total "
+            f"FROM ({sql})"
+        )
+    return " UNION ALL ".join(parts)
+
+
 CLEANING = {
+    "read_yearly_csv": _FILES,
+    "published_per_year": f"SELECT file_year, count(*) AS published FROM ({_FILES}) GROUP BY file_year",
+    "all_summaries": _sizes(),
+    "export_summaries": _sizes(),
+    "resolved_pool": from_raw(
+        "SELECT *, CAST(date_diff('day', filing_date_parsed, decision_date_parsed) AS INT) AS duration_days "
+        f"FROM raw WHERE {_IS_RESOLVED}"
+    ),
+    "pending_pool": from_raw(f"SELECT * FROM raw WHERE {_IS_PENDING}"),
+    "cleaning_profile": from_raw(
+        f"SELECT count(*) AS raw_rows, count(*) FILTER ({_IS_RESOLVED}) AS resolved_rows, "
+        f"count(*) FILTER ({_IS_PENDING}) AS pending_rows FROM raw"
+    ),
+    "profile_tables": _profile(),
+    "profile_first_row": from_messages("SELECT * FROM messages ORDER BY ddl_case_id LIMIT 1"),
     "json_roundtrip": _MESSAGE_ROWS,
     "publish_cases": _MESSAGE_ROWS,
     "dedupe_keys": (

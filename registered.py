@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import lookups
+from docketry.operators import lookups, profile
 from docketry.plans import cleaning, summaries
+from docketry.sources import files, sinks, testdata
 from docketry.sources import messages as msg
-from docketry.sources import testdata
 from docketry.sources.workspace import new_folder
+from docketry.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,8 +91,117 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.run_counters(cleaned(spark, sf_dir))
 
 
+def case_files(spark: SparkSession, sf_dir: str) -> str:
+    """The messages as CSV, one folder per year found in the text of the filing date."""
+    folder = new_folder(spark, "csv")
+    filed = F.col("date_of_filing")
+    year = F.coalesce(F.substring(filed, 1, 4).try_cast("int"), F.substring(filed, 7, 4).try_cast("int"))
+    rows = testdata.case_messages(spark, sf_dir).withColumn("file_year", year)
+    rows.write.partitionBy("file_year").options(**files.CSV).csv(folder)
+    return folder
+
+
+def read_yearly_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = case_files(spark, sf_dir)
+    return files.read_yearly_csv(spark, folder, testdata.FILE_YEARS, "file_year={year}")
+
+
+def published_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.published_per_year(read_yearly_csv(spark, sf_dir))
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Publish all messages, then drain them in about three micro-batches."""
+    folder = new_folder(spark, "ingest")
+    msg.publish_to_files(testdata.case_messages(spark, sf_dir), f"{folder}/topic")
+    per_batch = -(-len(spark.read.text(f"{folder}/topic").inputFiles()) // 3)
+    stream = ingest.file_messages(spark, f"{folder}/topic", per_batch)
+    table, quality = f"{folder}/cases_cleaned", f"{folder}/data_quality_log"
+    keys = testdata.case_keys(spark, sf_dir)
+    run = ingest.start_ingest(stream, keys, testdata.AS_OF, table, quality, f"{folder}/checkpoint")
+    run.awaitTermination()
+    return table, quality
+
+
+def stream_cases_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.read_cleaned(spark, ingested(spark, sf_dir)[0])
+
+
+def stream_quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log summed over its batches, whose number depends on the files."""
+    log = ingest.read_quality(spark, ingested(spark, sf_dir)[1])
+    counters = [c for c in log.columns if c != "batch_id"]
+    return log.agg(*[F.sum(c).alias(c) for c in counters])
+
+
+def stored_summaries(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """All summary tables from one scan, written and read back."""
+    folder = new_folder(spark, "summaries")
+    facts = f"{folder}/cases_cleaned"
+    sinks.write_cleaned(cleaned(spark, sf_dir), facts)
+    tables = summaries.all_summaries(sinks.read_cleaned(spark, facts), folder)
+    sinks.write_tables(tables, folder)
+    return folder, sinks.read_tables(spark, folder, summaries.SUMMARY_TABLES)
+
+
+def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table and the sum of its cases (for the oldest cases: of their ages)."""
+    sizes = [
+        frame.agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(
+                F.col("total_cases" if "total_cases" in frame.columns else "case_age_days").cast("bigint")
+            ).alias("total"),
+        )
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+def all_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_sizes(stored_summaries(spark, sf_dir)[1])
+
+
+def export_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all tables as CSV and read the files back."""
+    folder, tables = stored_summaries(spark, sf_dir)
+    sinks.export_summaries(tables, f"{folder}/export")
+    return table_sizes({n: files.read_csv(spark, f"{folder}/export/{n}.csv") for n in tables})
+
+
+def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as a CSV reader gives them to the pools: an empty field is null."""
+    rows = testdata.case_messages(spark, sf_dir)
+    return rows.withColumn("date_of_decision", F.nullif("date_of_decision", F.lit("")))
+
+
+def resolved_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.resolved_pool(raw_cases(spark, sf_dir))
+
+
+def pending_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.pending_pool(raw_cases(spark, sf_dir))
+
+
+def cleaning_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.cleaning_profile(raw_cases(spark, sf_dir))
+
+
+def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All given tables and the case messages, with their columns, sizes and nulls."""
+    frames = {name: testdata.table(spark, sf_dir, name) for name in testdata.TABLES}
+    return profile.profile_tables({**frames, "messages": testdata.case_messages(spark, sf_dir)})
+
+
+def profile_first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.first_row(testdata.case_messages(spark, sf_dir), "ddl_case_id")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "read_yearly_csv": read_yearly_csv,
+        "published_per_year": published_per_year,
         "json_roundtrip": json_roundtrip,
         "publish_cases": publish_cases,
         "dedupe_keys": dedupe_keys,
@@ -105,4 +215,13 @@ def queries() -> dict[str, Query]:
         "data_quality": data_quality,
         "run_counters": run_counters,
         **{name: partial(summary, name) for name in summaries.SUMMARY_TABLES},
+        "all_summaries": all_summaries,
+        "export_summaries": export_summaries,
+        "stream_cases_cleaned": stream_cases_cleaned,
+        "stream_quality_log": stream_quality_log,
+        "resolved_pool": resolved_pool,
+        "pending_pool": pending_pool,
+        "cleaning_profile": cleaning_profile,
+        "profile_tables": profile_tables,
+        "profile_first_row": profile_first_row,
     }
