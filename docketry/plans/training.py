@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
+from multiprocessing.pool import ApplyResult, ThreadPool
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -102,25 +104,34 @@ def _named(result: DataFrame, name: str) -> DataFrame:
     return result.select(F.lit(name).alias("model_name"), "*")
 
 
+def _fit(estimators: dict[str, Estimator], rows: DataFrame, pool: ThreadPool) -> dict[str, ApplyResult]:
+    fit = inheritable_thread_target(rows.sparkSession)(lambda estimator: estimator.fit(rows))
+    return {name: pool.apply_async(fit, (estimator,)) for name, estimator in estimators.items()}
+
+
 def fit_all(data: TrainingData, settings: Settings) -> tuple[dict[str, Model], dict[str, Model], DataFrame]:
-    """All fitted models and their comparison on the test rows, one row per model."""
-    balanced = features.with_vector(data.balanced)
-    found: list[DataFrame] = []
-    fitted_classes, fitted_days = {}, {}
-    for name, estimator in classifiers(data.balanced.count(), settings).items():
-        fitted_classes[name] = estimator.fit(balanced)
-        scored = with_score(fitted_classes[name], data.test)
-        found.append(_named(metrics.classification_metrics(scored, "is_resolved", "score", "prediction"), name))
+    """All fitted models and their comparison on the test rows, one row per model.
+
+    Boosting is a long chain of small jobs, so the models are fitted side by side
+    and share the cluster.
+    """
     resolved, resolved_test = (
         features.with_vector(part.filter("is_resolved = 1")) for part in (data.train, data.test)
     )
-    for name, estimator in regressors(settings).items():
-        fitted_days[name] = estimator.fit(resolved)
-        scored = fitted_days[name].transform(resolved_test)
-        result = metrics.regression_metrics(scored, "case_age_days", "prediction")
+    with ThreadPool(6) as pool:
+        class_fits = _fit(classifiers(data.balanced.count(), settings), features.with_vector(data.balanced), pool)
+        day_fits = _fit(regressors(settings), resolved, pool)
+        fitted_classes = {name: fit.get() for name, fit in class_fits.items()}
+        fitted_days = {name: fit.get() for name, fit in day_fits.items()}
+
+    found: list[DataFrame] = []
+    for name, fitted in fitted_classes.items():
+        scored = with_score(fitted, data.test)
+        found.append(_named(metrics.classification_metrics(scored, "is_resolved", "score", "prediction"), name))
+    for name, fitted in fitted_days.items():
+        result = metrics.regression_metrics(fitted.transform(resolved_test), "case_age_days", "prediction")
         found.append(_named(result, f"{name} (Regression)"))
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
-    return fitted_classes, fitted_days, union
+    return fitted_classes, fitted_days, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
 def train_models(
