@@ -21,7 +21,7 @@ def code_to_int(code: Column) -> Column:
 
 def strict_date(text: Column) -> Column:
     """A date only where the text is yyyy-MM-dd and names a real day."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
 def gender(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docketry import model
 from docketry.functions.columns import code_to_int
+from docketry.sources.workspace import stored
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
@@ -57,6 +58,11 @@ def build_keys(raw: dict[str, DataFrame]) -> dict[str, Lookup]:
     return check_sizes(keys)
 
 
+def stored_keys(keys: dict[str, Lookup], folder: str) -> dict[str, Lookup]:
+    """The same keys read from files, for callers that join them many times."""
+    return {name: replace(lk, frame=stored(lk.frame, f"{folder}/{name}")) for name, lk in keys.items()}
+
+
 def _row_bytes(frame: DataFrame) -> Column:
     text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in frame.dtypes if t == "string"]
     return reduce(lambda a, b: a + b, text, F.lit(32 + 16 * len(frame.columns)))

@@ -7,6 +7,7 @@ every grouping in one scan of the fact with GROUPING SETS.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,6 +47,11 @@ def measures() -> dict[str, Column]:
     }
 
 
+def _chosen(names: Iterable[str]) -> list[Column]:
+    known = measures()
+    return [known[name].alias(name) for name in names]
+
+
 WORKLOAD = ["total_cases", "resolved_cases", "pending_cases", "resolution_rate"]
 CLEARANCE = ["total_cases", "resolved_cases", "resolution_rate", "avg_resolution_days"]
 
@@ -99,8 +105,7 @@ def _total_first(frame: DataFrame, by: list[str]) -> DataFrame:
 def finish(grouped: DataFrame, name: str) -> DataFrame:
     """Turn the parts of one grouping into the named summary table."""
     spec = SUMMARIES[name]
-    known = measures()
-    table = grouped.select(*spec.by, *[known[m].alias(m) for m in spec.measures])
+    table = grouped.select(*spec.by, *_chosen(spec.measures))
     if spec.order == "total":
         return _total_first(table, list(spec.by))
     return table.orderBy(spec.order) if spec.order else table
@@ -113,18 +118,14 @@ def _finish_delay(grouped: DataFrame) -> DataFrame:
     return grouped.select("delay_category", F.col("n").alias("total_cases"), share.alias("percentage"))
 
 
-def _finish_trend(grouped: DataFrame, period: str, value: Column) -> DataFrame:
-    known = measures()
-    return grouped.select(
-        F.lit(period).alias("period_type"),
-        value.alias("period_value"),
-        *[known[m].alias(m) for m in WORKLOAD],
-    )
+def _period(kind: str, value: Column) -> Column:
+    return F.struct(F.lit(kind).alias("period_type"), value.alias("period_value"))
 
 
 def _finish_trends(by_year: DataFrame, by_month: DataFrame) -> DataFrame:
-    yearly = _finish_trend(by_year, "yearly", F.col("filing_year").cast("string"))
-    return yearly.unionByName(_finish_trend(by_month, "monthly", F.col("filing_month")))
+    year, month = _period("yearly", F.col("filing_year").cast("string")), _period("monthly", F.col("filing_month"))
+    yearly = by_year.select(year.alias("p"), *_chosen(WORKLOAD)).select("p.*", *WORKLOAD)
+    return yearly.unionByName(by_month.select(month.alias("p"), *_chosen(WORKLOAD)).select("p.*", *WORKLOAD))
 
 
 def _finish_hearing_span(grouped: DataFrame) -> DataFrame:
@@ -160,9 +161,7 @@ def summarise(cases: DataFrame, name: str) -> DataFrame:
     if name == "delay_summary":
         return _finish_delay(_grouped(cases, "delay_category"))
     if name == "time_trends":
-        # One scan: the years are rolled up from the months.
-        months = _grouped(with_month(cases), "filing_year", "filing_month")
-        return _finish_trends(_roll_up(months, "filing_year"), months)
+        return _time_trends(cases)
     if name == "hearing_span_summary":
         return _finish_hearing_span(_grouped(cases, "case_type", "delay_category"))
     if name == "casetype_delay_crosstab":
@@ -172,10 +171,19 @@ def summarise(cases: DataFrame, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def _roll_up(grouped: DataFrame, *by: str) -> DataFrame:
-    added = ["n", "resolved", "age_sum", "age_n", "resolved_age_sum", "resolved_age_n", "span_sum", "span_n"]
-    return grouped.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in added], F.max("span_max").alias("span_max")
+def _time_trends(cases: DataFrame) -> DataFrame:
+    """Both periods from one scan: the few monthly groups are counted towards their month and year."""
+    months = _grouped(with_month(cases), "filing_year", "filing_month")
+    period = F.explode(
+        F.array(
+            _period("yearly", F.col("filing_year").cast("string")), _period("monthly", F.col("filing_month"))
+        )
+    )
+    return (
+        months.select(period.alias("p"), "n", "resolved")
+        .groupBy("p.period_type", "p.period_value")
+        .agg(F.sum("n").alias("n"), F.sum("resolved").alias("resolved"))
+        .select("period_type", "period_value", *_chosen(WORKLOAD))
     )
 
 

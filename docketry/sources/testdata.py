@@ -16,6 +16,7 @@ from docketry.operators.lookups import Lookup, build_keys
 AS_OF = date(2004, 1, 1)
 TRAIN_UNTIL, VALIDATE_UNTIL = 1998, 2000
 FILE_YEARS = range(1993, 2012)
+SEGMENTS = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -33,38 +34,53 @@ def _choose(column: Column, options: dict, otherwise=None) -> Column:
     return rule.otherwise(F.lit(otherwise))
 
 
+def _unique(frame: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One row per key. Catalyst then knows the key is unique and leaves out a
+    left join whose columns a query does not use."""
+    return frame.groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
+
+
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 text columns of a case message, one row per order.
 
-    Customers and hearings are joined without a hint: Catalyst broadcasts the
-    side while its file is small and otherwise sorts and merges, where AQE
-    splits a customer that holds a large share of the orders.
+    The sides are joined without a hint: Catalyst broadcasts a side while its
+    file is small and otherwise sorts and merges, where AQE splits a customer
+    that holds a large share of the orders.
     """
-    orders = table(spark, sf_dir, "orders")
-    places = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select("c_custkey", "c_mktsegment", "n_nationkey", "n_regionkey")
+    # Codes instead of texts keep this aggregation in the hash table.
+    coded = table(spark, sf_dir, "customer").withColumn("segment", _choose(F.col("c_mktsegment"), SEGMENTS))
+    customers = _unique(coded, "c_custkey", "segment", "c_nationkey")
+    nations = _unique(table(spark, sf_dir, "nation"), "n_nationkey", "n_regionkey")
     hearings = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_shipdate").cast("date").alias("first"), F.max("l_shipdate").cast("date").alias("last")
     )
-    o = orders.join(places, F.col("o_custkey") == F.col("c_custkey"), "left")
-    o = o.join(hearings, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # The join with the hearings needs the orders by their key in any case. Doing it
+    # here also spreads the work where the hearings are small enough to be broadcast.
+    o = (
+        table(spark, sf_dir, "orders")
+        .repartition("o_orderkey")
+        .join(hearings, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    )
 
     key, status, first, last = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("first"), F.col("last")
-    segments = {"AUTOMOBILE": "1", "BUILDING": "2", "FURNITURE": "3", "HOUSEHOLD": "4", "MACHINERY": "5"}
+
+    def day(d: Column) -> Column:
+        return d.cast("string")
+
     filing = (
         F.when(key % 101 == 0, "2010-02-30")
         .when(key % 103 == 0, "01/02/1999")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(day(F.col("o_orderdate").cast("date")))
     )
-    day = lambda d: F.date_format(d, "yyyy-MM-dd")
     return o.select(
         F.concat(F.lit("C"), key).alias("ddl_case_id"),
         (F.col("n_regionkey") + 1).cast("string").alias("state_code"),
         (F.col("n_nationkey") + 1).cast("string").alias("dist_code"),
         (F.col("o_custkey") % 7).cast("string").alias("court_no"),
         F.when(key % 11 != 0, F.col("o_orderpriority")).alias("judge_position"),
-        _choose(F.col("c_mktsegment"), segments).alias("type_name"),
+        F.col("segment").cast("string").alias("type_name"),
         F.substring("o_orderpriority", 1, 1).alias("purpose_name"),
         F.when(key % 97 == 0, "x")
         .otherwise(_choose(status, {"F": "1", "O": "2", "P": "3"}))

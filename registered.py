@@ -117,7 +117,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     per_batch = -(-len(spark.read.text(f"{folder}/topic").inputFiles()) // 3)
     stream = ingest.file_messages(spark, f"{folder}/topic", per_batch)
     table, quality = f"{folder}/cases_cleaned", f"{folder}/data_quality_log"
-    keys = testdata.case_keys(spark, sf_dir)
+    keys = lookups.stored_keys(testdata.case_keys(spark, sf_dir), f"{folder}/keys")
     run = ingest.start_ingest(stream, keys, testdata.AS_OF, table, quality, f"{folder}/checkpoint")
     run.awaitTermination()
     return table, quality
