@@ -89,7 +89,6 @@ DELAY_CATEGORIES = ["Fast", "Medium", "Slow", "Stuck"]
 
 # ---- fixed values: publishing, streaming, JDBC ------------------------------
 FILING_YEARS = range(2010, 2019)
-TOPIC = "court_cases_raw"
 KAFKA_PRODUCER = {
     "kafka.acks": "1",
     "kafka.compression.type": "gzip",

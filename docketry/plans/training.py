@@ -5,10 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
-from multiprocessing.pool import ApplyResult, ThreadPool
 from uuid import uuid4
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +18,7 @@ from docketry import model
 from docketry.operators import attribution, features, metrics
 from docketry.operators.balance import smote_balance
 from docketry.operators.sampling import split_cases, yearly_cap
-from docketry.sources.workspace import stored
+from docketry.sources.workspace import side_by_side, stored
 
 REGISTERED = "Gradient Boosting (31 leaves)"
 
@@ -104,33 +102,29 @@ def _named(result: DataFrame, name: str) -> DataFrame:
     return result.select(F.lit(name).alias("model_name"), "*")
 
 
-def _fit(estimators: dict[str, Estimator], rows: DataFrame, pool: ThreadPool) -> dict[str, ApplyResult]:
-    fit = inheritable_thread_target(rows.sparkSession)(lambda estimator: estimator.fit(rows))
-    return {name: pool.apply_async(fit, (estimator,)) for name, estimator in estimators.items()}
-
-
 def fit_all(data: TrainingData, settings: Settings) -> tuple[dict[str, Model], dict[str, Model], DataFrame]:
     """All fitted models and their comparison on the test rows, one row per model.
 
     Boosting is a long chain of small jobs, so the models are fitted side by side
     and share the cluster.
     """
+    balanced = features.with_vector(data.balanced)
     resolved, resolved_test = (
         features.with_vector(part.filter("is_resolved = 1")) for part in (data.train, data.test)
     )
-    with ThreadPool(6) as pool:
-        class_fits = _fit(classifiers(data.balanced.count(), settings), features.with_vector(data.balanced), pool)
-        day_fits = _fit(regressors(settings), resolved, pool)
-        fitted_classes = {name: fit.get() for name, fit in class_fits.items()}
-        fitted_days = {name: fit.get() for name, fit in day_fits.items()}
+    fits = [(n, e, balanced) for n, e in classifiers(data.balanced.count(), settings).items()]
+    fits += [(f"{n} (Regression)", e, resolved) for n, e in regressors(settings).items()]
+    fitted = side_by_side(balanced.sparkSession, lambda fit: (fit[0], fit[1].fit(fit[2])), fits, len(fits))
+    fitted_days = {n: m for n, m in fitted if n.endswith("(Regression)")}
+    fitted_classes = {n: m for n, m in fitted if n not in fitted_days}
 
     found: list[DataFrame] = []
-    for name, fitted in fitted_classes.items():
-        scored = with_score(fitted, data.test)
+    for name, classifier in fitted_classes.items():
+        scored = with_score(classifier, data.test)
         found.append(_named(metrics.classification_metrics(scored, "is_resolved", "score", "prediction"), name))
-    for name, fitted in fitted_days.items():
-        result = metrics.regression_metrics(fitted.transform(resolved_test), "case_age_days", "prediction")
-        found.append(_named(result, f"{name} (Regression)"))
+    for name, regressor in fitted_days.items():
+        result = metrics.regression_metrics(regressor.transform(resolved_test), "case_age_days", "prediction")
+        found.append(_named(result, name))
     return fitted_classes, fitted_days, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
@@ -146,7 +140,7 @@ def train_models(
     comparison = stored(compared, f"{root}/model_comparison")
 
     paths = {"model_path": f"{folder}/classifier", "reg_model_path": f"{folder}/regressor"}
-    classifier, regressor = fitted_classes[REGISTERED], fitted_days[REGISTERED]
+    classifier, regressor = fitted_classes[REGISTERED], fitted_days[f"{REGISTERED} (Regression)"]
     classifier.write().overwrite().save(paths["model_path"])
     regressor.write().overwrite().save(paths["reg_model_path"])
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.operators.lookups import Lookup, build_keys
+from docketry.sources.workspace import new_folder, stored
 
 AS_OF = date(2004, 1, 1)
 TRAIN_UNTIL, VALIDATE_UNTIL = 1998, 2000
@@ -140,8 +141,14 @@ _KEYS: dict[tuple[str, str], dict[str, Lookup]] = {}
 
 
 def case_keys(spark: SparkSession, sf_dir: str) -> dict[str, Lookup]:
-    """The unique keys; their sizes are measured once per session and folder."""
+    """The unique keys; once per session and folder their sizes are measured.
+
+    The purposes come from the large orders table and are stored, so that a query
+    does not look for them again.
+    """
     mark = (spark.sparkContext.applicationId, sf_dir)
     if mark not in _KEYS:
-        _KEYS[mark] = build_keys(raw_keys(spark, sf_dir))
+        raw = raw_keys(spark, sf_dir)
+        raw["purpose"] = stored(raw["purpose"], new_folder(spark, "purposes"))
+        _KEYS[mark] = build_keys(raw)
     return _KEYS[mark]

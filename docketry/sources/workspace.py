@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a new temporary one only in local mode."""
@@ -38,3 +45,9 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return frame.checkpoint()
+
+
+def side_by_side(spark: SparkSession, action: Callable[[T], R], items: Iterable[T], threads: int = 4) -> list[R]:
+    """Run an action for each item with several of their jobs in flight, as small jobs do not fill a cluster."""
+    with ThreadPool(threads) as pool:
+        return pool.map(inheritable_thread_target(spark)(action), list(items), chunksize=1)

@@ -477,5 +477,16 @@ LEARNING = {
 }
 
 
+def _run_sizes() -> str:
+    """The rows of each table of a whole run; the tables of the models have a fixed number of rows."""
+    counts = {name: f"SELECT count(*) FROM ({sql})" for name, sql in SUMMARIES.items()}
+    counts["cases_cleaned"] = f"SELECT count(*) FROM ({_CLEANED_ROWS})"
+    counts["daily_lineup"] = f"SELECT count(*) FROM ({LEARNING['pending_candidates']})"
+    counts["shap_values"] = f"SELECT least(200, count(*)) FROM ({LEARNING['temporal_split']}) WHERE split = 'test'"
+    fixed = {"model_comparison": 6, "feature_importance": 8, "shap_summary": 8, "model_registry": 1}
+    counts.update({name: f"SELECT CAST({n} AS BIGINT)" for name, n in fixed.items()})
+    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, ({sql}) AS row_count" for name, sql in counts.items())
+
+
 def statements() -> dict[str, str]:
-    return {**CLEANING, **SUMMARIES, **LEARNING}
+    return {**CLEANING, **SUMMARIES, **LEARNING, "end_to_end_run": _run_sizes()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docketry import model
 from docketry.operators import balance, features, lookups, metrics, profile, sampling
 from docketry.plans import cleaning, scoring, summaries, training
+from docketry.plans.run import run_all
 from docketry.sources import files, sinks, testdata
 from docketry.sources import messages as msg
 from docketry.sources.workspace import new_folder, stored
@@ -278,29 +279,42 @@ def lineup_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ROOTS: dict[tuple[str, str], str] = {}
 
 
-def trained_root(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of the facts, models and tables; trained once per session and data folder."""
+def whole_run(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of one run over case and key files; done once per session and data folder."""
     mark = (spark.sparkContext.applicationId, sf_dir)
     if mark not in _ROOTS:
-        root = new_folder(spark, "learned")
-        sinks.write_cleaned(cleaned(spark, sf_dir), f"{root}/cases_cleaned")
-        facts = sinks.read_cleaned(spark, f"{root}/cases_cleaned")
-        bounds = training.Settings(testdata.TRAIN_UNTIL, testdata.VALIDATE_UNTIL)
-        training.train_models(facts, root, bounds)
+        root = new_folder(spark, "run")
+        for table, frame in testdata.raw_keys(spark, sf_dir).items():
+            frame.write.options(**files.CSV).csv(f"{root}/keys/{model.KEY_TABLES[table][0]}")
+        run_all(
+            spark, case_files(spark, sf_dir), f"{root}/keys", root, testdata.AS_OF, testdata.FILE_YEARS,
+            "file_year={year}", training.Settings(testdata.TRAIN_UNTIL, testdata.VALIDATE_UNTIL),
+        )
         _ROOTS[mark] = root
     return _ROOTS[mark]
 
 
+def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every table that a whole run leaves behind."""
+    root = whole_run(spark, sf_dir)
+    names = ["cases_cleaned", *summaries.SUMMARY_TABLES, *training.ML_TABLES, "model_registry", "daily_lineup"]
+    sizes = [
+        frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name, frame in sinks.read_tables(spark, root, names).items()
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 def learned(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{trained_root(spark, sf_dir)}/{name}")
+    return spark.read.parquet(f"{whole_run(spark, sf_dir)}/{name}")
 
 
 def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.newest_entry(training.read_registry(spark, trained_root(spark, sf_dir)))
+    return training.newest_entry(training.read_registry(spark, whole_run(spark, sf_dir)))
 
 
 def daily_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = trained_root(spark, sf_dir)
+    root = whole_run(spark, sf_dir)
     entry = training.latest_model(training.read_registry(spark, root))
     return scoring.daily_lineup(sinks.read_cleaned(spark, f"{root}/cases_cleaned"), entry, testdata.AS_OF)
 
@@ -354,6 +368,7 @@ def queries() -> dict[str, Query]:
         "regression_metrics": regression_metrics,
         "pending_candidates": pending_candidates,
         "lineup_outcome": lineup_outcome,
+        "end_to_end_run": end_to_end_run,
         "model_comparison": partial(learned, "model_comparison"),
         "feature_importance": partial(learned, "feature_importance"),
         "shapley_values": partial(learned, "shap_values"),
