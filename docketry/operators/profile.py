@@ -40,9 +40,9 @@ def profile_tables(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(f, n) for n, f in frames.items()])
 
 
-def first_row(frame: DataFrame, *order: str) -> DataFrame:
-    """The sample row: the first in the given order, the same one on each run."""
-    return frame.orderBy(*order).limit(1)
+def first_rows(frame: DataFrame, rows: int, *order: str) -> DataFrame:
+    """The sample rows of a profile: the first in the given order, the same ones on each run."""
+    return frame.orderBy(*order).limit(rows)
 
 
 def with_parsed_dates(raw: DataFrame) -> DataFrame:
@@ -90,3 +90,9 @@ def cleaning_profile(raw: DataFrame) -> DataFrame:
         F.count_if(_is_resolved()).alias("resolved_rows"),
         F.count_if(_is_pending()).alias("pending_rows"),
     )
+
+
+def resolved_sample(raw: DataFrame, rows: int = 3) -> DataFrame:
+    """What the resolved pool looks like: a few rows with their parsed dates."""
+    shown = ["ddl_case_id", "filing_date_parsed", "decision_date_parsed", "duration_days"]
+    return first_rows(resolved_pool(raw).select(*shown), rows, "ddl_case_id")

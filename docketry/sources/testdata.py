@@ -35,6 +35,11 @@ def _choose(column: Column, options: dict, otherwise=None) -> Column:
     return rule.otherwise(F.lit(otherwise))
 
 
+def _pick(key: Column, texts: list[str | None]) -> Column:
+    """One of the texts by the remainder of the key."""
+    return F.get(F.array(*[F.lit(t) for t in texts]), (key % len(texts)).cast("int"))
+
+
 def _unique(frame: DataFrame, key: str, *columns: str) -> DataFrame:
     """One row per key. Catalyst then knows the key is unique and leaves out a
     left join whose columns a query does not use."""
@@ -91,10 +96,8 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         day(first).alias("date_first_list"),
         day(last).alias("date_last_list"),
         F.when(status == "O", day(F.date_add(last, 30))).alias("date_next_list"),
-        _choose(key % 5, {0: "1 female", 1: "0 male", 2: "0 male", 3: "-9998 unclear"}).alias(
-            "female_petitioner"
-        ),
-        _choose(key % 4, {0: "1 female", 1: "0 male", 2: "-9999 missing name"}).alias("female_defendant"),
+        _pick(key, ["1 female", "0 male", "0 male", "-9998 unclear", None]).alias("female_petitioner"),
+        _pick(key, ["1 female", "0 male", "-9999 missing name", None]).alias("female_defendant"),
     )
 
 

@@ -16,15 +16,18 @@ R = TypeVar("R")
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a new temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    made = tempfile.mkdtemp(prefix="docketry-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    """The folder named by spark.checkpoint.dir, or the checkpoint folder already set.
+
+    Only in local mode a temporary folder is made where neither is there.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        named = tempfile.mkdtemp(prefix="docketry-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -42,8 +45,9 @@ def stored(frame: DataFrame, path: str, partition_by: list[str] | None = None) -
 def checkpointed(frame: DataFrame) -> DataFrame:
     """A reliable checkpoint: rows and their partitions are fixed from here on."""
     spark = frame.sparkSession
+    root = shared_root(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+        spark.sparkContext.setCheckpointDir(root)
     return frame.checkpoint()
 
 

@@ -281,6 +281,11 @@ CLEANING = {
         "SELECT *, CAST(date_diff('day', filing_date_parsed, decision_date_parsed) AS INT) AS duration_days "
         f"FROM raw WHERE {_IS_RESOLVED}"
     ),
+    "resolved_sample": from_raw(
+        "SELECT ddl_case_id, filing_date_parsed, decision_date_parsed, "
+        "CAST(date_diff('day', filing_date_parsed, decision_date_parsed) AS INT) AS duration_days "
+        f"FROM raw WHERE {_IS_RESOLVED} ORDER BY ddl_case_id LIMIT 3"
+    ),
     "pending_pool": from_raw(f"SELECT * FROM raw WHERE {_IS_PENDING}"),
     "cleaning_profile": from_raw(
         f"SELECT count(*) AS raw_rows, count(*) FILTER ({_IS_RESOLVED}) AS resolved_rows, "

@@ -189,6 +189,10 @@ def cleaning_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.cleaning_profile(raw_cases(spark, sf_dir))
 
 
+def resolved_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.resolved_sample(raw_cases(spark, sf_dir))
+
+
 def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All given tables and the case messages, with their columns, sizes and nulls."""
     frames = {name: testdata.table(spark, sf_dir, name) for name in testdata.TABLES}
@@ -196,7 +200,7 @@ def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.first_row(testdata.case_messages(spark, sf_dir), "ddl_case_id")
+    return profile.first_rows(testdata.case_messages(spark, sf_dir), 1, "ddl_case_id")
 
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +358,7 @@ def queries() -> dict[str, Query]:
         "resolved_pool": resolved_pool,
         "pending_pool": pending_pool,
         "cleaning_profile": cleaning_profile,
+        "resolved_sample": resolved_sample,
         "profile_tables": profile_tables,
         "profile_first_row": profile_first_row,
         "temporal_split": temporal_split,
