@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from docketry import model
 from docketry.sources.workspace import stored
 
+
 def parts() -> list[Column]:
     """Sums and counts that every measure is made of; all combine before the shuffle."""
     resolved_age = F.when(F.col("is_resolved") == 1, F.col("case_age_days"))
@@ -32,6 +33,11 @@ def parts() -> list[Column]:
     ]
 
 
+PARTS = [
+    "n", "resolved", "age_sum", "age_n", "resolved_age_sum", "resolved_age_n", "span_sum", "span_n", "span_max",
+]
+
+
 def _mean(total: str, rows: str) -> Column:
     return F.round(F.try_divide(F.col(total), F.col(rows)), 0)
 
@@ -214,20 +220,16 @@ def run_counters(cases: DataFrame) -> DataFrame:
     return counted.withColumn("pending_cases", F.col("total_cases") - F.col("resolved_cases"))
 
 
+# The groupings that are taken from the fact; all others are rolled up from one of these.
+# Genders have three values each, so that going with the months they make few groups.
 GROUPINGS = [
-    ("filing_year",),
-    ("filing_month",),
-    ("state_name",),
+    ("filing_year", "filing_month", "petitioner_gender", "defendant_gender"),
     ("state_name", "district_name"),
-    ("case_type",),
     ("case_type", "delay_category"),
-    ("delay_category",),
     ("judge_position",),
-    ("petitioner_gender",),
-    ("defendant_gender",),
     ("disposal_type",),
 ]
-DIMENSIONS = list(dict.fromkeys(c for g in GROUPINGS for c in g))
+DIMENSIONS = [c for grouping in GROUPINGS for c in grouping]
 
 
 def grouping_mark(by: tuple[str, ...]) -> int:
@@ -242,16 +244,23 @@ def summary_groups(cases: DataFrame) -> DataFrame:
     return base.groupingSets(sets, *DIMENSIONS).agg(F.grouping_id().alias("mark"), *parts())
 
 
+def roll_up(groups: DataFrame, *by: str) -> DataFrame:
+    """The parts of a coarser grouping from those of a finer one."""
+    sums = [c for c in PARTS if c != "span_max"]
+    return groups.groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums], F.max("span_max").alias("span_max"))
+
+
 def all_summaries(cases: DataFrame, folder: str) -> dict[str, DataFrame]:
     """The 13 tables from one pass over the fact.
 
     The groups, one row per group and grouping, are written under `folder` and
-    the tables are read from there, so the fact is not scanned again for each.
+    the tables are rolled up from there, so the fact is not scanned again for each.
     """
     groups = stored(summary_groups(cases), f"{folder}/summary_groups", partition_by=["mark"])
 
     def of(*by: str) -> DataFrame:
-        return groups.filter(F.col("mark") == grouping_mark(by))
+        finest = next(g for g in GROUPINGS if set(by) <= set(g))
+        return roll_up(groups.filter(F.col("mark") == grouping_mark(finest)), *by)
 
     tables = {name: finish(of(*spec.by), name) for name, spec in SUMMARIES.items()}
     tables["delay_summary"] = _finish_delay(of("delay_category"))
