@@ -44,6 +44,15 @@ def test_json_keeps_nulls_and_bad_text_gives_nulls(spark):
     assert [r["ddl_case_id"] for r in messages.decode(raw).collect()] == [None, "1"]
 
 
+def test_json_is_parsed_once(spark, sf_dir):
+    from docketry.plans import cleaning
+    from docketry.sources import testdata
+
+    raw = spark.createDataFrame([("{}",)], "value string")
+    cleaned = cleaning.cases_cleaned(messages.decode(raw), testdata.case_keys(spark, sf_dir), testdata.AS_OF)
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_jdbc_options():
     # No database is started here; only the options that Spark is given are checked.
     spark, frame = MagicMock(), MagicMock()
