@@ -7,7 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketry.llm import token_counts
+from docketry.llm import token_counts, token_files
+from docketry.sources.workspace import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +27,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.transform(token_counts.over(512))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_files.index(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_counts": op1_token_counts}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op2_token_files": op2_token_files,
+    }
 
 
 def statements() -> dict[str, str]:
