@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketry.llm import token_counts, token_files
+from docketry.llm import token_counts, token_files, toxicity
 from docketry.sources.workspace import new_folder
 
 
@@ -33,10 +34,21 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index(spark, folder)
 
 
+TOXIC_FROM = 0.7
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int")
+    return toxicity.score(docs, model).withColumn("predicted", predicted)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_token_files": op2_token_files,
+        "op10_toxicity": op10_toxicity,
     }
 
 
