@@ -1,6 +1,6 @@
 """Toxicity scores of whole texts by a linear classifier that is held to equal scores for swapped groups.
 
-The classifier sees which words, and which beginnings of words, a text has. Where a labelled text names a group of people, a copy with that name
+The classifier sees which words, and which beginnings of words, a text has, and how thick they lie in it. Where a labelled text names a group of people, a copy with that name
 swapped for another of its kind, or for a neutral word, is set beside it, and the fit penalises the squared change
 of the margin: a text is not toxic because of whom it mentions.
 
@@ -11,6 +11,7 @@ score from many weak signs.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,18 +64,25 @@ def features_of(word: str) -> list[str]:
     return [word, *["^" + word[:k] for k in BEGINNINGS if k <= len(word)]]
 
 
+def density(count, n_words):
+    """How thick a feature lies in a text: a word in ten counts fully, one in a long text hardly."""
+    return np.log1p(100.0 * count / (n_words + 20.0))
+
+
 @dataclass
 class Model:
-    weights: dict[str, float]
+    """For each feature the weight of being there and the weight of its density."""
+
+    weights: dict[str, tuple[float, float]]
     bias: float
 
     def __post_init__(self) -> None:
         self.known: dict[str, list[str]] = {}
 
-    def __getstate__(self) -> tuple[dict[str, float], float]:
+    def __getstate__(self) -> tuple[dict[str, tuple[float, float]], float]:
         return self.weights, self.bias
 
-    def __setstate__(self, state: tuple[dict[str, float], float]) -> None:
+    def __setstate__(self, state: tuple[dict[str, tuple[float, float]], float]) -> None:
         self.weights, self.bias = state
         self.known = {}
 
@@ -86,9 +94,18 @@ class Model:
         return self.known[word]
 
     def score(self, text: str) -> float:
-        present = {f for w in set(WORD.findall(text.lower())) for f in self.weighted(w)}
-        # In a fixed order, so that equal sets of features give equal sums.
-        margin = self.bias + sum(self.weights[f] for f in sorted(present))
+        words = Counter(WORD.findall(text.lower()))
+        counts: dict[str, int] = {}
+        for word, n in words.items():
+            for f in self.weighted(word):
+                counts[f] = counts.get(f, 0) + n
+        margin = self.bias
+        if counts:
+            total = words.total()
+            # In a fixed order, so that equal words give equal sums.
+            for f, n in sorted(counts.items()):
+                there, thick = self.weights[f]
+                margin += there + thick * float(density(n, total))
         return float(1 / (1 + np.exp(-min(max(margin, -60), 60))))
 
 
@@ -98,17 +115,42 @@ def held_out(id_column: str) -> Column:
 
 
 def features_of_rows(rows: DataFrame) -> DataFrame:
-    """(features, toxic): the different features of each row of (text, toxic)."""
+    """(features, counts, n_words, toxic): the different features of each row of (text, toxic) with their counts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [set(WORD.findall(t.lower())) for t in batch.column("text").to_pylist()]
-            found = [sorted({f for w in ws for f in features_of(w)}) for ws in words]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.string())), batch.column("toxic")], ["features", "toxic"]
-            )
+            names, counts, totals = [], [], []
+            for text in batch.column("text").to_pylist():
+                words = Counter(WORD.findall(text.lower()))
+                found: Counter[str] = Counter()
+                for word, n in words.items():
+                    for f in features_of(word):
+                        found[f] += n
+                names.append(sorted(found))
+                counts.append([found[f] for f in names[-1]])
+                totals.append(words.total())
+            columns = [pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), pa.array(totals, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("toxic")], ["features", "counts", "n_words", "toxic"])
+
+    ddl = "features array<string>, counts array<int>, n_words long, toxic int"
+    return rows.select("text", "toxic").mapInArrow(cut, ddl)
+
+
+def chosen_of_rows(rows: DataFrame, place: dict[str, int]) -> DataFrame:
+    """(toxic, n_words, at, counts): the rows of `features_of_rows` with the places of the chosen features only."""
+    shared = rows.sparkSession.sparkContext.broadcast(place)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, counts = [], []
+            for names, numbers in zip(batch.column("features").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                found = [(shared.value[f], n) for f, n in zip(names, numbers, strict=True) if f in shared.value]
+                at.append([k for k, _ in found])
+                counts.append([n for _, n in found])
+            columns = [batch.column("toxic"), batch.column("n_words"), *[pa.array(x, pa.list_(pa.int32())) for x in (at, counts)]]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "n_words", "at", "counts"])
 
-    return rows.select("text", "toxic").mapInArrow(cut, "features array<string>, toxic int")
+    return rows.mapInArrow(pick, "toxic int, n_words long, at array<int>, counts array<int>")
 
 
 def clear_features(rows: DataFrame, n: int, n_toxic: int, settings: Settings, always: list[str]) -> list[str]:
@@ -153,29 +195,38 @@ def swaps(rows: list[np.ndarray], place: dict[str, int], groups: tuple[tuple[str
 
 
 def fit_weights(
-    rows: list[np.ndarray], labels: np.ndarray, size: int, changed: list[tuple[int, int, float]], settings: Settings
-) -> tuple[np.ndarray, float]:
-    """Logistic regression on present features, with a ridge and the penalty on changes; full batches, so no chance."""
+    rows: list[np.ndarray], thick: list[np.ndarray], labels: np.ndarray, size: int,
+    changed: list[tuple[int, int, float]], settings: Settings,
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Logistic regression on presence and density, with a ridge and the penalty on changes; full batches, no chance.
+
+    A swapped copy has the other word as often, so both weights of the two words enter its penalty.
+    """
     n = len(rows)
     at = np.repeat(np.arange(n), [len(r) for r in rows])
     feature = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+    value = np.concatenate([*thick, np.zeros(0)])
     toxic = max(1.0, labels.sum())
-    weight, bias = np.zeros(size + 1), float(np.log(toxic / max(1.0, n - toxic)))
+    # Presence, density, and a last place for words without a weight.
+    weight, bias = np.zeros((2, size + 1)), float(np.log(toxic / max(1.0, n - toxic)))
     a, b, m = (np.array(x) for x in zip(*changed, strict=True)) if changed else (np.zeros(0, int),) * 3
-    first, second = np.zeros(size + 2), np.zeros(size + 2)
+    first, second = np.zeros(2 * size + 3), np.zeros(2 * size + 3)
     for step in range(1, settings.steps + 1):
-        margin = bias + np.bincount(at, weight[feature], n)
+        margin = bias + np.bincount(at, weight[0][feature] + weight[1][feature] * value, n)
         error = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - labels) / n
-        grad = np.bincount(feature, error[at], size + 1) + settings.ridge * weight
-        push = 2 * settings.counterfactual * m * (weight[a] - weight[b]) / n
-        grad += np.bincount(a, push, size + 1) - np.bincount(b, push, size + 1)
-        grad[size] = 0  # the place of words without a weight
+        grad = settings.ridge * weight
+        grad[0] += np.bincount(feature, error[at], size + 1)
+        grad[1] += np.bincount(feature, error[at] * value, size + 1)
+        for k in (0, 1):
+            push = 2 * settings.counterfactual * m * (weight[k][a] - weight[k][b]) / n
+            grad[k] += np.bincount(a, push, size + 1) - np.bincount(b, push, size + 1)
+        grad[:, size] = 0
         whole = np.append(grad, error.sum())
         first = 0.9 * first + 0.1 * whole
         second = 0.999 * second + 0.001 * whole**2
         move = settings.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        weight, bias = weight - move[:-1], bias - float(move[-1])
-    return weight[:size], bias
+        weight, bias = weight - move[:-1].reshape(2, -1), bias - float(move[-1])
+    return weight[0, :size], weight[1, :size], bias
 
 
 def fit(
@@ -204,13 +255,13 @@ def fit(
     names = clear_features(rows, n, n_toxic, settings, [w for g in groups for w in g])
     place = {w: k for k, w in enumerate(names)}
     # At most fit_rows rows, each with at most the chosen features.
-    kept = rows.select("toxic", F.array_intersect("features", F.lit(names or [""])).alias("features")).collect()
-    kept.sort(key=lambda r: (r.toxic, r.features))
-    present = [np.array([place[w] for w in r.features if w in place], np.int64) for r in kept]
-    weight, bias = fit_weights(
-        present, np.array([r.toxic for r in kept], float), len(names), swaps(present, place, groups), settings
-    )
-    return Model(dict(zip(names, weight.tolist(), strict=True)), bias)
+    kept = chosen_of_rows(rows, place).collect()
+    kept.sort(key=lambda r: (r.toxic, r.n_words, r.at, r.counts))
+    present = [np.array(r.at, np.int64) for r in kept]
+    thick = [density(np.array(r.counts, float), r.n_words) for r in kept]
+    labels_of = np.array([r.toxic for r in kept], float)
+    there, dense, bias = fit_weights(present, thick, labels_of, len(names), swaps(present, place, groups), settings)
+    return Model(dict(zip(names, zip(there.tolist(), dense.tolist(), strict=True), strict=True)), bias)
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:
