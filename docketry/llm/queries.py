@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import mixing, token_counts, token_files, toxicity
+from docketry.llm import mixing, token_counts, token_files, toxicity, vp_search
 from docketry.sources.workspace import new_folder
 
 
@@ -34,6 +34,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index(spark, folder)
 
 
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_token_files": op2_token_files,
+        "op3_vector_search": op3_vector_search,
         "op5_mixing": op5_mixing,
         "op10_toxicity": op10_toxicity,
     }
