@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.llm.bitmap import bit_map, is_set, position
 from docketry.llm.components import components
 from docketry.llm.text import mixed as mixed_bits
 from docketry.llm.text import odd_numbers, runs_of_words, text_slices, with_text, words_of
@@ -36,8 +37,6 @@ GROUPS = 64
 LEAF = 16
 # Classes of a block of a shard.
 BLOCK = 1_024
-# Bits of the map that says which documents' sets are wanted again.
-MAP_BITS = 1 << 26
 
 _FACTORS = odd_numbers(SHINGLE, 11)
 _BAND_FACTORS = odd_numbers(ROWS, 13)
@@ -114,18 +113,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     A map of bits, of fixed size, says which documents to look at; the digests then say which sets are right.
     """
     spark = docs.sparkSession
-    position = F.pmod(F.xxhash64("label"), F.lit(MAP_BITS)) + 1
-    bits = wanted.select(F.bitmap_bucket_number(position).alias("part"), F.bitmap_bit_position(position).alias("bit"))
-    flags = np.zeros(MAP_BITS // 8, np.uint8)
-    for row in bits.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
-        # Parts are numbered from 1 and have 4,096 bytes each: at most MAP_BITS bits in all.
-        flags[(row.part - 1) * 4096 : row.part * 4096] = np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(flags)
+    shared = spark.sparkContext.broadcast(bit_map(wanted, position(F.col("label"))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.column("position").to_numpy()
-            batch = batch.filter(pa.array((shared.value[at >> 3] >> (at & 7)) & 1 == 1))
+            batch = batch.filter(pa.array(is_set(shared.value, at)))
             for _, _, data, offsets in text_slices(batch.column("text")):
                 sets = [s for s in shingle_sets(data, offsets) if len(s)]
                 digests = [digest(s) for s in sets]
@@ -137,8 +130,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["d1", "d2", "shingles"],
                 )
 
-    at = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(MAP_BITS)).alias("position")
-    sets = docs.select("text", at).mapInArrow(cut, "d1 long, d2 long, shingles binary")
+    sets = docs.select("text", position(F.col("doc_id")).alias("position")).mapInArrow(cut, "d1 long, d2 long, shingles binary")
     return sets.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).dropDuplicates(["node"]).select("node", "shingles")
 
 

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import jaccard_join, mixing, token_counts, token_files, toxicity, vp_search
+from docketry.llm import jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
 from docketry.sources.workspace import new_folder
 
 
@@ -42,6 +42,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op3_vector_search": op3_vector_search,
         "op5_mixing": op5_mixing,
+        "op6_decontamination": op6_decontamination,
         "op8_jaccard_join": op8_jaccard_join,
         "op10_toxicity": op10_toxicity,
     }
