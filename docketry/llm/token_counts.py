@@ -31,7 +31,7 @@ SLICE_CHARS = 1 << 21
 
 # How byte-level BPE cuts a text, written for the characters in PLAIN, where re's classes
 # and the Unicode categories of the library agree.
-PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+PIECES = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 PLAIN = r"\t\n\r\x20-\x7e¡-±´-¸º»¿-ɏ‘’“”…"
 NOT_PLAIN = re.compile(f"[^{PLAIN}]")
 

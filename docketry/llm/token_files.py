@@ -12,6 +12,7 @@ A folder of this format has three parts, all written by Spark and so on any stor
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,8 +32,9 @@ from docketry.llm.token_counts import NOT_PLAIN, Encoder, slices
 BLOCK_TOKENS = 1 << 17
 # Blocks that are decoded side by side.
 TOGETHER = 8
-KEPT_WORDS = 400_000
-PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+KEPT_PIECES = 400_000
+# How the tokenizer cuts lower-cased text of the characters that NOT_PLAIN lets pass.
+PIECES = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
 
 BLOCKS_DDL = "part int, block int, doc_ids binary, doc_tokens binary, bits binary, checkpoints binary"
 
@@ -41,7 +43,7 @@ _CODES: dict[bytes, Code] = {}
 
 
 class WordEncoder(Encoder):
-    """Ids of whole texts, word by word where the tokenizer never looks past white space."""
+    """Ids of whole texts, pre-token by pre-token where the tokenizer's cut is known here."""
 
     def __init__(self, definition: str) -> None:
         super().__init__(definition)
@@ -49,49 +51,49 @@ class WordEncoder(Encoder):
         self.size = max(vocabulary.values()) + 1
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         # Only for tokenizers that drop white space, lower-case, and mark the end of each pre-token.
-        self.by_word = '"end_of_word_suffix":"</w>"' in definition.replace('": ', '":') and "Lowercase" in definition
+        self.by_piece = '"end_of_word_suffix":"</w>"' in definition.replace('": ', '":') and "Lowercase" in definition
         self.ends = np.zeros(self.size, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
+        self.ids_of: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode new words: their pre-tokens, each once, in one call of the library."""
-        missing = [w for w in words if w not in self.words]
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pre-tokens, each once, in one call of the library; marks of their ends tell them apart."""
+        if len(self.ids_of) > KEPT_PIECES:
+            self.ids_of = {}
+        missing = sorted(pieces - self.ids_of.keys())
         if not missing:
             return
-        special = [w for w in missing if self.special is not None and self.special.search(w)]
-        whole = set(special)
-        pieces = {w: PIECES.findall(w.lower()) for w in missing if w not in whole}
-        different = sorted(set(chain.from_iterable(pieces.values())))
-        ids = self._ids([" ".join(different)])[0]
+        ids = self._ids([" ".join(missing)])[0]
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(different):
+        if len(stops) == len(missing):
             raw, width = ids.tobytes(), self.kind.itemsize
             places = [0, *(stops * width).tolist()]
-            coded = {p: raw[a:b] for p, a, b in zip(different, places, places[1:], strict=False)}
-            self.words.update((w, b"".join([coded[p] for p in ps])) for w, ps in pieces.items())
+            self.ids_of.update((p, raw[a:b]) for p, a, b in zip(missing, places, places[1:], strict=False))
         else:
-            special = missing
-        if special:
-            self.words.update((w, x.tobytes()) for w, x in zip(special, self._ids(special), strict=True))
+            self.ids_of.update((p, x.tobytes()) for p, x in zip(missing, self._ids(missing), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian numbers of this tokenizer's width."""
-        if not self.by_word:
+        if not self.by_piece:
             return [x.tobytes() for x in self._ids(texts)]
-        plain = [NOT_PLAIN.search(t) is None for t in texts]
-        cut = [t.split() if p else None for t, p in zip(texts, plain, strict=True)]
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
-        self._learn(set(chain.from_iterable(c for c in cut if c is not None)))
-        by_library = iter(self._ids([t for t, p in zip(texts, plain, strict=True) if not p]))
-        get = self.words.__getitem__
-        return [next(by_library).tobytes() if c is None else b"".join(map(get, c)) for c in cut]
+        plain = [NOT_PLAIN.search(t) is None and not (self.special and self.special.search(t)) for t in texts]
+        # Many small strings and no cycles: the collector would only walk over them.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            cut = [PIECES.findall(t.lower()) if p else None for t, p in zip(texts, plain, strict=True)]
+            self._learn(set(chain.from_iterable(c for c in cut if c is not None)))
+            by_library = iter(self._ids([t for t, p in zip(texts, plain, strict=True) if not p]))
+            get = self.ids_of.__getitem__
+            return [next(by_library).tobytes() if c is None else b"".join(map(get, c)) for c in cut]
+        finally:
+            if collects:
+                gc.enable()
 
 
 def encoder(definition: str) -> WordEncoder:
