@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
+from docketry.llm import chunk_dedup, jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
 from docketry.sources.workspace import new_folder
 
 
@@ -46,6 +46,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_vector_search": op3_vector_search,
         "op5_mixing": op5_mixing,
         "op6_decontamination": op6_decontamination,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_jaccard_join": op8_jaccard_join,
         "op10_toxicity": op10_toxicity,
     }

@@ -40,7 +40,7 @@ _STEP_BACK = pow(_STEP, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a fixed odd number and of its inverse modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
         size = max(n, 2 * SLICE_BYTES)
@@ -72,7 +72,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        up, down = _powers(len(self.data) + 1)
+        up, down = powers(len(self.data) + 1)
         run = np.zeros(len(self.data) + 1, _U)
         np.cumsum(_BYTE_VALUES[self.data] * up[: len(self.data)], out=run[1:])
         return mixed((run[self.ends] - run[self.starts]) * down[self.starts])
