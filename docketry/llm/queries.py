@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import chunk_dedup, jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
+from docketry.llm import attention_lm, chunk_dedup, jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
 from docketry.sources.workspace import new_folder
 
 
@@ -54,6 +54,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 TOXIC_FROM = 0.7
 
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_jaccard_join": op8_jaccard_join,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_toxicity": op10_toxicity,
     }
 
