@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import attention_lm, chunk_dedup, jaccard_join, mixing, templates, token_counts, token_files, toxicity, vp_search
+from docketry.llm import attention_lm, chunk_dedup, jaccard_join, mixing, site_quality, templates, token_counts, token_files, toxicity, vp_search
 from docketry.sources.workspace import new_folder
 
 
@@ -38,6 +38,16 @@ def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+GOOD_FROM = 0.5
+
+
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host and its language the path there."""
+    docs = table(spark, sf_dir, "documents")
+    model = site_quality.fit(docs, table(spark, sf_dir, "labels"))
+    return site_quality.score(docs, model).withColumn("predicted", (F.col("score") >= GOOD_FROM).cast("int"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
@@ -73,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_token_files": op2_token_files,
         "op3_vector_search": op3_vector_search,
+        "op4_site_quality": op4_site_quality,
         "op5_mixing": op5_mixing,
         "op6_decontamination": op6_decontamination,
         "op7_substring_dedup": op7_substring_dedup,
