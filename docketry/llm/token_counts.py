@@ -54,6 +54,7 @@ class Encoder:
             and not parts.get("normalizer")
             and not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
         )
+        self.added = [t["content"].encode() for t in added]
         names = sorted((re.escape(t["content"]) for t in added), key=len, reverse=True)
         self.special = re.compile("|".join(names)) if names else None
         self.known: dict[str, int] = {}

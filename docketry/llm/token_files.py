@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.huffman import CHECKPOINT, WIDEST, Code, code_lengths
-from docketry.llm.text import with_text
-from docketry.llm.token_counts import NOT_PLAIN, Encoder, slices
+from docketry.llm.text import Words, text_slices, with_text
+from docketry.llm.token_counts import NOT_PLAIN, Encoder
 
 BLOCK_TOKENS = 1 << 17
 # Blocks that are decoded side by side.
 TOGETHER = 8
-KEPT_PIECES = 400_000
+KEPT_PIECES = 100_000
+# Of these about 50 bytes each are kept.
+KEPT_HASHES = 1_500_000
 # How the tokenizer cuts lower-cased text of the characters that NOT_PLAIN lets pass.
 PIECES = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
 
@@ -56,6 +58,10 @@ class WordEncoder(Encoder):
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
         self.ids_of: dict[str, bytes] = {}
+        # Known pre-tokens by hash, sorted: where their ids begin in the pool and how many there are.
+        self.known = np.zeros(0, np.uint64)
+        self.begin, self.length = np.zeros((2, 0), np.int64)
+        self.pool = np.zeros(0, self.kind)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,6 +102,108 @@ class WordEncoder(Encoder):
                 gc.enable()
 
 
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """As `encode`, for texts that lie one after the other in `data`.
+
+        Texts of ASCII and Latin-1 letters without apostrophes are cut as arrays, and of their pre-tokens only the
+        different ones are looked up; the others go the way of `encode`.
+        """
+        plain = _plain_texts(data, offsets, self.added) if self.by_piece else np.zeros(len(offsets) - 1, bool)
+        out: list[bytes] = [b""] * len(plain)
+        other = np.flatnonzero(~plain)
+        if len(other):
+            base = offsets[0]
+            texts = [data[offsets[k] - base : offsets[k + 1] - base].tobytes().decode() for k in other]
+            for k, ids in zip(other.tolist(), self.encode(texts), strict=True):
+                out[k] = ids
+        if plain.any():
+            sizes = np.diff(offsets)
+            pieces = _pieces(data[np.repeat(plain, sizes)], np.concatenate([[0], np.cumsum(sizes[plain])]))
+            different, first, which = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
+            self._know(different, first, pieces)
+            slots = np.searchsorted(self.known, different)[which]
+            sizes = self.length[slots]
+            ends = np.cumsum(sizes)
+            ids = self.pool[np.repeat(self.begin[slots] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+            raw, bounds = ids.tobytes(), np.concatenate([[0], ends])[pieces.first] * self.kind.itemsize
+            for j, k in enumerate(np.flatnonzero(plain).tolist()):
+                out[k] = raw[bounds[j] : bounds[j + 1]]
+        return out
+
+    def _know(self, hashes: np.ndarray, first: np.ndarray, pieces: Words) -> None:
+        """Encode the pre-tokens that are new; hashes are sorted, first is where each occurs."""
+        if len(self.known) > KEPT_HASHES:
+            self.known, self.begin, self.length, self.pool = (x[:0] for x in (self.known, self.begin, self.length, self.pool))
+        at = np.searchsorted(self.known, hashes)
+        there = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        there[inside] = self.known[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~there)
+        if not len(new):
+            return
+        raw, place = pieces.data.tobytes(), first[new]
+        texts = [raw[a:b].decode() for a, b in zip(pieces.starts[place].tolist(), pieces.ends[place].tolist(), strict=True)]
+        ids = self._ids([" ".join(texts)])[0]
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(texts):
+            each = self._ids(texts)
+            ids, stops = np.concatenate(each), np.cumsum([len(x) for x in each])
+        begin = np.concatenate([[0], stops[:-1]])
+        self.begin = np.insert(self.begin, at[new], begin + len(self.pool))
+        self.length = np.insert(self.length, at[new], stops - begin)
+        self.known = np.insert(self.known, at[new], hashes[new])
+        self.pool = np.concatenate([self.pool, ids])
+
+
+SPACE, LETTER, DIGIT, MARK, ELSE = range(5)
+_KINDS = np.full(256, ELSE, np.uint8)
+_KINDS[[9, 10, 13, 32]] = SPACE
+_KINDS[33:127] = MARK
+_KINDS[48:58] = DIGIT
+_KINDS[[*range(65, 91), *range(97, 123), 195, *range(128, 192)]] = LETTER
+_KINDS[39] = ELSE
+
+
+def _plain_texts(data: np.ndarray, offsets: np.ndarray, added: list[bytes]) -> np.ndarray:
+    """Which texts hold only ASCII without apostrophes and controls, Latin-1 letters, and no special token."""
+    kinds = _KINDS[data]
+    high = data >= 128
+    lead = data == 195
+    # A lead byte C3 and one byte behind it that is a letter of Latin-1, nothing else.
+    bad = kinds == ELSE
+    bad[1:] |= high[1:] & ~lead[1:] & ~lead[:-1]
+    bad[1:] |= lead[:-1] & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    bad[:1] |= high[:1] & ~lead[:1]
+    count = np.concatenate([[0], np.cumsum(bad)])[offsets - offsets[0]]
+    plain = np.diff(count) == 0
+    raw = data.tobytes()
+    for token in added:
+        at = raw.find(token)
+        while at >= 0:
+            plain[np.searchsorted(offsets - offsets[0], at, "right") - 1] = False
+            at = raw.find(token, at + 1)
+    return plain
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The pre-tokens of plain texts, lower-cased: runs of letters, single digits, runs of other marks."""
+    offsets = offsets - offsets[0]
+    kinds = _KINDS[data]
+    begin = np.ones(len(data), bool)
+    begin[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begin[edges] = True
+    starts = np.flatnonzero(begin)
+    ends = np.append(starts[1:], len(data))
+    solid = kinds[starts] != SPACE
+    starts, ends = starts[solid], ends[solid]
+    lowered = np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
+    lead = np.flatnonzero(data[:-1] == 195) + 1
+    upper = lead[(data[lead] >= 0x80) & (data[lead] <= 0x9E)]
+    lowered[upper] |= 32
+    return Words(lowered, starts, ends, starts, np.searchsorted(starts, offsets), offsets)
+
+
 def encoder(definition: str) -> WordEncoder:
     if definition not in _ENCODERS:
         _ENCODERS[definition] = WordEncoder(definition)
@@ -116,13 +224,11 @@ def encoded(docs: DataFrame, definition: str, end_id: int | None, id_column: str
         tool = encoder(shared.value)
         end = b"" if end_id is None else np.array([end_id], tool.kind).tobytes()
         for batch in batches:
-            row = 0
-            for part in slices(batch.column("text").to_pylist()):
-                ids = [x + end for x in tool.encode(part)]
+            for row, stop, data, offsets in text_slices(batch.column("text")):
+                ids = [x + end for x in tool.encode_bytes(data, offsets)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(part)), pa.array(ids, pa.binary())], ["doc_id", "ids"]
+                    [batch.column(0).slice(row, stop - row), pa.array(ids, pa.binary())], ["doc_id", "ids"]
                 )
-                row += len(part)
 
     rows = with_text(docs, F.col(id_column).cast("long").alias("doc_id"))
     return rows.mapInArrow(encode, "doc_id long, ids binary")
