@@ -267,13 +267,13 @@ def classes_of(signed: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of each row.
+    """(doc_id, n_shingles, component_id) of each row.
 
     Words are runs of bytes other than space and 0x09-0x0D with A-Z lower-cased. A set holds the different shingles of
     SHINGLE words; a text with fewer words has one shingle, all of it. A null, empty or blank text has none: it is linked with nothing and
-    its component is its own id. `component_id` is the smallest id that links reach; `n_links` counts the verified
-    links of the row's class that were needed to find it. Rows of one id are told apart by their sets. Null ids stay; a
-    class of null ids only has a null component. Equal rows stay; no rows give no rows; other columns do not matter.
+    its component is its own id. `component_id` is the smallest id that links reach. Rows of one id are told apart by
+    their sets. Null ids stay; a class of null ids only has a null component. Equal rows stay; no rows give no rows;
+    other columns do not matter.
     """
     spark = docs.sparkSession
     rows = with_text(docs, F.col(id_column).cast("long").alias("doc_id"), text=text)
@@ -299,17 +299,14 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     more = other_links(shared.filter("members > 2").select("key", "node"), labels, sets)
     links = stored(star.union(more).distinct(), new_folder(spark, "links"))
     final = stored(components(links), new_folder(spark, "components"))
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named, new_folder(spark, "named"))
     smallest = named.groupBy("component").agg(F.min("label").alias("component_id"))
-    by_class = named.join(smallest, "component").join(ends, "node", "left")
-    by_class = by_class.select("d1", "d2", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    by_class = stored(by_class, new_folder(spark, "by-class"))
+    by_class = stored(named.join(smallest, "component").select("d1", "d2", "component_id"), new_folder(spark, "by-class"))
     out = signed.select("doc_id", "n", "d1", "d2").join(by_class, ["d1", "d2"], "left")
     return out.select(
         F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
 

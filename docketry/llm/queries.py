@@ -93,6 +93,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * both_have >= 75 * (a.n + b.n - both_have)),
+reach(origin, node) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT r.origin, l.y FROM reach r JOIN links l ON l.x = r.node)
+SELECT origin AS doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(node) AS component_id
+FROM reach JOIN sizes ON origin = doc_id GROUP BY origin
+"""
+
+
 def statements() -> dict[str, str]:
     """DuckDB statements for the queries that SQL can express."""
-    return {}
+    return {"op8_jaccard_join": JACCARD_JOIN}
