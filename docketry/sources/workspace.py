@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterable
 from multiprocessing.pool import ThreadPool
+from pathlib import Path
 from typing import TypeVar
 from uuid import uuid4
 
@@ -15,24 +17,49 @@ T = TypeVar("T")
 R = TypeVar("R")
 
 
+_SHIPPED: set[str] = set()
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or the checkpoint folder already set.
+    """The folder named by spark.checkpoint.dir, or the checkpoint folder already set, or else one in the warehouse.
 
-    Only in local mode a temporary folder is made where neither is there.
+    All three are on storage that every executor reaches.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        named = tempfile.mkdtemp(prefix="docketry-")
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_docketry").rstrip("/")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, for the few operations that Spark's readers and writers do not offer."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder path nobody else uses, under the shared root."""
-    return f"{shared_root(spark)}/docketry/{name}-{uuid4().hex}"
+    """A folder path nobody else uses, under the shared root; it is deleted when the application ends."""
+    mine = f"{shared_root(spark)}/docketry/{spark.sparkContext.applicationId}"
+    place, system = hadoop_path(spark, mine)
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return f"{mine}/{name}-{uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python workers can import it.
+
+    Operators that run Python on the executors call this; nothing needs to be installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="docketry-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def stored(frame: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
