@@ -137,7 +137,6 @@ TRAIN_UNTIL, VALIDATE_UNTIL = 2015, 2017
 ROWS_PER_YEAR = 100_000
 SEED = 42
 SMOTE_NEIGHBOURS = 5
-EXPLAINED_ROWS = 200
 DISPOSE_FROM = 0.5
 LINEUP_COLUMNS = [
     "ddl_case_id",

@@ -13,7 +13,9 @@ from docketry.functions.columns import code_to_int
 from docketry.sources.workspace import stored
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
+# A salted task of a code that holds the whole fact reads about this much of it.
+SALT_BYTES = 256 << 20
+SALTS = range(8, 4097)
 
 
 @dataclass(frozen=True)
@@ -78,7 +80,14 @@ def check_sizes(lookups: dict[str, Lookup], limit: int = BROADCAST_BYTES) -> dic
     return {name: replace(lk, small=found[name] <= limit) for name, lk in lookups.items()}
 
 
-def lookup_join(fact: DataFrame, lookup: Lookup, salts: int = SALTS) -> DataFrame:
+def salts_for(fact: DataFrame) -> int:
+    """How many salts the fact needs, from the size of the largest table that it is read from."""
+    leaves = fact._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = max(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return max(SALTS[0], min(SALTS[-1], size // SALT_BYTES))
+
+
+def lookup_join(fact: DataFrame, lookup: Lookup, salts: int | None = None) -> DataFrame:
     """Left join a unique lookup onto a fact; the row count never changes.
 
     Within the checked bound the lookup is broadcast and the fact is not moved.
@@ -89,6 +98,7 @@ def lookup_join(fact: DataFrame, lookup: Lookup, salts: int = SALTS) -> DataFram
     on = list(lookup.on)
     if lookup.small:
         return fact.join(F.broadcast(lookup.frame), on, "left")
+    salts = salts or salts_for(fact)
     copies = lookup.frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
     return fact.withColumn("_salt", salt).join(copies, on + ["_salt"], "left").drop("_salt")

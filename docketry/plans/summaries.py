@@ -108,6 +108,23 @@ def _total_first(frame: DataFrame, by: list[str]) -> DataFrame:
     return frame.orderBy(F.desc("total_cases"), *by)
 
 
+def export_orders() -> dict[str, list[str | Column]]:
+    """The order of each table that has one, for exports of tables that were written and read back."""
+    total = F.desc("total_cases")
+    orders: dict[str, list[str | Column]] = {
+        "hearing_span_summary": [total, "case_type", "delay_category"],
+        "casetype_delay_crosstab": [total, "case_type"],
+        "oldest_pending_cases": [F.desc("case_age_days"), "ddl_case_id"],
+        "time_trends": ["period_type", "period_value"],
+    }
+    for name, spec in SUMMARIES.items():
+        if spec.order == "total":
+            orders[name] = [total, *spec.by]
+        elif spec.order:
+            orders[name] = [spec.order]
+    return orders
+
+
 def finish(grouped: DataFrame, name: str) -> DataFrame:
     """Turn the parts of one grouping into the named summary table."""
     spec = SUMMARIES[name]
@@ -251,10 +268,10 @@ def roll_up(groups: DataFrame, *by: str) -> DataFrame:
 
 
 def all_summaries(cases: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """The 13 tables from one pass over the fact.
+    """The 13 tables from two scans of the fact: twelve from one, the oldest pending cases from another.
 
     The groups, one row per group and grouping, are written under `folder` and
-    the tables are rolled up from there, so the fact is not scanned again for each.
+    the twelve tables are rolled up from there.
     """
     groups = stored(summary_groups(cases), f"{folder}/summary_groups", partition_by=["mark"])
 

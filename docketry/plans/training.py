@@ -33,10 +33,12 @@ ML_TABLES = ["model_comparison", "feature_importance", "shap_values", "shap_summ
 class Settings:
     train_until: int = model.TRAIN_UNTIL
     validate_until: int = model.VALIDATE_UNTIL
-    rows_per_year: int = model.ROWS_PER_YEAR
+    # At most so many training rows of a filing year fit the classifiers; None for all. Nothing else is capped.
+    rows_per_year: int | None = model.ROWS_PER_YEAR
     rounds: int = 100
     trees: int = 50
-    explained_rows: int = model.EXPLAINED_ROWS
+    # The first so many test rows in order of their ids are explained; None for all.
+    explained_rows: int | None = None
 
 
 def classifiers(balanced_rows: int, settings: Settings) -> dict[str, Estimator]:
@@ -80,16 +82,19 @@ class TrainingData:
 
 
 def prepare(cases: DataFrame, folder: str, settings: Settings) -> TrainingData:
-    """Cap, split, encode and balance; each step is stored, so that a fit reads a small fixed table."""
-    picked = yearly_cap(cases.select(*model.TRAINING_COLUMNS), settings.rows_per_year)
-    sample = stored(picked, f"{folder}/sample")
-    parts = split_cases(sample, settings.train_until, settings.validate_until)
+    """Split, encode, cap and balance; each step is stored, so that a fit reads a fixed table.
+
+    The cap bounds the rows that fit the classifiers. Labels, regressors, validation and test rows are whole.
+    """
+    rows = cases.select(*model.TRAINING_COLUMNS)
+    parts = split_cases(rows, settings.train_until, settings.validate_until)
     encoder_path = f"{folder}/encoder"
     labels = stored(features.fit_labels(parts.filter("split = 'train'")), encoder_path)
     featured = features.add_features(parts, features.label_lookups(labels))
     featured = stored(featured, f"{folder}/features")
     train, test = (featured.filter(F.col("split") == s) for s in ("train", "test"))
-    balanced = stored(smote_balance(train), f"{folder}/balanced")
+    fitting = train if settings.rows_per_year is None else yearly_cap(train, settings.rows_per_year)
+    balanced = stored(smote_balance(fitting), f"{folder}/balanced")
     return TrainingData(balanced, train, test, encoder_path)
 
 
@@ -146,7 +151,9 @@ def train_models(
 
     importance = stored(attribution.split_counts(spark, paths["model_path"]), f"{root}/feature_importance")
     leaves = attribution.leaves_of(spark, paths["model_path"], classifier.treeWeights)
-    sample = data.test.orderBy("ddl_case_id").limit(settings.explained_rows)
+    sample = data.test
+    if settings.explained_rows is not None:
+        sample = sample.orderBy("ddl_case_id").limit(settings.explained_rows)
     # The margin of the boosted classifier is half the log odds.
     values = stored(attribution.shapley_values(sample, leaves, scale=2.0), f"{root}/shap_values")
     summary = stored(attribution.shapley_summary(values), f"{root}/shap_summary")

@@ -6,12 +6,13 @@ customer's nation. Bad codes, bad dates, missing keys and nulls are built in.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.operators.lookups import Lookup, build_keys
+from docketry.operators.lookups import Lookup, build_keys, check_sizes, lookup_join
 from docketry.sources.workspace import new_folder, stored
 
 AS_OF = date(2004, 1, 1)
@@ -46,17 +47,30 @@ def _unique(frame: DataFrame, key: str, *columns: str) -> DataFrame:
     return frame.groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
 
 
+_SMALL: dict[tuple[str, str], dict[str, bool]] = {}
+
+
+def _checked(spark: SparkSession, sf_dir: str, sides: dict[str, Lookup]) -> dict[str, Lookup]:
+    """The lookups with their sizes, which are measured once per session and folder."""
+    mark = (spark.sparkContext.applicationId, sf_dir)
+    if mark not in _SMALL:
+        _SMALL[mark] = {name: lookup.small for name, lookup in check_sizes(sides).items()}
+    return {name: replace(lookup, small=_SMALL[mark][name]) for name, lookup in sides.items()}
+
+
 def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 text columns of a case message, one row per order.
 
-    The sides are joined without a hint: Catalyst broadcasts a side while its
-    file is small and otherwise sorts and merges, where AQE splits a customer
-    that holds a large share of the orders.
+    Customers and nations are lookups of checked size: broadcast while they fit, and beyond that joined on
+    the key and a salt, so that a customer who holds a large share of the orders is spread over many tasks.
     """
     # Codes instead of texts keep this aggregation in the hash table.
     coded = table(spark, sf_dir, "customer").withColumn("segment", _choose(F.col("c_mktsegment"), SEGMENTS))
-    customers = _unique(coded, "c_custkey", "segment", "c_nationkey")
-    nations = _unique(table(spark, sf_dir, "nation"), "n_nationkey", "n_regionkey")
+    customers = _unique(coded.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "segment", "c_nationkey")
+    nations = _unique(
+        table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "n_regionkey"
+    )
+    sides = _checked(spark, sf_dir, {"customer": Lookup(customers, ("o_custkey",)), "nation": Lookup(nations, ("c_nationkey",))})
     hearings = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_shipdate").cast("date").alias("first"), F.max("l_shipdate").cast("date").alias("last")
     )
@@ -66,9 +80,8 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .repartition("o_orderkey")
         .join(hearings, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
+    o = lookup_join(lookup_join(o, sides["customer"]), sides["nation"])
 
     key, status, first, last = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("first"), F.col("last")
 
@@ -83,7 +96,7 @@ def case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.concat(F.lit("C"), key).alias("ddl_case_id"),
         (F.col("n_regionkey") + 1).cast("string").alias("state_code"),
-        (F.col("n_nationkey") + 1).cast("string").alias("dist_code"),
+        (F.col("c_nationkey") + 1).cast("string").alias("dist_code"),
         (F.col("o_custkey") % 7).cast("string").alias("court_no"),
         F.when(key % 11 != 0, F.col("o_orderpriority")).alias("judge_position"),
         F.col("segment").cast("string").alias("type_name"),

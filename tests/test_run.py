@@ -16,15 +16,22 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path, facts):
     for table, (file, *_) in model.KEY_TABLES.items():
         raw[table].coalesce(1).write.options(**files.CSV).csv(f"{tmp_path}/keys/{file}")
 
-    tables = run_all(
-        spark, f"{tmp_path}/cases", f"{tmp_path}/keys", f"{tmp_path}/out", testdata.AS_OF,
-        settings=Settings(1998, 2000, rounds=2, trees=2, explained_rows=5), files_per_batch=1,
-    )
+    def run():
+        return run_all(
+            spark, f"{tmp_path}/cases", f"{tmp_path}/keys", f"{tmp_path}/out", testdata.AS_OF,
+            settings=Settings(1998, 2000, rows_per_year=10, rounds=2, trees=2), files_per_batch=1,
+        )
+
+    run()
+    tables = run()  # a second run over the same folder leaves nothing of the first
     got = tables["cases_cleaned"].fillna("", ["judge_position"])  # a file cannot hold a null text
     assert sorted(map(str, got.collect())) == sorted(map(str, facts.fillna("", ["judge_position"]).collect()))
     assert tables["data_quality_log"].count() == 2
     assert set(SUMMARY_TABLES) <= set(tables)
-    assert tables["model_comparison"].count() == 6 and tables["model_registry"].count() == 1
+    assert tables["model_comparison"].count() == 6 and tables["model_registry"].count() == 2
+    # The cap bounds the rows that fit the classifiers alone: every test row is explained.
+    test = facts.filter("filing_year > 2000").count()
+    assert tables["shap_values"].count() == test
     pending = facts.filter("is_resolved = 0 AND date_next_list IS NOT NULL").count()
     assert tables["daily_lineup"].count() == pending
     exported = files.read_csv(spark, f"{tmp_path}/out/export/daily_lineup.csv")

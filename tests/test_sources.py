@@ -2,6 +2,7 @@ import logging
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketry import model
 from docketry.sources import files, jdbc, messages, sinks
@@ -10,6 +11,7 @@ from docketry.sources import files, jdbc, messages, sinks
 def test_yearly_files_by_header_and_missing_years(spark, tmp_path, caplog):
     (tmp_path / "cases_2010.csv").write_text('ddl_case_id,judge_position,state_code\na,"chief, ""x""",01\nb,,2\n')
     (tmp_path / "cases_2012.csv").write_text("state_code,extra,ddl_case_id\n3,z,c\n")
+    (tmp_path / "cases_2013.csv").write_text("ddl_case_id\nx\n")
     with caplog.at_level(logging.WARNING):
         rows = files.read_yearly_csv(spark, str(tmp_path), range(2010, 2013))
     got = {r["ddl_case_id"]: r for r in rows.collect()}
@@ -17,10 +19,41 @@ def test_yearly_files_by_header_and_missing_years(spark, tmp_path, caplog):
     assert got["b"]["judge_position"] == "" and got["c"]["judge_position"] is None
     assert (got["c"]["state_code"], got["c"]["file_year"]) == ("3", 2012)
     assert rows.columns == model.MESSAGE_COLUMNS + ["file_year"]
-    assert "2011" in caplog.text
+    assert "2011" in caplog.text and "cases_2013.csv" in caplog.text
     assert sorted(map(tuple, files.published_per_year(rows).collect())) == [(2010, 2), (2012, 1)]
 
 
+def test_a_line_break_in_a_field_is_an_error_or_read_right(spark, tmp_path):
+    text = 'ddl_case_id,judge_position,state_code\na,"chief\njudge",1\nb,c,2\n'
+    (tmp_path / "cases_2010.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_yearly_csv(spark, str(tmp_path), [2010]).collect()
+    rows = files.read_yearly_csv(spark, str(tmp_path), [2010], multi_line=True).collect()
+    assert {(r["ddl_case_id"], r["judge_position"], r["state_code"]) for r in rows} == {("a", "chief\njudge", "1"), ("b", "c", "2")}
+
+
+def test_a_record_with_too_few_or_too_many_fields_is_an_error(spark, tmp_path):
+    for bad in ("a", "a,b,c"):
+        (tmp_path / "cases_2010.csv").write_text(f"ddl_case_id,state_code\nx,1\n{bad}\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            files.read_yearly_csv(spark, str(tmp_path), [2010]).select("ddl_case_id").collect()
+
+
+def test_two_headers_in_one_folder_are_an_error(spark, tmp_path):
+    (tmp_path / "cases_2010").mkdir()
+    (tmp_path / "cases_2010" / "a.csv").write_text("ddl_case_id,state_code\nx,1\n")
+    (tmp_path / "cases_2010" / "b.csv").write_text("state_code,ddl_case_id\n02,B\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_yearly_csv(spark, str(tmp_path), [2010], "cases_{year}").collect()
+
+
+def test_publishing_again_replaces(spark, tmp_path):
+    row = spark.createDataFrame([dict.fromkeys(model.MESSAGE_COLUMNS)], model.MESSAGE_DDL)
+    for _ in range(2):
+        messages.publish_to_files(row, str(tmp_path / "topic"))
+    assert spark.read.text(str(tmp_path / "topic")).count() == 1
+
+
 def test_no_file_at_all(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_yearly_csv(spark, str(tmp_path), range(2010, 2012))
@@ -70,8 +103,12 @@ def test_exports(spark, tmp_path):
     frame = spark.range(2500).selectExpr("id", "'a,b' AS t")
     assert sinks.export_csv(frame, str(tmp_path / "one.csv")) == 2500
     assert len(list((tmp_path / "one.csv").glob("part-*"))) == 1
-    sinks.export_csv(frame.repartition(4), str(tmp_path / "many.csv"), one_file_rows=100)
+    many = frame.repartition(4)
+    assert sinks.export_csv(many, str(tmp_path / "many.csv"), one_file=False) == 2500
     assert len(list((tmp_path / "many.csv").glob("part-*"))) > 1
+    sinks.export_csv(many, str(tmp_path / "sorted.csv"), [F.desc("id")])
+    (part,) = (tmp_path / "sorted.csv").glob("part-*")
+    assert [int(x.split(",")[0]) for x in part.read_text().split("\n")[1:-1]] == list(range(2499, -1, -1))
     sinks.export_lineup(frame.coalesce(1), str(tmp_path), chunk=1000)
     parts = list((tmp_path / "daily_lineup.csv").glob("part-*"))
     assert len(parts) == 3 and all(p.read_text().startswith("id,t") for p in parts)
