@@ -237,6 +237,8 @@ _FILE_YEAR = (
     "CAST(CASE WHEN date_of_filing LIKE '__/%' THEN substr(date_of_filing, 7, 4) "
     "ELSE substr(date_of_filing, 1, 4) END AS INT)"
 )
+_WORKLOAD = ["total_cases", "resolved_cases", "pending_cases", "resolution_rate"]
+_CLEARANCE = ["total_cases", "resolved_cases", "resolution_rate", "avg_resolution_days"]
 _FILES = from_messages(
     "SELECT "
     + ", ".join(f"coalesce({c}, '') AS {c}" for c in _MESSAGE_COLUMNS.split())
@@ -261,13 +263,43 @@ def from_raw(sql: str) -> str:
     return f"WITH {MESSAGES}, {_RAW} {sql}"
 
 
-def _sizes() -> str:
+# The columns that name a row of a summary table, and its measures.
+_SHAPES = {
+    "yearly_summary": (["filing_year"], _WORKLOAD + ["avg_case_age"]),
+    "state_summary": (["state_name"], _WORKLOAD + ["avg_case_age"]),
+    "district_summary": (["state_name", "district_name"], _WORKLOAD + ["avg_case_age"]),
+    "casetype_summary": (["case_type"], _WORKLOAD + ["avg_resolution_days"]),
+    "delay_summary": (["delay_category"], ["total_cases", "percentage"]),
+    "judge_summary": (["judge_position"], _CLEARANCE),
+    "gender_summary": (["petitioner_gender"], _CLEARANCE),
+    "time_trends": (["period_type", "period_value"], _WORKLOAD),
+    "disposal_summary": (["disposal_type"], ["total_cases", "avg_case_age", "avg_resolution_days"]),
+    "hearing_span_summary": (
+        ["case_type", "delay_category"], ["total_cases", "avg_hearing_span_days", "max_hearing_span_days"]
+    ),
+    "defendant_gender_summary": (["defendant_gender"], _CLEARANCE),
+    "oldest_pending_cases": (
+        ["ddl_case_id", "state_name", "district_name", "court_name", "case_type", "date_of_filing", "delay_category"],
+        ["case_age_days"],
+    ),
+    "casetype_delay_crosstab": (["case_type"], ["Fast", "Medium", "Slow", "Stuck", "total_cases"]),
+}
+
+
+def _text(columns: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns) + ")"
+
+
+def _cells() -> str:
+    """Every cell of all summary tables."""
     parts = []
     for name, sql in SUMMARIES.items():
-        total = "case_age_days" if name == "oldest_pending_cases" else "total_cases"
+        keys, measures = _SHAPES[name]
+        names = ", ".join(f"'{m}'" for m in measures)
+        values = ", ".join(f"CAST({m} AS DOUBLE)" for m in measures)
         parts.append(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum({total}) AS BIGINT) AS total "
-            f"FROM ({sql})"
+            f"SELECT '{name}' AS table_name, {_text(keys)} AS row_key, unnest([{names}]) AS measure, "
+            f"unnest([{values}]) AS value FROM ({sql})"
         )
     return " UNION ALL ".join(parts)
 
@@ -275,8 +307,8 @@ def _sizes() -> str:
 CLEANING = {
     "read_yearly_csv": _FILES,
     "published_per_year": f"SELECT file_year, count(*) AS published FROM ({_FILES}) GROUP BY file_year",
-    "all_summaries": _sizes(),
-    "export_summaries": _sizes(),
+    "all_summaries": _cells(),
+    "export_summaries": _cells(),
     "resolved_pool": from_raw(
         "SELECT *, CAST(date_diff('day', filing_date_parsed, decision_date_parsed) AS INT) AS duration_days "
         f"FROM raw WHERE {_IS_RESOLVED}"
@@ -296,10 +328,10 @@ CLEANING = {
     "json_roundtrip": _MESSAGE_ROWS,
     "publish_cases": _MESSAGE_ROWS,
     "dedupe_keys": (
-        f"WITH {KEYS} SELECT 'type' AS key_table, type_name AS code, type_name_s AS name FROM type_key "
-        "UNION ALL SELECT 'disposition', * FROM disp_key UNION ALL SELECT 'purpose', * FROM purpose_key "
-        "UNION ALL SELECT 'state', * FROM state_key UNION ALL SELECT 'district', dist_code, district_name "
-        "FROM district_key"
+        f"WITH {KEYS} SELECT 'type' AS key_table, CAST(NULL AS INT) AS state_code, type_name AS code, "
+        "type_name_s AS name FROM type_key "
+        "UNION ALL SELECT 'disposition', NULL, * FROM disp_key UNION ALL SELECT 'purpose', NULL, * FROM purpose_key "
+        "UNION ALL SELECT 'state', NULL, * FROM state_key UNION ALL SELECT 'district', * FROM district_key"
     ),
     "court_key_latest": f"WITH {KEYS} SELECT * FROM court_key",
     "typed_cases": from_typed("SELECT * FROM typed"),
@@ -482,16 +514,67 @@ LEARNING = {
 }
 
 
-def _run_sizes() -> str:
-    """The rows of each table of a whole run; the tables of the models have a fixed number of rows."""
-    counts = {name: f"SELECT count(*) FROM ({sql})" for name, sql in SUMMARIES.items()}
-    counts["cases_cleaned"] = f"SELECT count(*) FROM ({_CLEANED_ROWS})"
-    counts["daily_lineup"] = f"SELECT count(*) FROM ({LEARNING['pending_candidates']})"
-    counts["shap_values"] = f"SELECT least(200, count(*)) FROM ({LEARNING['temporal_split']}) WHERE split = 'test'"
+def _run_cells() -> str:
+    """Every cell of the tables of a whole run; of the tables of the models, the number of rows."""
+    columns = (
+        "ddl_case_id, state_name, district_name, court_name, court_no, judge_position, case_type, purpose, disposal_type, "
+        "date_of_filing, date_of_decision, date_first_list, date_last_list, date_next_list, is_resolved, case_age_days, "
+        "delay_category, filing_year, hearing_span_days, petitioner_gender, defendant_gender"
+    ).split(", ")
+    rows = f"SELECT 'cases_cleaned', {_text(columns)}, 'row', CAST(1 AS DOUBLE) FROM ({_CLEANED_ROWS})"
+    counts = {
+        "daily_lineup": f"SELECT count(*) FROM ({LEARNING['pending_candidates']})",
+        "shap_values": f"SELECT count(*) FROM ({LEARNING['temporal_split']}) WHERE split = 'test'",
+    }
     fixed = {"model_comparison": 6, "feature_importance": 8, "shap_summary": 8, "model_registry": 1}
-    counts.update({name: f"SELECT CAST({n} AS BIGINT)" for name, n in fixed.items()})
-    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, ({sql}) AS row_count" for name, sql in counts.items())
+    counts.update({name: f"SELECT {n}" for name, n in fixed.items()})
+    sizes = [f"SELECT '{name}', '', 'rows', CAST(({sql}) AS DOUBLE)" for name, sql in counts.items()]
+    return " UNION ALL ".join([_cells(), rows, *sizes])
+
+
+_MODELS = [
+    "Logistic Regression", "Random Forest", "Gradient Boosting (depth 6)", "Gradient Boosting (31 leaves)",
+    "Gradient Boosting (depth 6) (Regression)", "Gradient Boosting (31 leaves) (Regression)",
+]
+_CLASS_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
+_DAY_METRICS = ["mae", "rmse", "r2_score"]
+
+
+def _comparison() -> str:
+    parts = []
+    for name in _MODELS:
+        days = name.endswith("(Regression)")
+        flags = [f"{days != (m in _CLASS_METRICS)} AS has_{m}" for m in [*_CLASS_METRICS, *_DAY_METRICS]]
+        parts.append(f"SELECT '{name}' AS model_name, " + ", ".join(flags))
+    return " UNION ALL ".join(parts)
+
+
+_PLAIN_LINEUP = [
+    "ddl_case_id", "state_name", "district_name", "case_type", "date_of_filing", "date_next_list", "case_age_days",
+    "delay_category", "petitioner_gender", "disposal_type",
+]
+_LINEUP = from_cleaned(
+    "SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _PLAIN_LINEUP)
+    + f", CAST({AS_OF} AS VARCHAR) AS prediction_date, true AS outcome_agrees {_PENDING_ROWS}"
+)
+_EACH_FEATURE = " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS {{}}" for f in _FEATURES)
+
+MODELS = {
+    "model_comparison": _comparison(),
+    "feature_importance": _EACH_FEATURE.replace("{}", "adds_up"),
+    "shapley_values": from_cleaned(
+        "SELECT ddl_case_id, CAST(0 AS DOUBLE) AS missed FROM parts WHERE split = 'test'", _SPLIT
+    ),
+    "shapley_summary": _EACH_FEATURE.replace("{}", "agrees"),
+    "latest_model": (
+        "SELECT r_name AS model_name, 'v' || r_regionkey AS model_version, make_date(2020, 1, 4) AS trained_on "
+        "FROM region ORDER BY least(r_regionkey + 1, 4) DESC, 'v' || r_regionkey DESC LIMIT 1"
+    ),
+    "daily_lineup": _LINEUP,
+    "export_lineup": _LINEUP,
+    "lineup_counters": from_cleaned(f"SELECT count(*) AS total_predictions, count(*) AS with_outcome {_PENDING_ROWS}"),
+}
 
 
 def statements() -> dict[str, str]:
-    return {**CLEANING, **SUMMARIES, **LEARNING, "end_to_end_run": _run_sizes()}
+    return {**CLEANING, **SUMMARIES, **LEARNING, **MODELS, "end_to_end_run": _run_cells()}

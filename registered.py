@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import balance, features, lookups, metrics, profile, sampling
+from docketry.operators import attribution, balance, features, lookups, metrics, profile, sampling
 from docketry.plans import cleaning, scoring, summaries, training
 from docketry.plans.run import run_all
 from docketry.sources import files, sinks, testdata
@@ -19,6 +21,28 @@ from docketry.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Message files of a micro-batch.
+FILES_PER_BATCH = 4
+
+# The columns that name a row of a summary table.
+SUMMARY_KEYS = {
+    "yearly_summary": ["filing_year"],
+    "state_summary": ["state_name"],
+    "district_summary": ["state_name", "district_name"],
+    "casetype_summary": ["case_type"],
+    "delay_summary": ["delay_category"],
+    "judge_summary": ["judge_position"],
+    "gender_summary": ["petitioner_gender"],
+    "time_trends": ["period_type", "period_value"],
+    "disposal_summary": ["disposal_type"],
+    "hearing_span_summary": ["case_type", "delay_category"],
+    "defendant_gender_summary": ["defendant_gender"],
+    "oldest_pending_cases": [
+        "ddl_case_id", "state_name", "district_name", "court_name", "case_type", "date_of_filing", "delay_category",
+    ],
+    "casetype_delay_crosstab": ["case_type"],
+}
+
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.typed_cases(testdata.case_messages(spark, sf_dir))
@@ -44,21 +68,20 @@ def publish_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All keys but the court key in one frame; a district is shown by its own code."""
+    """All keys but the court key in one frame; only a district has a state code beside its own."""
     raw = testdata.raw_keys(spark, sf_dir)
     parts = []
     for table, (_, codes, name, _) in model.KEY_TABLES.items():
         if table != "court":
             unique = lookups.dedupe_keys(raw[table], codes, name)
+            state = F.col("state_code") if len(codes) > 1 else F.lit(None).cast("int")
             parts.append(
                 unique.select(
-                    F.lit(table).alias("key_table"), F.col(codes[-1]).alias("code"), F.col(name).alias("name")
+                    F.lit(table).alias("key_table"), state.alias("state_code"), F.col(codes[-1]).alias("code"),
+                    F.col(name).alias("name"),
                 )
             )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def court_key_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,26 +134,23 @@ def published_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.published_per_year(read_yearly_csv(spark, sf_dir))
 
 
-def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Publish all messages, then drain them in about three micro-batches."""
+def ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Publish all messages, then drain them in several micro-batches."""
     folder = new_folder(spark, "ingest")
     msg.publish_to_files(testdata.case_messages(spark, sf_dir), f"{folder}/topic")
-    per_batch = -(-len(spark.read.text(f"{folder}/topic").inputFiles()) // 3)
-    stream = ingest.file_messages(spark, f"{folder}/topic", per_batch)
-    table, quality = f"{folder}/cases_cleaned", f"{folder}/data_quality_log"
+    stream = ingest.file_messages(spark, f"{folder}/topic", FILES_PER_BATCH)
     keys = lookups.stored_keys(testdata.case_keys(spark, sf_dir), f"{folder}/keys")
-    run = ingest.start_ingest(stream, keys, testdata.AS_OF, table, quality, f"{folder}/checkpoint")
-    run.awaitTermination()
-    return table, quality
+    ingest.ingest_run(stream, keys, testdata.AS_OF, folder, "first")
+    return folder
 
 
 def stream_cases_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.read_cleaned(spark, ingested(spark, sf_dir)[0])
+    return sinks.read_cleaned(spark, f"{ingested(spark, sf_dir)}/cases_cleaned")
 
 
 def stream_quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log summed over its batches, whose number depends on the files."""
-    log = ingest.read_quality(spark, ingested(spark, sf_dir)[1])
+    log = spark.read.parquet(f"{ingested(spark, sf_dir)}/data_quality_log")
     counters = [c for c in log.columns if c != "batch_id"]
     return log.agg(*[F.sum(c).alias(c) for c in counters])
 
@@ -145,30 +165,29 @@ def stored_summaries(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, D
     return folder, sinks.read_tables(spark, folder, summaries.SUMMARY_TABLES)
 
 
-def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each table and the sum of its cases (for the oldest cases: of their ages)."""
-    sizes = [
-        frame.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(
-                F.col("total_cases" if "total_cases" in frame.columns else "case_age_days").cast("bigint")
-            ).alias("total"),
-        )
-        for name, frame in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, sizes)
+def long_form(name: str, frame: DataFrame) -> DataFrame:
+    """(table_name, row_key, measure, value): all cells of a table, so that tables of any form go into one frame.
+
+    The key holds the columns of SUMMARY_KEYS as text, null as empty text, as a CSV file has it.
+    """
+    keys = SUMMARY_KEYS[name]
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]
+    measures = [c for c in frame.columns if c not in keys]
+    cells = [F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").cast("double").alias("value")) for c in measures]
+    return frame.select(F.lit(name).alias("table_name"), F.concat_ws("|", *text).alias("row_key"), F.inline(F.array(*cells)))
 
 
 def all_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_sizes(stored_summaries(spark, sf_dir)[1])
+    tables = stored_summaries(spark, sf_dir)[1]
+    return reduce(DataFrame.unionByName, [long_form(n, f) for n, f in tables.items()])
 
 
 def export_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export all tables as CSV and read the files back."""
     folder, tables = stored_summaries(spark, sf_dir)
-    sinks.export_summaries(tables, f"{folder}/export")
-    return table_sizes({n: files.read_csv(spark, f"{folder}/export/{n}.csv") for n in tables})
+    sinks.export_summaries(tables, f"{folder}/export", summaries.export_orders())
+    read = {n: files.read_csv(spark, f"{folder}/export/{n}.csv") for n in tables}
+    return reduce(DataFrame.unionByName, [long_form(n, f) for n, f in read.items()])
 
 
 def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,39 +318,115 @@ def whole_run(spark: SparkSession, sf_dir: str) -> str:
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of every table that a whole run leaves behind."""
+    """All cells of the tables that a whole run leaves behind; of those that a model makes, the number of rows."""
     root = whole_run(spark, sf_dir)
-    names = ["cases_cleaned", *summaries.SUMMARY_TABLES, *training.ML_TABLES, "model_registry", "daily_lineup"]
+    made = [*training.ML_TABLES, "model_registry", "daily_lineup"]
+    whole = [long_form(n, f) for n, f in sinks.read_tables(spark, root, summaries.SUMMARY_TABLES).items()]
+    facts = sinks.read_cleaned(spark, f"{root}/cases_cleaned")
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in facts.columns]
+    rows = facts.select(
+        F.lit("cases_cleaned").alias("table_name"), F.concat_ws("|", *text).alias("row_key"), F.lit("row").alias("measure"),
+        F.lit(1.0).alias("value"),
+    )
     sizes = [
-        frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name, frame in sinks.read_tables(spark, root, names).items()
+        frame.agg(
+            F.lit(name).alias("table_name"), F.lit("").alias("row_key"), F.lit("rows").alias("measure"),
+            F.count(F.lit(1)).cast("double").alias("value"),
+        )
+        for name, frame in sinks.read_tables(spark, root, made).items()
     ]
-    return reduce(DataFrame.unionByName, sizes)
+    return reduce(DataFrame.unionByName, [*whole, rows, *sizes])
 
 
 def learned(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{whole_run(spark, sf_dir)}/{name}")
 
 
+def entry_of(spark: SparkSession, sf_dir: str) -> Row:
+    return training.latest_model(training.read_registry(spark, whole_run(spark, sf_dir)))
+
+
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The models, and which metrics each has; their values depend on the fits and have tests of their own."""
+    compared = learned("model_comparison", spark, sf_dir)
+    return compared.select(
+        "model_name", *[(F.col(c).isNotNull() & F.col(c).between(-1e9, 1e9)).alias(f"has_{c}") for c in compared.columns[1:]]
+    )
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features, and whether their splits add up to all splits of the stored model."""
+    found = learned("feature_importance", spark, sf_dir)
+    splits = attribution.tree_nodes(spark, entry_of(spark, sf_dir)["model_path"]).filter("leftChild >= 0")
+    total = splits.agg(F.count(F.lit(1)).alias("splits"))
+    counted = found.agg(F.sum("importance").alias("counted")).join(total, F.col("counted") == F.col("splits"), "left")
+    agrees = counted.select(F.col("splits").isNotNull().alias("adds_up")).head()[0]
+    return found.select("feature", F.lit(bool(agrees)).alias("adds_up"))
+
+
+def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each test row, and by how much its attributions and the base miss the model's log odds."""
+    root, entry = whole_run(spark, sf_dir), entry_of(spark, sf_dir)
+    classifier = GBTClassificationModel.load(entry["model_path"])
+    base = attribution.leaves_of(spark, entry["model_path"], classifier.treeWeights).base
+    rows = spark.read.parquet(f"{entry['encoder_path'].rsplit('/', 1)[0]}/features").filter("split = 'test'")
+    # The raw prediction is the margin and its negative; the margin is half the log odds.
+    margins = classifier.transform(features.with_vector(rows)).select(
+        "ddl_case_id", (2 * vector_to_array("rawPrediction")[1]).alias("margin")
+    )
+    values = spark.read.parquet(f"{root}/shap_values")
+    total = reduce(lambda a, b: a + b, [F.col(f"shap_{f}") for f in model.FEATURES])
+    missed = F.abs(total + F.lit(2 * base) - F.col("margin"))
+    return values.join(margins, "ddl_case_id").select("ddl_case_id", F.round(missed, 6).alias("missed"))
+
+
+def shapley_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features, and whether each mean is that of the values of all test rows."""
+    values, summary_ = (learned(n, spark, sf_dir) for n in ("shap_values", "shap_summary"))
+    means = values.agg(*[F.avg(F.abs(f"shap_{f}")).alias(f) for f in model.FEATURES]).unpivot([], model.FEATURES, "feature", "mean")
+    agrees = F.abs(F.col("mean") - F.col("mean_abs_shap")) <= 1e-9 * (1 + F.col("mean"))
+    return summary_.join(means, "feature").select("feature", agrees.alias("agrees"))
+
+
 def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.newest_entry(training.read_registry(spark, whole_run(spark, sf_dir)))
+    """The newest of a registry with one entry for each region; two have the same time."""
+    regions = testdata.table(spark, sf_dir, "region")
+    day = F.make_date(F.lit(2020), F.lit(1), F.least(F.col("r_regionkey") + 1, F.lit(4)).cast("int")).cast("timestamp")
+    have = {"model_name": F.col("r_name"), "model_version": F.concat(F.lit("v"), F.col("r_regionkey").cast("string")), "trained_on": day}
+    registry = regions.select(
+        *[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], training.REGISTRY_DDL).schema]
+    )
+    return training.newest_entry(registry).select("model_name", "model_version", F.to_date("trained_on").alias("trained_on"))
+
+
+def lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = sinks.read_cleaned(spark, f"{whole_run(spark, sf_dir)}/cases_cleaned")
+    return scoring.daily_lineup(facts, entry_of(spark, sf_dir), testdata.AS_OF)
+
+
+def without_model(rows: DataFrame) -> DataFrame:
+    """The columns of a lineup that no model touches, and whether its outcome goes with its probability."""
+    probability = F.col("resolution_probability").cast("double")
+    agrees = scoring.outcome(probability) == F.col("predicted_outcome")
+    plain = [c for c in model.LINEUP_COLUMNS if c not in ("resolution_probability", "predicted_outcome", "predicted_days_remaining")]
+    return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in plain], agrees.alias("outcome_agrees"))
 
 
 def daily_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = whole_run(spark, sf_dir)
-    entry = training.latest_model(training.read_registry(spark, root))
-    return scoring.daily_lineup(sinks.read_cleaned(spark, f"{root}/cases_cleaned"), entry, testdata.AS_OF)
+    return without_model(lineup(spark, sf_dir))
 
 
 def lineup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.lineup_counters(daily_lineup(spark, sf_dir))
+    """All predictions, and those with either outcome."""
+    counted = scoring.lineup_counters(lineup(spark, sf_dir))
+    return counted.select("total_predictions", (F.col("dispose_count") + F.col("adjourn_count")).alias("with_outcome"))
 
 
 def export_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the lineup as CSV parts and read the files back."""
     folder = new_folder(spark, "export")
-    sinks.export_lineup(daily_lineup(spark, sf_dir), folder)
-    return files.read_csv(spark, f"{folder}/daily_lineup.csv")
+    sinks.export_lineup(lineup(spark, sf_dir), folder)
+    return without_model(files.read_csv(spark, f"{folder}/daily_lineup.csv"))
 
 
 def queries() -> dict[str, Query]:
@@ -374,10 +469,10 @@ def queries() -> dict[str, Query]:
         "pending_candidates": pending_candidates,
         "lineup_outcome": lineup_outcome,
         "end_to_end_run": end_to_end_run,
-        "model_comparison": partial(learned, "model_comparison"),
-        "feature_importance": partial(learned, "feature_importance"),
-        "shapley_values": partial(learned, "shap_values"),
-        "shapley_summary": partial(learned, "shap_summary"),
+        "model_comparison": model_comparison,
+        "feature_importance": feature_importance,
+        "shapley_values": shapley_values,
+        "shapley_summary": shapley_summary,
         "latest_model": latest_model,
         "daily_lineup": daily_lineup,
         "lineup_counters": lineup_counters,
