@@ -36,7 +36,7 @@ BANDS, ROWS = 40, 4
 GROUPS = 64
 LEAF = 16
 # Classes of a block of a shard.
-BLOCK = 1_024
+BLOCK = 512
 
 _FACTORS = odd_numbers(SHINGLE, 11)
 _BAND_FACTORS = odd_numbers(ROWS, 13)

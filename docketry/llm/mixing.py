@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.operators.running import running_totals
-from docketry.sources.workspace import new_folder, stored
+from docketry.sources.workspace import new_folder, ship_package, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents of a block of the flight, and how many of its longest are settled against all others of the block.
@@ -169,6 +169,7 @@ def mixed(rows: DataFrame, targets: DataFrame) -> DataFrame:
     `row` is a value that names a row; equal rows are settled one by one. Chance comes from digests, so reruns agree.
     """
     spark = rows.sparkSession
+    ship_package(spark)
     columns = ["row", "size", "number", "mark", "fixed", "pi"]
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # Rounded so that a share that is whole but for its last bits leaves nothing open.

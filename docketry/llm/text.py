@@ -11,9 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
+
+from docketry.sources.workspace import ship_package
 
 # About this many bytes of text are turned into arrays at a time; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 
@@ -142,8 +145,20 @@ def list_column(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
 
+# Rows of a batch that goes to a Python worker: a row holds a whole text, so the usual 10,000 would be much memory.
+BATCH_ROWS, USUAL_ROWS = "1000", "10000"
+
+
+def in_small_batches(frame):
+    """The frame, with the session's batches for Python workers made smaller unless somebody has chosen their size."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", frame.sparkSession.conf
+    if conf.get(name) == USUAL_ROWS:
+        conf.set(name, BATCH_ROWS)
+    ship_package(frame.sparkSession)
+    return frame
+
+
 def with_text(frame, *columns: str, text: str = "text"):
     """The wanted columns and the text, null texts as empty ones."""
-    from pyspark.sql import functions as F
-
+    frame = in_small_batches(frame)
     return frame.select(*columns, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

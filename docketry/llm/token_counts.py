@@ -23,9 +23,9 @@ from docketry.llm.text import with_text
 
 TABLE_SIZE = 65_536
 # A task sums its pre-tokens exactly up to so many different ones, then keeps the more frequent half.
-SUMMARY_SIZE = 200_000
+SUMMARY_SIZE = 100_000
 SUMMARY_SENT = 8_192
-CACHE_SIZE = 300_000
+CACHE_SIZE = 200_000
 LONGEST_KEPT = 64
 SLICE_CHARS = 1 << 21
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.huffman import CHECKPOINT, WIDEST, Code, code_lengths
-from docketry.llm.text import Words, text_slices, with_text
+from docketry.llm.text import Words, in_small_batches, text_slices, with_text
 from docketry.llm.token_counts import NOT_PLAIN, Encoder
 
 BLOCK_TOKENS = 1 << 17
@@ -34,7 +34,7 @@ BLOCK_TOKENS = 1 << 17
 TOGETHER = 8
 KEPT_PIECES = 100_000
 # Of these about 50 bytes each are kept.
-KEPT_HASHES = 1_500_000
+KEPT_HASHES = 700_000
 # How the tokenizer cuts lower-cased text of the characters that NOT_PLAIN lets pass.
 PIECES = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
 
@@ -368,6 +368,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], lengths: bytes) -> Iterator[tupl
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, ids array<long>) of every document of a corpus; ids as they were written."""
     blocks, lengths = _blocks(spark, folder)
+    in_small_batches(blocks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, docs, sizes, _, ids in _decoded(batches, lengths.value):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.text import with_text
+from docketry.llm.text import in_small_batches, with_text
 from docketry.sources.workspace import new_folder, stored
 
 # Words are letters only, so marks inside or behind them do not hide them; lower-cased.
@@ -28,7 +28,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 # Beginnings of words are features too, so that compounds and endings do not hide a stem.
 BEGINNINGS = range(3, 8)
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 
 # Names that may be swapped for each other; the last of each line is neutral. A caller may give other ones.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -77,7 +77,7 @@ class Model:
     bias: float
 
     def __post_init__(self) -> None:
-        self.known: dict[str, list[str]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
     def __getstate__(self) -> tuple[dict[str, tuple[float, float]], float]:
         return self.weights, self.bias
@@ -86,11 +86,11 @@ class Model:
         self.weights, self.bias = state
         self.known = {}
 
-    def weighted(self, word: str) -> list[str]:
+    def weighted(self, word: str) -> tuple[str, ...]:
         if word not in self.known:
             if len(self.known) >= KEPT_WORDS:
                 self.known = {}
-            self.known[word] = [f for f in features_of(word) if f in self.weights]
+            self.known[word] = tuple(f for f in features_of(word) if f in self.weights)
         return self.known[word]
 
     def score(self, text: str) -> float:
@@ -292,4 +292,4 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float, text: str = "
             texts = batch.column(text).to_pylist()
             yield batch.filter(pa.array([shared.value.score(t or "") < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return in_small_batches(docs).mapInArrow(kept, docs.schema)
