@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.sources.workspace import new_folder, stored
+from docketry.sources.workspace import new_folder, ship_package, stored
 
 # Vectors of a shard, queries of a block, distinct vectors of a leaf, rows whose scores give the first bounds.
 SHARD = 4_096
 BLOCK = 1_024
 LEAF = 96
 SEED_ROWS = 1_024
-RELAX = 1.15
+RELAX = 1.3
 # A product made by the matrix library may differ from the exact one by this share of the lengths.
 SLACK = 1e-9
 NOBODY = np.iinfo(np.int64).min
@@ -199,6 +199,7 @@ def search(
     Every row is in a shard's tree; the first bounds come from a fixed number of rows, chosen by a digest.
     """
     spark = vectors.sparkSession
+    ship_package(spark)
     rows = usable(vectors, id_column, vector).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = stored(rows, new_folder(spark, "vectors"))
     n, longest, shortest, widest = rows.agg(
