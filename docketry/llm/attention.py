@@ -5,7 +5,8 @@ give: the logits of the next class are the log of P(class | previous id), from a
 layers add from up to WINDOW - 1 ids before. At first the layers add nothing.
 
 Ids are divided into classes for the output: frequent ones are classes of their own, the rest share classes, in which
-the corpus' counts tell them apart. Inputs are the more frequent ids and one place for all others.
+the corpus' counts tell them apart: those of the id behind the class before it, or of the id alone where it is not one of
+the TAIL most frequent. Inputs are the more frequent ids and one place for all others.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 
 # Ids of a window, and how many of them, from the window before, are only looked at.
-WINDOW, OVERLAP = 32, 8
+WINDOW, OVERLAP = 24, 4
 WIDTH, HIDDEN = 16, 32
-INPUTS, CLASSES, SINGLE = 1024, 256, 224
+INPUTS, CLASSES, SINGLE, TAIL = 1024, 192, 160, 4096
 # Windows of a batch when scoring.
 BATCH = 128
 
@@ -26,11 +27,13 @@ F32 = np.float32
 
 @dataclass
 class Vocabulary:
-    """What the corpus says without its order: the class, input place and log share in its class of each id."""
+    """What the corpus says without its order: the class, input place and log share in its class of each id, and its place
+    among the ids that share classes, or -1."""
 
     of_class: np.ndarray
     of_input: np.ndarray
     log_share: np.ndarray
+    of_tail: np.ndarray
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Vocabulary:
@@ -47,7 +50,32 @@ class Vocabulary:
         of_input[order[: INPUTS - 1]] = np.arange(len(order[: INPUTS - 1]))
         weight = counts + 0.5
         total = np.bincount(of_class, weight, CLASSES)
-        return cls(of_class, of_input, np.log(weight / total[of_class]).astype(F32))
+        of_tail = np.full(n, -1, np.int32)
+        of_tail[tail[:TAIL]] = np.arange(len(tail[:TAIL]))
+        return cls(of_class, of_input, np.log(weight / total[of_class]).astype(F32), of_tail)
+
+    def tail_cells(self, ids: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids of some texts, which begin at `begins`, are in the tail, and for these (class before, place in the
+        tail) as one number."""
+        before = np.empty(len(ids), np.int64)
+        before[1:] = self.of_class[ids[:-1]]
+        before[begins] = CLASSES
+        place = self.of_tail[ids]
+        there = np.flatnonzero(place >= 0)
+        return there, before[there] * TAIL + place[there]
+
+    def tail_logs(self, counts: np.ndarray) -> np.ndarray:
+        """log P(id | its class, class before) of all tail cells, from their counts; rare ones lean on the log share."""
+        ids = np.flatnonzero(self.of_tail >= 0)
+        ids = ids[np.argsort(self.of_tail[ids])]
+        counts = counts.reshape(CLASSES + 1, TAIL)[:, : len(ids)].astype(float)
+        share, of_class = np.exp(self.log_share[ids].astype(float)), self.of_class[ids]
+        out = np.zeros((CLASSES + 1, TAIL), F32)
+        for before in range(CLASSES + 1):
+            total = np.bincount(of_class, counts[before], CLASSES)[of_class]
+            strength = 1 + 0.75 * np.bincount(of_class, counts[before] > 0, CLASSES)[of_class]
+            out[before, : len(ids)] = np.log((counts[before] + strength * share) / (total + strength))
+        return out.reshape(-1)
 
 
 def neighbour_logits(pairs: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -78,38 +106,60 @@ def first_params(seed: int = 1) -> Params:
     }
 
 
-_MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, F32), 1)
+_SEEN = np.tril(np.ones((WINDOW, WINDOW), F32))
 _SCALE = F32(1 / np.sqrt(WIDTH))
 
 
 def layers(p: Params, x: np.ndarray):
     """What the layers make of windows of input places; all steps, for the way back."""
-    e = p["ids"][x] + p["places"]
+    e = np.take(p["ids"], x, axis=0, mode="clip")
+    e += p["places"]
     q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= _SCALE
-    a += _MASK
+    a = (q * _SCALE) @ k.transpose(0, 2, 1)
     np.exp(np.minimum(a, 30, out=a), out=a)
-    a /= a.sum(axis=2, keepdims=True)
+    a *= _SEEN
+    a /= np.einsum("bij->bi", a)[:, :, None]
     c = a @ v
-    r = e + c @ p["o"]
-    u = np.maximum(r @ p["up"] + p["up_bias"], 0)
-    return e, q, k, v, a, c, r, u, r + u @ p["down"]
-
-
-def log_probs(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Log probability of each target class; only places from `start` of each window on are wanted, others are 0."""
-    h = layers(p, x)[-1]
-    row, column = np.nonzero(np.arange(WINDOW)[None, :] >= start[:, None])
-    out = np.zeros(x.shape, F32)
-    before, goal = x[row, column], target[row, column]
-    logits = h[row, column] @ p["out"]
-    logits += p["bias"]
-    logits += base[before]
-    hit = logits[np.arange(len(goal)), goal]
-    np.exp(logits, out=logits)
-    out[row, column] = hit - np.log(logits.sum(axis=1))
-    return out
+    r = c @ p["o"]
+    r += e
+    u = r @ p["up"]
+    u += p["up_bias"]
+    np.maximum(u, 0, out=u)
+    h = u @ p["down"]
+    h += r
+    return e, q, k, v, a, c, r, u, h
+
+
+_ROOM: dict[str, np.ndarray] = {}
+
+
+def _room(name: str, *shape: int) -> np.ndarray:
+    """Memory that is used again for each batch: fresh pages would cost more than the sums in them."""
+    if name not in _ROOM or _ROOM[name].shape[0] < shape[0]:
+        _ROOM[name] = np.empty(shape, F32)
+    return _ROOM[name][: shape[0]]
+
+
+def log_probs(
+    p: Params, table: np.ndarray, shares: np.ndarray, x: np.ndarray, target: np.ndarray, start: np.ndarray
+) -> np.ndarray:
+    """Log probability of each target class; only places from `start` of each window on are wanted, others are 0.
+
+    `table` is the neighbours' logits with the bias added, and `shares` its exponentials: what the layers add to the logits
+    is a factor on those.
+    """
+    h = layers(p, x)[-1].reshape(-1, WIDTH)
+    place = np.flatnonzero((np.arange(WINDOW)[None, :] >= start[:, None]).reshape(-1))
+    before, goal = x.reshape(-1)[place], target.reshape(-1)[place]
+    added, known = _room("added", len(place), CLASSES), _room("known", len(place), CLASSES)
+    # Powers of two are cheaper than exponentials.
+    np.matmul(h[place], p["out"] * F32(1 / np.log(2)), out=added)
+    hit = added[np.arange(len(goal)), goal] * F32(np.log(2)) + table[before, goal]
+    np.exp2(added, out=added)
+    np.take(shares, before, axis=0, out=known, mode="clip")
+    out = np.zeros(x.size, F32)
+    out[place] = hit - np.log(np.einsum("ij,ij->i", added, known))
+    return out.reshape(x.shape)
 
 
 def step(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> tuple[float, Params]:
@@ -175,36 +225,39 @@ def windows_of(ids: list[np.ndarray], vocabulary: Vocabulary):
     """All windows of some texts, each id wanted in one of them.
 
     (x, target, start, text): input places before each id, the ids themselves, the first wanted place of each window, and
-    the number of the text a window belongs to. Behind the text a window holds empty places, whose start is the end.
+    the number of the text a window belongs to. Behind the text a window holds empty places, whose target is -1.
     """
-    xs, targets, starts, texts, lengths = [], [], [], [], []
-    for number, y in enumerate(ids):
-        if not len(y):
-            continue
-        x = np.concatenate([[INPUTS], vocabulary.of_input[y[:-1]]]).astype(np.int32)
-        hop = WINDOW - OVERLAP
-        begins = np.arange(0, max(1, len(y) - OVERLAP), hop)
-        place = begins[:, None] + np.arange(WINDOW)
-        inside = place < len(y)
-        place = np.minimum(place, len(y) - 1)
-        xs.append(x[place])
-        targets.append(np.where(inside, y[place], -1))
-        starts.append(np.where(begins > 0, OVERLAP, 0))
-        texts.append(np.full(len(begins), number))
-    if not xs:
-        return np.zeros((0, WINDOW), np.int32), np.zeros((0, WINDOW), np.int64), np.zeros(0, int), np.zeros(0, int)
-    return np.concatenate(xs), np.concatenate(targets), np.concatenate(starts), np.concatenate(texts)
-
-
-def score(p: Params, base: np.ndarray, vocabulary: Vocabulary, ids: list[np.ndarray]) -> np.ndarray:
+    size = np.array([len(y) for y in ids], np.int64)
+    end = np.cumsum(size)
+    y = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
+    x = np.empty(len(y), np.int32)
+    x[1:] = vocabulary.of_input[y[:-1]]
+    x[(end - size)[size > 0]] = INPUTS
+    hop = WINDOW - OVERLAP
+    count = np.where(size > 0, -(-np.maximum(1, size - OVERLAP) // hop), 0)
+    text = np.repeat(np.arange(len(ids)), count)
+    begin = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * hop
+    place = ((end - size)[text] + begin)[:, None] + np.arange(WINDOW)
+    inside = place < end[text][:, None]
+    place = np.minimum(place, len(y) - 1)
+    return x[place], np.where(inside, y[place], -1), np.where(begin > 0, OVERLAP, 0), text
+
+
+def score(p: Params, base: np.ndarray, vocabulary: Vocabulary, tail: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each list of ids, in windows that overlap, each id scored once."""
-    total = np.zeros(len(ids))
+    size = np.array([len(y) for y in ids], np.int64)
+    y = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
+    inside = vocabulary.log_share[y].astype(np.float64)
+    there, cells = vocabulary.tail_cells(y, (np.cumsum(size) - size)[size > 0])
+    inside[there] = tail[cells]
+    total = np.bincount(np.repeat(np.arange(len(ids)), size), inside, len(ids))
+    table = base + p["bias"]
+    shares = np.exp(table)
     x, y, start, text = windows_of(ids, vocabulary)
+    goal = vocabulary.of_class[np.maximum(y, 0)]
+    wanted = (y >= 0) & (np.arange(WINDOW) >= start[:, None])
     for at in range(0, len(x), BATCH):
-        ys = y[at : at + BATCH]
-        inside = ys >= 0
-        goal = np.where(inside, ys, 0)
-        found = log_probs(p, base, x[at : at + BATCH], vocabulary.of_class[goal], start[at : at + BATCH])
-        found = (found + vocabulary.log_share[goal]) * inside * (np.arange(WINDOW) >= start[at : at + BATCH, None])
-        total += np.bincount(text[at : at + BATCH], found.sum(axis=1, dtype=np.float64), len(ids))
+        some = slice(at, at + BATCH)
+        found = log_probs(p, table, shares, x[some], goal[some], start[some]) * wanted[some]
+        total += np.bincount(text[some], found.sum(axis=1, dtype=np.float64), len(ids))
     return total / np.log(10)

@@ -27,12 +27,13 @@ from docketry.sources.workspace import new_folder, stored
 # Words whose counts are broadcast; the others meet theirs in a join.
 FREQUENT = 200_000
 # Different words a task sums up before it hands them on.
-SUMMED = 1_000_000
-# A training document gives one window for each so many ids, and one at least.
-IDS_PER_WINDOW = 2_048
-ROUNDS, STEPS, WINDOWS_PER_STEP, RATE = 4, 120, 64, 0.01
-# Ids that are scored together.
-TOGETHER = 1 << 17
+SUMMED = 400_000
+# A training document gives one window for each so many ids, and one at least; of a small corpus more, until the windows
+# last for all steps of one part.
+IDS_PER_WINDOW = 1_536
+ROUNDS, STEPS, WINDOWS_PER_STEP, RATE = 4, 120, 96, 0.01
+# Ids that are handled together.
+TOGETHER = 1 << 15
 
 
 def held_out(id_column: str) -> Column:
@@ -135,17 +136,28 @@ def read_texts(rows: DataFrame, base: Base, definition: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(read, ddl)
 
 
-def _id_lists(batch: pa.RecordBatch, kind: np.dtype) -> list[np.ndarray]:
-    return [np.frombuffer(raw, kind).astype(np.int64) for raw in batch.column("ids").to_pylist()]
+def _id_lists(batch: pa.RecordBatch, kind: np.dtype) -> Iterator[list[np.ndarray]]:
+    """The ids of each row, some rows at a time."""
+    part: list[np.ndarray] = []
+    size = 0
+    for raw in batch.column("ids"):
+        part.append(np.frombuffer(raw.as_buffer(), kind))
+        size += len(part[-1])
+        if size >= TOGETHER:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
-def _summed(frame: DataFrame, cells, size: int) -> np.ndarray:
-    """How often each of `size` cells is named by `cells(batch)`: at most `size` rows, summed on the executors."""
+def _summed(frame: DataFrame, kind: np.dtype, cells, size: int) -> np.ndarray:
+    """How often each of `size` cells is named by `cells` of some rows' ids: at most `size` rows, summed on the executors."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            total += np.bincount(cells(batch), minlength=size)
+            for part in _id_lists(batch, kind):
+                total += np.bincount(cells(part), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
@@ -160,45 +172,53 @@ class Model:
     params: net.Params
     base: np.ndarray
     vocabulary: net.Vocabulary
+    tail: np.ndarray
     kind: np.dtype
 
 
 def train(texts: DataFrame, kind: np.dtype, size: int) -> Model:
     """Learn from the ids of all of `texts`; `size` ids are possible, the end among them."""
     spark = texts.sparkSession
-    counts = _summed(texts, lambda batch: np.concatenate([np.zeros(0, np.int64), *_id_lists(batch, kind)]), size)
+    counts = _summed(texts, kind, np.concatenate, size)
     vocabulary = net.Vocabulary.from_counts(counts.astype(float))
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    def pairs(batch: pa.RecordBatch) -> np.ndarray:
-        v, found = shared.value, [np.zeros(0, np.int64)]
-        for y in _id_lists(batch, kind):
+    def pairs(part: list[np.ndarray]) -> np.ndarray:
+        v, found = shared.value, []
+        for y in part:
             before = np.concatenate([[net.INPUTS], v.of_input[y[:-1]]])
             found.append(before.astype(np.int64) * net.CLASSES + v.of_class[y])
         return np.concatenate(found)
 
-    seen = _summed(texts, pairs, (net.INPUTS + 1) * net.CLASSES).reshape(-1, net.CLASSES).astype(float)
+    def tail_cells(part: list[np.ndarray]) -> np.ndarray:
+        size = np.array([len(y) for y in part])
+        return shared.value.tail_cells(np.concatenate(part), (np.cumsum(size) - size)[size > 0])[1]
+
+    tail = vocabulary.tail_logs(_summed(texts, kind, tail_cells, (net.CLASSES + 1) * net.TAIL))
+    seen = _summed(texts, kind, pairs, (net.INPUTS + 1) * net.CLASSES).reshape(-1, net.CLASSES).astype(float)
     base = net.neighbour_logits(seen, seen.sum(axis=0))
     params = net.first_params()
-    windows = stored(_windows(texts, shared, kind), new_folder(spark, "windows"))
+    each = int(counts.sum()) // (ROUNDS * STEPS * WINDOWS_PER_STEP)
+    each = max(net.WINDOW // 2, min(IDS_PER_WINDOW, each))
+    windows = stored(_windows(texts, shared, kind, each), new_folder(spark, "windows"))
     total = windows.count()
     if total:
         parts = max(1, total // (ROUNDS * STEPS * WINDOWS_PER_STEP))
         windows = windows.withColumn("part", F.pmod("mark", F.lit(parts)))
         for number in range(ROUNDS):
             params = _round(windows, params, base, shared, number)
-    return Model(params, base, vocabulary, kind)
+    return Model(params, base, vocabulary, tail, kind)
 
 
-def _windows(texts: DataFrame, vocabulary, kind: np.dtype) -> DataFrame:
+def _windows(texts: DataFrame, vocabulary, kind: np.dtype, each: int) -> DataFrame:
     """(mark, window) of training windows: the input places and ids, from places that a digest of the text picks."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary.value
         for batch in batches:
             marks, found = [], []
-            for y in _id_lists(batch, kind):
-                wanted = -(-len(y) // IDS_PER_WINDOW)
+            for y in (y.astype(np.int64) for part in _id_lists(batch, kind) for y in part):
+                wanted = -(-len(y) // each)
                 digest = int((y * np.arange(1, len(y) + 1)).sum()) & 0x7FFFFFFF
                 chance = np.random.default_rng(digest)
                 x = np.concatenate([[net.INPUTS], v.of_input[y[:-1]]])
@@ -251,12 +271,7 @@ def scored(texts: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            ids, found, at = _id_lists(batch, m.kind), [], 0
-            ends = np.cumsum([len(y) for y in ids])
-            while at < len(ids):
-                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER)))
-                found.append(net.score(m.params, m.base, m.vocabulary, ids[at:stop]))
-                at = stop
+            found = [net.score(m.params, m.base, m.vocabulary, m.tail, part) for part in _id_lists(batch, m.kind)]
             score = pa.array(np.concatenate([np.zeros(0), *found]))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], score], [*kept, "score"])
 

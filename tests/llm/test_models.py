@@ -283,28 +283,30 @@ def small_model(seed=0):
     vocabulary = attention.Vocabulary.from_counts(chance.integers(0, 9, 500).astype(float))
     params = {k: (v + chance.standard_normal(v.shape) * 0.1).astype(np.float32) for k, v in attention.first_params().items()}
     base = attention.neighbour_logits(np.zeros((attention.INPUTS + 1, attention.CLASSES)), np.ones(attention.CLASSES))
-    return params, base, vocabulary
+    tail = vocabulary.tail_logs(chance.integers(0, 3, (attention.CLASSES + 1) * attention.TAIL))
+    return params, base, vocabulary, tail
 
 
 def test_probabilities_sum_to_one_and_look_back_only():
-    params, base, vocabulary = small_model()
-    total = sum(10 ** attention.score(params, base, vocabulary, [np.array([i])])[0] for i in range(500))
-    assert total == pytest.approx(1, abs=1e-3)
+    model = small_model()
+    for before in ([], [3], [3, 499]):
+        scores = attention.score(*model, [np.array(before, int), *[np.array([*before, i]) for i in range(500)]])
+        assert sum(10 ** (s - scores[0]) for s in scores[1:]) == pytest.approx(1, abs=1e-3)
     ids = np.random.default_rng(1).integers(0, 500, 200)
-    whole = attention.score(params, base, vocabulary, [ids[:90], ids[:91], ids])
+    whole = attention.score(*model, [ids[:90], ids[:91], ids])
     assert whole[0] > whole[1] > whole[2]
 
 
 def test_every_id_is_scored_once():
-    _, _, vocabulary = small_model()
-    for n in (1, 7, 8, 9, 31, 32, 33, 56, 57, 200):
+    vocabulary = small_model()[2]
+    for n in (1, 4, 5, 23, 24, 25, 44, 45, 64, 65, 200):
         x, y, start, _ = attention.windows_of([np.arange(n) % 500], vocabulary)
         wanted = (y >= 0) & (np.arange(attention.WINDOW) >= start[:, None])
         assert sorted(y[wanted].tolist()) == sorted((np.arange(n) % 500).tolist())
 
 
 def test_gradients():
-    params, base, vocabulary = small_model()
+    params, base, *_ = small_model()
     params = {k: v.astype(np.float64) for k, v in params.items()}
     chance = np.random.default_rng(3)
     x = chance.integers(0, attention.INPUTS, (2, attention.WINDOW))
