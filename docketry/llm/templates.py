@@ -168,6 +168,7 @@ def contaminated(
 
     `n_windows` of the item's `item_windows` different windows are in the document, at least the share `coverage`; of the
     `n_slots` different values at placeholders `n_changed` differ between the two. A pair whose values disagree is no match.
+    In a text in capitals names are plain words, so an item with many names is not found there.
     Items with fewer than WINDOW template words, or with too few plain ones in every window, cannot be told from
     chance and match nothing; so do null and empty texts. Rows with a null id are left out. Rows of one id count as one
     document. Equal rows change nothing; no rows give no rows; other columns do not matter.
