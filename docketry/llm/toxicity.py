@@ -59,8 +59,14 @@ class Settings:
     counterfactual: float = 1.0
 
 
-def features_of(word: str) -> list[str]:
-    """The word, and its beginnings marked as such."""
+def named(groups: tuple[tuple[str, ...], ...]) -> frozenset[str]:
+    return frozenset(w for g in groups for w in g)
+
+
+def features_of(word: str, whole: frozenset[str]) -> list[str]:
+    """The word, and its beginnings marked as such; a swappable name in `whole` is one feature, so a swap changes it all."""
+    if word in whole:
+        return [word]
     return [word, *["^" + word[:k] for k in BEGINNINGS if k <= len(word)]]
 
 
@@ -75,22 +81,23 @@ class Model:
 
     weights: dict[str, tuple[float, float]]
     bias: float
+    whole: frozenset[str] = named(IDENTITY_TERMS)
 
     def __post_init__(self) -> None:
         self.known: dict[str, tuple[str, ...]] = {}
 
-    def __getstate__(self) -> tuple[dict[str, tuple[float, float]], float]:
-        return self.weights, self.bias
+    def __getstate__(self) -> tuple[dict[str, tuple[float, float]], float, frozenset[str]]:
+        return self.weights, self.bias, self.whole
 
-    def __setstate__(self, state: tuple[dict[str, tuple[float, float]], float]) -> None:
-        self.weights, self.bias = state
+    def __setstate__(self, state: tuple[dict[str, tuple[float, float]], float, frozenset[str]]) -> None:
+        self.weights, self.bias, self.whole = state
         self.known = {}
 
     def weighted(self, word: str) -> tuple[str, ...]:
         if word not in self.known:
             if len(self.known) >= KEPT_WORDS:
                 self.known = {}
-            self.known[word] = tuple(f for f in features_of(word) if f in self.weights)
+            self.known[word] = tuple(f for f in features_of(word, self.whole) if f in self.weights)
         return self.known[word]
 
     def score(self, text: str) -> float:
@@ -114,7 +121,7 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def features_of_rows(rows: DataFrame) -> DataFrame:
+def features_of_rows(rows: DataFrame, whole: frozenset[str]) -> DataFrame:
     """(features, counts, n_words, toxic): the different features of each row of (text, toxic) with their counts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +131,7 @@ def features_of_rows(rows: DataFrame) -> DataFrame:
                 words = Counter(WORD.findall(text.lower()))
                 found: Counter[str] = Counter()
                 for word, n in words.items():
-                    for f in features_of(word):
+                    for f in features_of(word, whole):
                         found[f] += n
                 names.append(sorted(found))
                 counts.append([found[f] for f in names[-1]])
@@ -171,8 +178,8 @@ def clear_features(rows: DataFrame, n: int, n_toxic: int, settings: Settings, al
     found = counts.withColumn("g", g)
     wanted = (both >= settings.least_texts) & (F.col("g") >= settings.least_g)
     best = found.filter(wanted).orderBy(F.desc("g"), "feature").limit(settings.features)
-    named = found.filter(F.col("feature").isin(always))
-    return sorted({r.feature for r in best.select("feature").union(named.select("feature")).collect()})
+    present = found.filter(F.col("feature").isin(always))
+    return sorted({r.feature for r in best.select("feature").union(present.select("feature")).collect()})
 
 
 def swaps(rows: list[np.ndarray], place: dict[str, int], groups: tuple[tuple[str, ...], ...]) -> list[tuple[int, int, float]]:
@@ -182,12 +189,12 @@ def swaps(rows: list[np.ndarray], place: dict[str, int], groups: tuple[tuple[str
     """
     counts: dict[tuple[int, int], float] = {}
     group_of = {w: g for g in groups for w in g}
-    named = {place[w]: w for w in group_of if w in place}
+    names = {place[w]: w for w in group_of if w in place}
     none = len(place)
     for row in rows:
         present = set(row.tolist())
-        for f in present & named.keys():
-            for other in group_of[named[f]]:
+        for f in present & names.keys():
+            for other in group_of[names[f]]:
                 to = place.get(other, none)
                 if to != f and to not in present:
                     counts[f, to] = counts.get((f, to), 0) + 1
@@ -247,11 +254,11 @@ def fit(
     # The broadcast holds fit_rows rows at most.
     rows = with_text(docs, F.col(id_column).alias("id"), text=text).join(F.broadcast(chosen), "id")
     # Copies count once, or a group of copies would make its own words look telling.
-    rows = stored(features_of_rows(rows).dropDuplicates(["features", "toxic"]), new_folder(spark, "toxic-features"))
+    rows = stored(features_of_rows(rows, named(groups)).dropDuplicates(["features", "toxic"]), new_folder(spark, "toxic-features"))
     n, n_toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).head()
     if not 0 < n_toxic < n:
         share = (n_toxic + 1) / (n + 2)
-        return Model({}, float(np.log(share / (1 - share))))
+        return Model({}, float(np.log(share / (1 - share))), named(groups))
     names = clear_features(rows, n, n_toxic, settings, [w for g in groups for w in g])
     place = {w: k for k, w in enumerate(names)}
     # At most fit_rows rows, each with at most the chosen features.
@@ -261,7 +268,7 @@ def fit(
     thick = [density(np.array(r.counts, float), r.n_words) for r in kept]
     labels_of = np.array([r.toxic for r in kept], float)
     there, dense, bias = fit_weights(present, thick, labels_of, len(names), swaps(present, place, groups), settings)
-    return Model(dict(zip(names, zip(there.tolist(), dense.tolist(), strict=True), strict=True)), bias)
+    return Model(dict(zip(names, zip(there.tolist(), dense.tolist(), strict=True), strict=True)), bias, named(groups))
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text") -> DataFrame:

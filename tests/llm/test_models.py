@@ -36,6 +36,7 @@ def nearest(rows, k=20):
 
 
 def vectors(spark, rows, kind="double"):
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v]) for i, v in rows]
     return spark.createDataFrame([(i, v, 1, "x") for i, v in rows], f"vec_id long, embedding array<{kind}>, rank int, score string")
 
 
