@@ -6,10 +6,14 @@ from docketry.llm import jaccard_join, templates, toxicity
 from docketry.llm.queries import TOXIC_FROM, queries, table
 
 
+# Large enough for labels to teach something.
+SF_DIR = "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def steps(spark):
     """What each stage returns on a whole small table."""
-    sf_dir = "/root/testdata/sf0.001"
+    sf_dir = SF_DIR
     docs, out = table(spark, sf_dir, "documents"), []
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir).cache()
@@ -22,7 +26,7 @@ def ids(frame):
 
 
 def test_each_stage_takes_effect(spark, steps):
-    sf_dir = "/root/testdata/sf0.001"
+    sf_dir = SF_DIR
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     clean = {r.doc_id for r in toxicity.score(docs, model).filter(f"score < {TOXIC_FROM}").collect()}
@@ -36,13 +40,13 @@ def test_each_stage_takes_effect(spark, steps):
 
 
 def test_all_but_the_last_keep_the_columns(spark, steps):
-    columns = table(spark, "/root/testdata/sf0.001", "documents").columns
+    columns = table(spark, SF_DIR, "documents").columns
     assert all(s.columns == columns for s in steps[:-1])
     assert steps[-1].columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
 def test_run_gives_the_last_stage(spark, steps):
-    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    got = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, steps[-1].collect()))
 
 
@@ -50,7 +54,7 @@ def test_stages_take_odd_and_no_rows(spark):
     for rows in (None, []):
         docs = frame(spark, rows)
         for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, "/root/testdata/sf0.001").cache()
+            docs = stage(spark, docs, SF_DIR).cache()
             assert (docs.count() > 0) == (rows is None)
 
 
