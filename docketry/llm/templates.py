@@ -1,10 +1,10 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Texts become templates: numbers, names and units are replaced by placeholders of their type, other words stay,
-lower-cased and without marks around them. Windows of WINDOW template words are joined by their hashes. What a
-document has at the places of placeholders must then agree with the item: one value of the item stands for one
-value of the document throughout, and the other way round. So a question with new numbers is found, and a chance
-match of a form is not.
+lower-cased and without marks around them. Windows of WINDOW template words are joined by their hashes, and matches are
+taken together by alignment, which is the place in the document less the place in the item. What a document has at the
+places of placeholders must then agree with the item: one value of the item stands for one value of the document
+throughout, and the other way round. So a question with new numbers is found, and a chance match of a form is not.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.bitmap import BITS, bit_map, is_set, low_bits
@@ -167,7 +167,8 @@ def contaminated(
     """(id, item_id, n_windows, item_windows, n_slots, n_changed) of each document and item of which it has enough.
 
     `n_windows` of the item's `item_windows` different windows are in the document, at least the share `coverage`; of the
-    `n_slots` different values at placeholders `n_changed` differ between the two. A pair whose values disagree is no match.
+    `n_slots` different values at placeholders `n_changed` differ between the two. Both hold for one place in the document,
+    so what matches elsewhere in it does not count against a copy; a pair whose values agree nowhere is no match.
     In a text in capitals names are plain words, so an item with many names is not found there.
     Items with fewer than WINDOW template words, or with too few plain ones in every window, cannot be told from
     chance and match nothing; so do null and empty texts. Rows with a null id are left out. Rows of one id count as one
@@ -176,32 +177,58 @@ def contaminated(
     spark = docs.sparkSession
     known = with_text(items.filter(F.col(item_id).isNotNull()), F.col(item_id).cast("long").alias("id"), text=item_text)
     of_items = stored(template_windows(known), new_folder(spark, "item-windows"))
-    sizes = of_items.groupBy("id").agg(F.countDistinct("window").alias("item_windows"))
+    sizes = of_items.groupBy("id").agg(
+        F.countDistinct("window").alias("item_windows"), (F.max("at") + WINDOW).alias("words")
+    )
     flags = spark.sparkContext.broadcast(bit_map(of_items, low_bits(F.col("window"))))
     rows = with_text(docs.filter(F.col(id_column).isNotNull()), F.col(id_column).cast("long").alias("id"), text=text)
-    of_docs = template_windows(rows, flags).select("id", "window", "slots")
-    right = of_items.select(F.col("id").alias("item"), "window", F.col("slots").alias("item_slots"))
+    of_docs = template_windows(rows, flags)
+    right = of_items.select(
+        F.col("id").alias("item"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")
+    )
     pair = F.transform(
         F.arrays_zip("slots", "item_slots"), lambda z: F.struct(z["slots"].alias("doc"), z["item_slots"].alias("item"))
     )
-    met = of_docs.join(right, "window").select(
-        "id", "item", "window", F.filter(pair, lambda z: z["item"].isNotNull()).alias("pairs")
+    met = of_docs.join(right, "window").join(sizes.withColumnRenamed("id", "item"), "item").select(
+        "id", "item", "window", "item_windows", F.filter(pair, lambda z: z["item"].isNotNull()).alias("pairs"),
+        F.explode(_groups(F.col("at") - F.col("item_at"), F.col("words"))).alias("group"),
     )
-    # An item bounds how many different windows and values of it there are.
-    found = met.groupBy("id", "item").agg(
-        F.countDistinct("window").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    met = stored(met, new_folder(spark, "met-windows"))
+    # Windows are counted first: values are gathered only where there are enough of them.
+    keys = ["id", "item", "group"]
+    counts = met.groupBy(*keys, "item_windows").agg(F.countDistinct("window").alias("n_windows"))
+    counts = counts.filter(F.col("n_windows") >= F.lit(coverage) * F.col("item_windows"))
+    gathered = met.join(counts.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    found = found.join(sizes.withColumnRenamed("id", "item"), "item")
-    values = found.withColumns({
+    values = gathered.join(counts, keys).withColumns({
         "n_slots": F.size("pairs").cast("long"),
         "n_changed": F.size(F.filter("pairs", lambda z: z["doc"] != z["item"])).cast("long"),
         "n_doc": F.size(F.array_distinct(F.transform("pairs", lambda z: z["doc"]))),
         "n_item": F.size(F.array_distinct(F.transform("pairs", lambda z: z["item"]))),
     })
     agrees = (F.col("n_doc") == F.col("n_slots")) & (F.col("n_item") == F.col("n_slots"))
-    enough = F.col("n_windows") >= F.lit(coverage) * F.col("item_windows")
-    return values.filter(agrees & enough).select(
-        F.col("id").alias(id_column), F.col("item").alias(item_id), "n_windows", "item_windows", "n_slots", "n_changed"
+    # Of the groups that agree, the one with the most windows, then with the fewest changes.
+    best = F.max(F.struct("n_windows", (-F.col("n_changed")).alias("less"), "n_slots", "item_windows"))
+    found = values.filter(agrees).groupBy("id", "item").agg(best.alias("best"))
+    return found.select(
+        F.col("id").alias(id_column), F.col("item").alias(item_id), "best.n_windows", "best.item_windows", "best.n_slots",
+        (-F.col("best.less")).alias("n_changed"),
+    )
+
+
+def _groups(shift: Column, words: Column) -> Column:
+    """The groups of matches that a match of this alignment belongs to, each of which is judged by itself.
+
+    Those of the same alignment; those whose alignments are less than the item's number of words apart, as a copy has
+    into which words were put, on two grids so that none is cut by an edge of both; and all.
+    """
+    def group(grid: int, place: Column) -> Column:
+        return F.struct(F.lit(grid).alias("grid"), place.cast("long").alias("place"))
+
+    return F.array(
+        group(0, shift), group(1, F.floor(shift / words)), group(2, F.floor((shift + F.floor(words / 2)) / words)),
+        group(3, F.lit(0)),
     )
 
 

@@ -153,6 +153,25 @@ def test_changed_numbers_and_names_are_found_if_they_agree(spark):
     assert got[1, 0][1] == 0 and got[2, 0][1] == 3
 
 
+TWICE = "the train goes {a} km in the first hour of the trip and then {b} km in the first hour of the way home"
+
+
+def test_each_place_of_an_item_is_judged_by_itself(spark):
+    one, other = ITEM.format(a="Anna", n="12", m="3"), ITEM.format(a="Bob", n="7", m="5")
+    wrong = other.replace("gave 7", "gave 8")
+    train = TWICE.format(a=60, b=80)
+    far = " ".join(f"w{k}" for k in range(300))
+    docs = [
+        (1, train), (2, TWICE.format(a=5, b=9)), (3, TWICE.format(a=60, b=60)),
+        (4, f"{one} {other}"), (5, f"{wrong} {one}"), (6, f"{one} {far} bought 9 red apples for 8 dollars, and then"),
+        (7, f"{wrong} {far} {wrong}"), (8, f"{other.replace('red', 'very red')} {far} {wrong}"),
+    ]
+    got = found(spark, docs, [(0, one), (1, other), (2, train)])
+    both = {(d, i) for d in (4, 5, 6, 8) for i in (0, 1)}
+    assert set(got) == both | {(1, 2), (2, 2)}
+    assert got[1, 2] == (4, 0) and got[2, 2] == (4, 2) and got[4, 0][1] == got[4, 1][1] == got[5, 0][1] == 0
+
+
 def test_no_rows(spark):
     assert found(spark, [], [(0, "a b c d e f g h i j")]) == {} and found(spark, [(1, "a b c d e f g h i j")], []) == {}
 
