@@ -5,6 +5,9 @@ lower-cased and without marks around them. Windows of WINDOW template words are
 taken together by alignment, which is the place in the document less the place in the item. What a document has at the
 places of placeholders must then agree with the item: one value of the item stands for one value of the document
 throughout, and the other way round. So a question with new numbers is found, and a chance match of a form is not.
+
+The words as they are, in small letters and without placeholders, are joined by their hashes as well, so that a verbatim
+copy is found whatever its words are and wherever its capitals and line breaks lie.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?:")] = True
 _FACTORS = odd_numbers(WINDOW, 23)
 _PLACEHOLDERS = odd_numbers(4, 29)
+_VERBATIM = odd_numbers(WINDOW, 31)
 
 
 def _word_hash(texts: list[str]) -> np.ndarray:
@@ -69,8 +73,11 @@ def _folded(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def template(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The template words of documents that lie one after the other: places, kinds and hashes.
+Typed = tuple[Words, np.ndarray, np.ndarray]
+
+
+def template(data: np.ndarray, offsets: np.ndarray) -> tuple[Typed, Typed]:
+    """The template words of documents that lie one after the other: places, kinds and hashes; and these of all words.
 
     A number begins with a digit, or with a sign and a digit. A name has one capital, at its beginning, though the word before it ends no
     sentence and no line break lies between; names that follow each other are one. Words of nothing but marks are left out.
@@ -104,6 +111,8 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray,
         kinds[begins & (capitals[ends] - capitals[starts] == 1) & (ends - starts > 1) & ~opens] = NAME
         kinds[np.isin(hashes, _UNIT_HASHES)] = UNIT
         kinds[digit | signed] = NUMBER
+    single = words, kinds, hashes
+    if len(starts):
         # A run of names is one name.
         again = np.zeros(len(kinds), bool)
         again[1:] = (kinds[1:] == NAME) & (kinds[:-1] == NAME) & (doc[1:] == doc[:-1])
@@ -113,12 +122,12 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray,
             total = np.add.reduceat(hashes, first)
             words = Words(lowered, starts[first], ends, doc[first], np.searchsorted(doc[first], np.arange(len(offsets))), cased.offsets)
             hashes, kinds = np.where(kinds[first] == NAME, mixed(total), hashes[first]), kinds[first]
-    return words, kinds, hashes
+    return (words, kinds, hashes), single
 
 
-def windows(data: np.ndarray, offsets: np.ndarray):
+def windows(made: Typed):
     """Documents, places and hashes of the windows with enough plain words, and a function for a window's slots."""
-    words, kinds, hashes = template(data, offsets)
+    words, kinds, hashes = made
     shape = np.where(kinds == PLAIN, hashes, _PLACEHOLDERS[kinds])
     runs, place = runs_of_words(words, shape, WINDOW, _FACTORS)
     plain = np.concatenate([[0], np.cumsum(kinds == PLAIN)])
@@ -136,26 +145,59 @@ def windows(data: np.ndarray, offsets: np.ndarray):
     return words.doc[place], place - words.first[words.doc[place]], runs, place, slots
 
 
-WINDOW_DDL = "id long, at long, window long, slots array<string>"
+def verbatim(single: Typed, lengths: list[int] | None):
+    """Documents, places and hashes of the runs of WINDOW words, and how many words these are.
+
+    Texts with fewer words are one run. With `lengths` instead all runs of these numbers of words.
+    """
+    words, _, hashes = single
+    size = np.diff(words.first)[words.doc]
+    found = []
+    for n in range(1, WINDOW + 1) if lengths is None else lengths:
+        runs, place = runs_of_words(words, hashes, n, _VERBATIM)
+        if lengths is None and n < WINDOW:
+            whole = size[place] == n
+            runs, place = runs[whole], place[whole]
+        doc = words.doc[place]
+        found.append((doc, place - words.first[doc], runs, np.full(len(doc), n)))
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
+WINDOW_DDL = "id long, at long, window long, slots array<string>, length long"
+
 
+def template_windows(texts: DataFrame, flags=None, lengths: list[int] | None = None) -> DataFrame:
+    """(id, at, window, slots, length) of the windows of (id, text); with a map of bits only of those it has.
 
-def template_windows(texts: DataFrame, flags=None) -> DataFrame:
-    """(id, at, window, slots) of the windows of (id, text); with a map of bits only of those it has."""
+    Verbatim windows have no slots, but the number of their words, which is 0 for the others.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def wanted(runs: np.ndarray) -> np.ndarray:
+            if flags is None:
+                return np.arange(len(runs))
+            return np.flatnonzero(is_set(flags.value, (runs & np.uint64(BITS - 1)).astype(np.int64)))
+
         for batch in batches:
             for row, _, data, offsets in text_slices(batch.column("text")):
-                doc, at, runs, place, slots = windows(data, offsets)
-                if flags is not None:
-                    some = np.flatnonzero(is_set(flags.value, (runs & np.uint64(BITS - 1)).astype(np.int64)))
-                    doc, at, runs, place = doc[some], at[some], runs[some], place[some]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").take(pa.array(doc + row)), pa.array(at, pa.int64()), pa.array(runs.view(np.int64)),
-                        pa.array([slots(p) for p in place.tolist()], pa.list_(pa.string())),
-                    ],
-                    ["id", "at", "window", "slots"],
-                )
+                made, single = template(data, offsets)
+                doc, at, runs, place, slots = windows(made)
+                some = wanted(runs)
+                doc, at, runs, place = doc[some], at[some], runs[some], place[some]
+                yield rows(batch, doc + row, at, runs, [slots(p) for p in place.tolist()], np.zeros(len(doc), int))
+                found = verbatim(single, lengths)
+                some = wanted(found[2])
+                doc, at, runs, length = (x[some] for x in found)
+                yield rows(batch, doc + row, at, runs, [[]] * len(some), length)
+
+    def rows(batch, doc, at, runs, slots, length) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("id").take(pa.array(doc, pa.int64())), pa.array(at, pa.int64()), pa.array(runs.view(np.int64)),
+                pa.array(slots, pa.list_(pa.string())), pa.array(length, pa.int64()),
+            ],
+            ["id", "at", "window", "slots", "length"],
+        )
 
     return texts.mapInArrow(cut, WINDOW_DDL)
 
@@ -169,35 +211,42 @@ def contaminated(
     `n_windows` of the item's `item_windows` different windows are in the document, at least the share `coverage`; of the
     `n_slots` different values at placeholders `n_changed` differ between the two. Both hold for one place in the document,
     so what matches elsewhere in it does not count against a copy; a pair whose values agree nowhere is no match.
-    In a text in capitals names are plain words, so an item with many names is not found there.
-    Items with fewer than WINDOW template words, or with too few plain ones in every window, cannot be told from
-    chance and match nothing; so do null and empty texts. Rows with a null id are left out. Rows of one id count as one
+    Where no such match is, a verbatim copy of the whole item counts, in small or capital letters and without slots: windows
+    are then its runs of WINDOW words, or the only run of a shorter one. Null and empty texts match nothing. Rows with a null id are left out. Rows of one id count as one
     document. Equal rows change nothing; no rows give no rows; other columns do not matter.
     """
     spark = docs.sparkSession
     known = with_text(items.filter(F.col(item_id).isNotNull()), F.col(item_id).cast("long").alias("id"), text=item_text)
     of_items = stored(template_windows(known), new_folder(spark, "item-windows"))
-    sizes = of_items.groupBy("id").agg(
-        F.countDistinct("window").alias("item_windows"), (F.max("at") + WINDOW).alias("words")
+    # A verbatim window counts at each place of the item, so that a whole item is all of its places.
+    exact = (F.col("length") > 0).alias("exact")
+    counted = F.when(exact, F.col("at")).otherwise(F.col("window"))
+    sizes = of_items.groupBy(F.col("id").alias("item"), exact).agg(
+        F.countDistinct(counted).alias("item_windows"), (F.max("at") + WINDOW).alias("words")
     )
     flags = spark.sparkContext.broadcast(bit_map(of_items, low_bits(F.col("window"))))
+    # At most WINDOW lengths.
+    lengths = sorted(x.length for x in of_items.filter("length > 0").select("length").distinct().collect())
     rows = with_text(docs.filter(F.col(id_column).isNotNull()), F.col(id_column).cast("long").alias("id"), text=text)
-    of_docs = template_windows(rows, flags)
+    of_docs = template_windows(rows, flags, lengths or [WINDOW]).select("id", "at", "window", "length", "slots")
     right = of_items.select(
-        F.col("id").alias("item"), "window", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")
+        F.col("id").alias("item"), "window", "length", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")
     )
     pair = F.transform(
         F.arrays_zip("slots", "item_slots"), lambda z: F.struct(z["slots"].alias("doc"), z["item_slots"].alias("item"))
     )
-    met = of_docs.join(right, "window").join(sizes.withColumnRenamed("id", "item"), "item").select(
-        "id", "item", "window", "item_windows", F.filter(pair, lambda z: z["item"].isNotNull()).alias("pairs"),
-        F.explode(_groups(F.col("at") - F.col("item_at"), F.col("words"))).alias("group"),
+    both = of_docs.join(right, ["window", "length"]).withColumn("exact", exact)
+    met = both.join(sizes, ["item", "exact"]).select(
+        "id", "item", "exact", "item_windows", F.when(F.col("exact"), F.col("item_at")).otherwise(F.col("window")).alias("window"),
+        F.filter(pair, lambda z: z["item"].isNotNull()).alias("pairs"),
+        F.explode(_groups(F.col("at") - F.col("item_at"), F.col("words"), F.col("exact"))).alias("group"),
     )
     met = stored(met, new_folder(spark, "met-windows"))
     # Windows are counted first: values are gathered only where there are enough of them.
-    keys = ["id", "item", "group"]
+    keys = ["id", "item", "exact", "group"]
     counts = met.groupBy(*keys, "item_windows").agg(F.countDistinct("window").alias("n_windows"))
-    counts = counts.filter(F.col("n_windows") >= F.lit(coverage) * F.col("item_windows"))
+    share = F.when(F.col("exact"), 1.0).otherwise(F.lit(coverage))
+    counts = counts.filter(F.col("n_windows") >= share * F.col("item_windows"))
     gathered = met.join(counts.select(*keys), keys, "left_semi").groupBy(*keys).agg(
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
@@ -208,8 +257,8 @@ def contaminated(
         "n_item": F.size(F.array_distinct(F.transform("pairs", lambda z: z["item"]))),
     })
     agrees = (F.col("n_doc") == F.col("n_slots")) & (F.col("n_item") == F.col("n_slots"))
-    # Of the groups that agree, the one with the most windows, then with the fewest changes.
-    best = F.max(F.struct("n_windows", (-F.col("n_changed")).alias("less"), "n_slots", "item_windows"))
+    # Of the groups that agree, one of templates, then the one with the most windows, then with the fewest changes.
+    best = F.max(F.struct((~F.col("exact")).alias("typed"), "n_windows", (-F.col("n_changed")).alias("less"), "n_slots", "item_windows"))
     found = values.filter(agrees).groupBy("id", "item").agg(best.alias("best"))
     return found.select(
         F.col("id").alias(id_column), F.col("item").alias(item_id), "best.n_windows", "best.item_windows", "best.n_slots",
@@ -217,19 +266,20 @@ def contaminated(
     )
 
 
-def _groups(shift: Column, words: Column) -> Column:
+def _groups(shift: Column, words: Column, exact: Column) -> Column:
     """The groups of matches that a match of this alignment belongs to, each of which is judged by itself.
 
     Those of the same alignment; those whose alignments are less than the item's number of words apart, as a copy has
-    into which words were put, on two grids so that none is cut by an edge of both; and all.
+    into which words were put, on two grids so that none is cut by an edge of both; and all. A verbatim match has only
+    the first.
     """
     def group(grid: int, place: Column) -> Column:
         return F.struct(F.lit(grid).alias("grid"), place.cast("long").alias("place"))
 
-    return F.array(
+    return F.when(exact, F.array(group(0, shift))).otherwise(F.array(
         group(0, shift), group(1, F.floor(shift / words)), group(2, F.floor((shift + F.floor(words / 2)) / words)),
         group(3, F.lit(0)),
-    )
+    ))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

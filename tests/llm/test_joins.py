@@ -172,6 +172,21 @@ def test_each_place_of_an_item_is_judged_by_itself(spark):
     assert got[1, 2] == (4, 0) and got[2, 2] == (4, 2) and got[4, 0][1] == got[4, 1][1] == got[5, 0][1] == 0
 
 
+def test_every_verbatim_copy_is_found(spark):
+    names = ITEM.format(a="Anna", n="12", m="3")
+    items = [
+        (0, names), (1, "12 + 7 = 19 and 19 + 4 = 23 and 23 + 8 = 31"), (2, "It was Anna Maria Luise Graz Bob Carl Dora Emil"),
+        (3, "Name the capital of Peru"), (4, "1 2 1 2 1 2 1 2 1 2"),
+    ]
+    docs = [
+        (1, f"so: {names.lower()} and so on"), (2, names.upper()), (3, names.replace(" ", "\n")),
+        *[(10 + i, f"Some words before, {t} some behind.") for i, t in items], *[(20 + i, t.lower()) for i, t in items],
+        (30, "12 + 7 = 19 and 19 + 4 = 23 and 23 + 8 = 32"), (31, "Name the capital of Chile"), (32, "1 2 1 2 1 2 1 2 1 3"),
+    ]
+    want = {(1, 0), (2, 0), (3, 0)} | {(d + i, i) for d in (10, 20) for i in range(5)}
+    assert set(found(spark, docs, items)) == want
+
+
 def test_no_rows(spark):
     assert found(spark, [], [(0, "a b c d e f g h i j")]) == {} and found(spark, [(1, "a b c d e f g h i j")], []) == {}
 
