@@ -16,9 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 
 # Ids of a window, and how many of them, from the window before, are only looked at.
-WINDOW, OVERLAP = 24, 4
+WINDOW, OVERLAP = 32, 8
 WIDTH, HIDDEN = 16, 32
-INPUTS, CLASSES, SINGLE, TAIL = 1024, 192, 160, 4096
+INPUTS, CLASSES, SINGLE, TAIL = 1024, 256, 224, 4096
 # Windows of a batch when scoring.
 BATCH = 128
 

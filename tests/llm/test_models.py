@@ -306,6 +306,13 @@ def test_every_id_is_scored_once():
         assert sorted(y[wanted].tolist()) == sorted((np.arange(n) % 500).tolist())
 
 
+def test_context_behind_an_edge_and_classes_of_their_own():
+    vocabulary = small_model()[2]
+    *_, start, _ = attention.windows_of([np.arange(200) % 500], vocabulary)
+    assert attention.WINDOW >= 32 and start[0] == 0 and (start[1:] >= 8).all()
+    assert (np.bincount(vocabulary.of_class) == 1).sum() >= 224
+
+
 def test_gradients():
     params, base, *_ = small_model()
     params = {k: v.astype(np.float64) for k, v in params.items()}
