@@ -166,15 +166,17 @@ def step(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted:
     """Mean loss over the wanted places of a batch of windows, and its gradient."""
     e, q, k, v, a, c, r, u, h = layers(p, x)
     n = max(1, int(wanted.sum()))
-    logits = h @ p["out"] + p["bias"] + base[x]
+    logits = h @ p["out"]
+    logits += (base + p["bias"])[x]
     logits -= logits.max(axis=2, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    b, t = np.indices(x.shape)
-    loss = -float((np.log(logits[b, t, target] + 1e-30) * wanted).sum()) / n
+    share = 1 / np.einsum("bij->bi", logits)
+    b, t = np.arange(len(x))[:, None], np.arange(x.shape[1])
+    loss = -float((np.log(logits[b, t, target] * share + 1e-30) * wanted).sum()) / n
     g = logits
-    g[b, t, target] -= 1
-    g *= (wanted / n)[:, :, None].astype(F32)
+    weight = wanted.astype(logits.dtype) / logits.dtype.type(n)
+    g *= (share * weight)[:, :, None]
+    g[b, t, target] -= weight
     grad: Params = {}
 
     def flat(y: np.ndarray) -> np.ndarray:

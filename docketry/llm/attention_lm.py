@@ -1,8 +1,8 @@
 """Scores of whole texts under a small causal self-attention model that is trained on the corpus itself.
 
 All training text gives the counts: of words (for the base score), of ids, and of neighbouring ids, which are the
-model's starting point. The layers are then trained side by side on windows from every training document, as many as its
-length deserves, and their weights averaged after each round. Scoring cuts each text into windows that overlap, and scores
+model's starting point. The layers are then trained side by side on all windows of all training documents, each id in one
+of them, and their weights averaged after each round. Scoring cuts each text into windows that overlap, and scores
 each id once.
 
 Ids are those of a public tokenizer for the lower-cased text, with one end id. Words are runs of bytes other than space
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm import attention as net
-from docketry.llm.text import text_slices, with_text, words_of
+from docketry.llm.text import mixed, text_slices, with_text, words_of
 from docketry.llm.token_files import encoder
 from docketry.sources.workspace import new_folder, stored
 
@@ -28,9 +28,7 @@ from docketry.sources.workspace import new_folder, stored
 FREQUENT = 200_000
 # Different words a task sums up before it hands them on.
 SUMMED = 400_000
-# A training document gives one window for each so many ids, and one at least; of a small corpus more, until the windows
-# last for all steps of one part.
-IDS_PER_WINDOW = 1_536
+# A part has windows for STEPS steps in each round, or up to twice as many; each of its windows is in one round.
 ROUNDS, STEPS, WINDOWS_PER_STEP, RATE = 4, 120, 96, 0.01
 # Ids that are handled together.
 TOGETHER = 1 << 15
@@ -198,61 +196,78 @@ def train(texts: DataFrame, kind: np.dtype, size: int) -> Model:
     seen = _summed(texts, kind, pairs, (net.INPUTS + 1) * net.CLASSES).reshape(-1, net.CLASSES).astype(float)
     base = net.neighbour_logits(seen, seen.sum(axis=0))
     params = net.first_params()
-    each = int(counts.sum()) // (ROUNDS * STEPS * WINDOWS_PER_STEP)
-    each = max(net.WINDOW // 2, min(IDS_PER_WINDOW, each))
-    windows = stored(_windows(texts, shared, kind, each), new_folder(spark, "windows"))
-    total = windows.count()
-    if total:
-        parts = max(1, total // (ROUNDS * STEPS * WINDOWS_PER_STEP))
-        windows = windows.withColumn("part", F.pmod("mark", F.lit(parts)))
-        for number in range(ROUNDS):
-            params = _round(windows, params, base, shared, number)
+    wide = F.lit(np.dtype(kind).itemsize * net.WINDOW)
+    total = texts.agg(F.sum(F.ceil(F.length("ids") / wide)).alias("n")).head().n or 0
+    parts = max(1, total // (ROUNDS * STEPS * WINDOWS_PER_STEP))
+    for number in range(ROUNDS if total else 0):
+        params = _round(_windows(texts, kind, parts, number), params, base, shared, kind, parts, number)
     return Model(params, base, vocabulary, tail, kind)
 
 
-def _windows(texts: DataFrame, vocabulary, kind: np.dtype, each: int) -> DataFrame:
-    """(mark, window) of training windows: the input places and ids, from places that a digest of the text picks."""
+def _marks(seed: int, ids: np.ndarray) -> np.ndarray:
+    """A number without order for each window of a text, other ones for other texts and other seeds."""
+    digest = int((ids * np.arange(1, len(ids) + 1)).sum())
+    n = -(-len(ids) // net.WINDOW)
+    first = mixed(np.array([(seed + digest) & (2**64 - 1)], np.uint64))
+    return (mixed(first + np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(1)).astype(np.int64)
+
+
+def _windows(texts: DataFrame, kind: np.dtype, parts: int, number: int) -> DataFrame:
+    """(mark, part, opens, window) of the training windows of a round: their ids and, but at the beginning of a text, the
+    one before them. Together the rounds have all windows, each in one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary.value
+        wide = np.dtype(kind).itemsize
         for batch in batches:
-            marks, found = [], []
-            for y in (y.astype(np.int64) for part in _id_lists(batch, kind) for y in part):
-                wanted = -(-len(y) // each)
-                digest = int((y * np.arange(1, len(y) + 1)).sum()) & 0x7FFFFFFF
-                chance = np.random.default_rng(digest)
-                x = np.concatenate([[net.INPUTS], v.of_input[y[:-1]]])
-                for begin in chance.integers(0, max(1, len(y) - net.WINDOW + 1), wanted).tolist():
-                    part = np.full((2, net.WINDOW), -1, np.int32)
-                    m = min(net.WINDOW, len(y) - begin)
-                    part[0, :m], part[1, :m] = x[begin : begin + m], v.of_class[y[begin : begin + m]]
-                    marks.append(int(chance.integers(0, 1 << 62)))
-                    found.append(part.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(found, pa.binary())], ["mark", "window"])
-
-    return texts.select("ids").mapInArrow(cut, "mark long, window binary")
-
-
-def _round(windows: DataFrame, params: net.Params, base: np.ndarray, vocabulary, number: int) -> net.Params:
-    """Train from `params` on each part of the windows by itself, and average what comes out."""
+            marks, opens, found = [np.zeros(0, np.int64)], [], []
+            for seed, raw in zip(batch.column("seed").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                own = _marks(seed, np.frombuffer(raw, kind).astype(np.int64))
+                here = np.flatnonzero(own // parts % ROUNDS == number)
+                marks.append(own[here])
+                for k in here.tolist():
+                    opens.append(k == 0)
+                    found.append(raw[max(0, k * net.WINDOW - 1) * wide : (k + 1) * net.WINDOW * wide])
+            mark = np.concatenate(marks)
+            columns = [pa.array(mark), pa.array(mark % parts), pa.array(opens, pa.bool_()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["mark", "part", "opens", "window"])
+
+    return texts.select("seed", "ids").mapInArrow(cut, "mark long, part long, opens boolean, window binary")
+
+
+def _unpacked(raw: list[bytes], opens: np.ndarray, kind: np.dtype, vocabulary: net.Vocabulary):
+    """Input places, classes and wanted places of windows as `_windows` gives them."""
+    size = np.array([len(w) for w in raw], np.int64) // np.dtype(kind).itemsize
+    end = np.cumsum(size)
+    ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
+    place = (end - size + ~opens)[:, None] + np.arange(net.WINDOW)
+    inside = place < end[:, None]
+    place = np.minimum(place, len(ids) - 1)
+    x = vocabulary.of_input[ids[np.maximum(place - 1, 0)]]
+    x[opens, 0] = net.INPUTS
+    return np.where(inside, x, 0), np.where(inside, vocabulary.of_class[ids[place]], 0), inside.astype(np.float32)
+
+
+def _round(windows: DataFrame, params: net.Params, base: np.ndarray, vocabulary, kind: np.dtype, parts: int, number: int) -> net.Params:
+    """Train from `params` on all windows of each part by itself, and average what comes out."""
     spark = windows.sparkSession
     shared = spark.sparkContext.broadcast((params, base))
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("mark", "ascending"), ("window", "ascending")])
-        raw = b"".join(table.column("window").to_pylist())
-        both = np.frombuffer(raw, np.int32).reshape(-1, 2, net.WINDOW)
-        wanted = (both[:, 1] >= 0).astype(np.float32)
-        x, target = np.maximum(both[:, 0], 0), np.maximum(both[:, 1], 0)
+        opens = np.array(table.column("opens").to_pylist(), bool)
+        x, target, wanted = _unpacked(table.column("window").to_pylist(), opens, kind, vocabulary.value)
         start, logits = shared.value
         rate = RATE * 0.6**number
-        found = net.train(start, logits, x, target, wanted, STEPS, rate, number, WINDOWS_PER_STEP)
+        steps = -(-len(x) // WINDOWS_PER_STEP)
+        found = net.train(start, logits, x, target, wanted, steps, rate, number, WINDOWS_PER_STEP)
         values = np.concatenate([found[name].reshape(-1) for name in sorted(found)]).astype(np.float64)
         return pa.table({"at": pa.array(np.arange(len(values))), "value": pa.array(values)})
 
-    trained = windows.groupBy("part").applyInArrow(fit, "at long, value double")
+    trained = windows.repartition(parts, "part").groupBy("part").applyInArrow(fit, "at long, value double")
     # One row a weight.
     table = trained.groupBy("at").agg(F.avg("value").alias("value")).toArrow()
+    if not table.num_rows:
+        return params
     flat = np.empty(table.num_rows, np.float32)
     flat[table.column("at").to_numpy()] = table.column("value").to_numpy()
     out, place = {}, 0
@@ -300,7 +315,8 @@ def score_documents(docs: DataFrame, definition: str, id_column: str = "doc_id",
 
     texts = stored(read_texts(rows, base, definition).withColumn("row", F.monotonically_increasing_id()), new_folder(spark, "texts"))
     tool = encoder(definition)
-    model = train(texts.filter("NOT held_out").select("ids"), tool.kind, tool.size + 1)
+    seed = F.xxhash64(F.col("doc_id").cast("string")).alias("seed")
+    model = train(texts.filter("NOT held_out").select(seed, "ids"), tool.kind, tool.size + 1)
 
     listed = texts.select("row", F.explode(F.arrays_zip("rare", "rare_counts")).alias("z"))
     listed = listed.select("row", F.col("z.rare").alias("word"), F.col("z.rare_counts").alias("m"))

@@ -313,6 +313,24 @@ def test_context_behind_an_edge_and_classes_of_their_own():
     assert (np.bincount(vocabulary.of_class) == 1).sum() >= 224
 
 
+def test_each_training_id_is_stepped_on_once(spark):
+    vocabulary, kind = small_model()[2], np.dtype(np.uint16)
+    texts = [np.random.default_rng(n).integers(0, 500, n).astype(kind) for n in (1, 31, 32, 33, 700, 20_000)]
+    data = spark.createDataFrame([(n, bytearray(y.tobytes())) for n, y in enumerate(texts)], "seed long, ids binary")
+    seen, inputs = np.zeros(attention.CLASSES, int), np.zeros(attention.INPUTS + 1, int)
+    for parts in (1, 3):
+        for number in range(attention_lm.ROUNDS):
+            rows = attention_lm._windows(data, kind, parts, number).collect()
+            opens = np.array([r.opens for r in rows], bool)
+            x, y, wanted = attention_lm._unpacked([bytes(r.window) for r in rows], opens, kind, vocabulary)
+            seen += np.bincount(y[wanted > 0], minlength=attention.CLASSES)
+            inputs += np.bincount(x[wanted > 0], minlength=attention.INPUTS + 1)
+            assert len(rows) > 100 and {r.part for r in rows} == set(range(parts))
+    before = np.concatenate([vocabulary.of_input[y[:-1]] for y in texts])
+    assert (seen == 2 * np.bincount(vocabulary.of_class[np.concatenate(texts)], minlength=attention.CLASSES)).all()
+    assert inputs[attention.INPUTS] == 12 and (inputs[:-1] == 2 * np.bincount(before, minlength=attention.INPUTS)).all()
+
+
 def test_gradients():
     params, base, *_ = small_model()
     params = {k: v.astype(np.float64) for k, v in params.items()}
