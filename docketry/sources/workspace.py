@@ -45,6 +45,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{mine}/{name}-{uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later step reads, if it is there."""
+    place, system = hadoop_path(spark, path)
+    system.delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that their Python workers can import it.
 
