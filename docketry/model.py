@@ -137,6 +137,11 @@ TRAIN_UNTIL, VALIDATE_UNTIL = 2015, 2017
 ROWS_PER_YEAR = 100_000
 SEED = 42
 SMOTE_NEIGHBOURS = 5
+LOGISTIC_STEPS = 1000
+FOREST_TREES, FOREST_DEPTH = 50, 10
+BOOSTING_ROUNDS, BOOSTING_RATE = 100, 0.05
+BOOSTING_DEPTH = 6
+BOOSTING_LEAVES = 31
 DISPOSE_FROM = 0.5
 LINEUP_COLUMNS = [
     "ddl_case_id",

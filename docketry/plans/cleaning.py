@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry import model
@@ -50,6 +50,35 @@ def derived_features(valid: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def problem(filing_text: Column, malformed: Column) -> Column:
+    """Why a message is no fact, null if it is one; dates must be typed already, `filing_text` is the filing date as sent."""
+    filing = F.col("date_of_filing")
+    given = F.coalesce(filing_text, F.lit("")) != ""
+    return (
+        F.when(malformed, "malformed")
+        .when(filing.isNull() & given, "unreadable filing date")
+        .when(filing.isNull(), "no filing date")
+        .when(~C.possible(filing, F.col("date_of_decision")), "decided before filing")
+    )
+
+
+def judged_cases(checked: DataFrame, keys: dict[str, Lookup], as_of: date) -> DataFrame:
+    """All messages in one pass: the 21 columns of a fact, or `problem` and the message as it came.
+
+    `checked` is from `decode_checked`. A message with a problem has its id (but if it is malformed) and the text in `value`; its other columns are null.
+    """
+    sent = checked.withColumn("_filing", F.col("date_of_filing"))
+    judged = typed_cases(sent).withColumn("problem", problem(F.col("_filing"), F.col("malformed")))
+    # A bad message is kept out of the joins by null codes, which match nothing.
+    codes = {c: F.when(F.col("problem").isNull(), F.col(c)) for c in model.CODE_COLUMNS}
+    derived = derived_features(enriched_cases(judged.withColumns(codes), keys), as_of)
+    named = derived.withColumnsRenamed(model.RENAMED)
+    good = F.col("problem").isNull()
+    facts = [F.when(good, F.col(c)).alias(c) for c in model.CLEANED_COLUMNS if c != "ddl_case_id"]
+    sure = F.when(F.col("malformed"), F.lit(None)).otherwise(F.col("ddl_case_id")).alias("ddl_case_id")
+    return named.select(sure, *facts, "problem", F.when(~good, F.col("value")).alias("value"))
+
+
 def cases_cleaned(messages: DataFrame, keys: dict[str, Lookup], as_of: date) -> DataFrame:
     """The 21 column fact table. The filter runs before the joins and drops rows early."""
     valid = enriched_cases(valid_cases(typed_cases(messages)), keys)

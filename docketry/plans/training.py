@@ -8,20 +8,26 @@ from functools import reduce
 from uuid import uuid4
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import attribution, features, metrics
+from docketry.operators import attribution, boosting, features, metrics
 from docketry.operators.balance import smote_balance
+from docketry.operators.boosting import Boosting
+from docketry.operators.ensembles import Ensemble, split_counts
 from docketry.operators.sampling import split_cases, yearly_cap
+from docketry.sources.sinks import replace_table
 from docketry.sources.workspace import side_by_side, stored
 
+DEEP = "Gradient Boosting (depth 6)"
 REGISTERED = "Gradient Boosting (31 leaves)"
 
+Learner = Estimator | Boosting
+Fitted = Model | Ensemble
+
 REGISTRY_DDL = (
     "model_name string, model_version string, trained_on timestamp, f1_score double, roc_auc double, "
     "accuracy double, mae double, rmse double, model_path string, reg_model_path string, encoder_path string"
@@ -35,42 +41,47 @@ class Settings:
     validate_until: int = model.VALIDATE_UNTIL
     # At most so many training rows of a filing year fit the classifiers; None for all. Nothing else is capped.
     rows_per_year: int | None = model.ROWS_PER_YEAR
-    rounds: int = 100
-    trees: int = 50
+    rounds: int = model.BOOSTING_ROUNDS
+    trees: int = model.FOREST_TREES
     # The first so many test rows in order of their ids are explained; None for all.
     explained_rows: int | None = None
 
 
-def classifiers(balanced_rows: int, settings: Settings) -> dict[str, Estimator]:
+def by_depth(kind: str, rounds: int) -> Boosting:
+    """Trees of bounded depth, with a ridge of 1 and at least curvature 1 on each side."""
+    return Boosting(
+        kind, rounds, model.BOOSTING_RATE, max_depth=model.BOOSTING_DEPTH, ridge=1.0, least_curvature=1.0, max_bins=256
+    )
+
+
+def by_leaves(kind: str, rounds: int) -> Boosting:
+    """Trees of 31 leaves grown best first, with at least 20 rows a leaf; the smaller class weighs as much as the larger one."""
+    return Boosting(
+        kind, rounds, model.BOOSTING_RATE, max_leaves=model.BOOSTING_LEAVES, least_rows=20, least_curvature=1e-3, max_bins=255,
+        balance_classes=kind == "logistic",
+    )
+
+
+def classifiers(balanced_rows: int, settings: Settings) -> dict[str, Learner]:
     """The four classifiers.
 
-    The logistic penalty is one over the row count on unscaled features, which is
-    the usual penalty of strength 1 on the summed loss. Trees see up to 256
-    candidate values per feature. Growth by leaves is not in MLlib: depth 5 with
-    at least 20 rows per leaf gives up to 32 leaves. The classes are balanced
-    before, so weights per class would all be equal and are left out.
+    The logistic penalty is one over the row count on unscaled features, which is the usual penalty of strength 1 on the summed
+    loss. Trees see up to 256 candidate values per feature.
     """
-    common = {"labelCol": "is_resolved", "seed": model.SEED, "maxBins": 256}
-    boosting = {**common, "maxIter": settings.rounds, "stepSize": 0.05}
     return {
         "Logistic Regression": LogisticRegression(
-            labelCol="is_resolved", maxIter=1000, regParam=1.0 / balanced_rows, standardization=False
+            labelCol="is_resolved", maxIter=model.LOGISTIC_STEPS, regParam=1.0 / balanced_rows, standardization=False
+        ),
+        "Random Forest": RandomForestClassifier(
+            labelCol="is_resolved", seed=model.SEED, maxBins=256, numTrees=settings.trees, maxDepth=model.FOREST_DEPTH
         ),
-        "Random Forest": RandomForestClassifier(**common, numTrees=settings.trees, maxDepth=10),
-        "Gradient Boosting (depth 6)": GBTClassifier(**boosting, maxDepth=6),
-        REGISTERED: GBTClassifier(**boosting, maxDepth=5, minInstancesPerNode=20),
+        DEEP: by_depth("logistic", settings.rounds),
+        REGISTERED: by_leaves("logistic", settings.rounds),
     }
 
 
-def regressors(settings: Settings) -> dict[str, Estimator]:
-    boosting = {
-        "labelCol": "case_age_days", "seed": model.SEED, "maxBins": 256,
-        "maxIter": settings.rounds, "stepSize": 0.05,
-    }
-    return {
-        "Gradient Boosting (depth 6)": GBTRegressor(**boosting, maxDepth=6),
-        REGISTERED: GBTRegressor(**boosting, maxDepth=5, minInstancesPerNode=20),
-    }
+def regressors(settings: Settings) -> dict[str, Learner]:
+    return {DEEP: by_depth("squares", settings.rounds), REGISTERED: by_leaves("squares", settings.rounds)}
 
 
 @dataclass(frozen=True)
@@ -98,39 +109,56 @@ def prepare(cases: DataFrame, folder: str, settings: Settings) -> TrainingData:
     return TrainingData(balanced, train, test, encoder_path)
 
 
-def with_score(fitted: Model, rows: DataFrame) -> DataFrame:
+def learned(learner: Learner, rows: DataFrame, label: str) -> Fitted:
+    if isinstance(learner, Boosting):
+        return boosting.fit(rows, model.FEATURES, label, learner)
+    return learner.fit(features.with_vector(rows))
+
+
+def with_score(fitted: Fitted, rows: DataFrame) -> DataFrame:
+    """`score`, the probability of being resolved, and `prediction`, whether it is above one half."""
+    if isinstance(fitted, Ensemble):
+        score = 1 / (1 + F.exp(-fitted.margin(rows.sparkSession)))
+        scored = rows.withColumn("score", score)
+        return scored.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
     scored = fitted.transform(features.with_vector(rows))
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
+def with_days(fitted: Ensemble, rows: DataFrame, column: str = "prediction") -> DataFrame:
+    return rows.withColumn(column, fitted.margin(rows.sparkSession))
+
+
 def _named(result: DataFrame, name: str) -> DataFrame:
     return result.select(F.lit(name).alias("model_name"), "*")
 
 
-def fit_all(data: TrainingData, settings: Settings) -> tuple[dict[str, Model], dict[str, Model], DataFrame]:
-    """All fitted models and their comparison on the test rows, one row per model.
-
-    Boosting is a long chain of small jobs, so the models are fitted side by side
-    and share the cluster.
-    """
-    balanced = features.with_vector(data.balanced)
-    resolved, resolved_test = (
-        features.with_vector(part.filter("is_resolved = 1")) for part in (data.train, data.test)
-    )
-    fits = [(n, e, balanced) for n, e in classifiers(data.balanced.count(), settings).items()]
-    fits += [(f"{n} (Regression)", e, resolved) for n, e in regressors(settings).items()]
-    fitted = side_by_side(balanced.sparkSession, lambda fit: (fit[0], fit[1].fit(fit[2])), fits, len(fits))
-    fitted_days = {n: m for n, m in fitted if n.endswith("(Regression)")}
-    fitted_classes = {n: m for n, m in fitted if n not in fitted_days}
-
+def comparison(
+    classes: dict[str, Fitted], days: dict[str, Ensemble], rows: DataFrame
+) -> DataFrame:
+    """The metrics of all models on the test rows, one row a model; regressors are held to the resolved rows."""
+    resolved = rows.filter("is_resolved = 1")
     found: list[DataFrame] = []
-    for name, classifier in fitted_classes.items():
-        scored = with_score(classifier, data.test)
+    for name, classifier in classes.items():
+        scored = with_score(classifier, rows)
         found.append(_named(metrics.classification_metrics(scored, "is_resolved", "score", "prediction"), name))
-    for name, regressor in fitted_days.items():
-        result = metrics.regression_metrics(regressor.transform(resolved_test), "case_age_days", "prediction")
+    for name, regressor in days.items():
+        result = metrics.regression_metrics(with_days(regressor, resolved), "case_age_days", "prediction")
         found.append(_named(result, name))
-    return fitted_classes, fitted_days, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+
+def fit_all(data: TrainingData, settings: Settings) -> tuple[dict[str, Fitted], dict[str, Ensemble]]:
+    """All fitted models.
+
+    Boosting is a long chain of small jobs, so the models are fitted side by side and share the cluster.
+    """
+    resolved = data.train.filter("is_resolved = 1")
+    fits = [(n, e, data.balanced, "is_resolved") for n, e in classifiers(data.balanced.count(), settings).items()]
+    fits += [(f"{n} (Regression)", e, resolved, "case_age_days") for n, e in regressors(settings).items()]
+    fitted = side_by_side(data.train.sparkSession, lambda fit: (fit[0], learned(*fit[1:])), fits, len(fits))
+    days = {n: m for n, m in fitted if n.endswith("(Regression)")}
+    return {n: m for n, m in fitted if n not in days}, days
 
 
 def train_models(
@@ -141,24 +169,22 @@ def train_models(
     version = uuid4().hex[:12]
     folder = f"{root}/models/{version}"
     data = prepare(cases, folder, settings)
-    fitted_classes, fitted_days, compared = fit_all(data, settings)
-    comparison = stored(compared, f"{root}/model_comparison")
+    fitted_classes, fitted_days = fit_all(data, settings)
+    compared = replace_table(comparison(fitted_classes, fitted_days, data.test), f"{root}/model_comparison")
 
     paths = {"model_path": f"{folder}/classifier", "reg_model_path": f"{folder}/regressor"}
     classifier, regressor = fitted_classes[REGISTERED], fitted_days[f"{REGISTERED} (Regression)"]
-    classifier.write().overwrite().save(paths["model_path"])
-    regressor.write().overwrite().save(paths["reg_model_path"])
+    nodes = stored(classifier.nodes(spark), paths["model_path"])
+    stored(regressor.nodes(spark), paths["reg_model_path"])
 
-    importance = stored(attribution.split_counts(spark, paths["model_path"]), f"{root}/feature_importance")
-    leaves = attribution.leaves_of(spark, paths["model_path"], classifier.treeWeights)
+    importance = replace_table(split_counts(nodes, model.FEATURES), f"{root}/feature_importance")
     sample = data.test
     if settings.explained_rows is not None:
         sample = sample.orderBy("ddl_case_id").limit(settings.explained_rows)
-    # The margin of the boosted classifier is half the log odds.
-    values = stored(attribution.shapley_values(sample, leaves, scale=2.0), f"{root}/shap_values")
-    summary = stored(attribution.shapley_summary(values), f"{root}/shap_summary")
+    values = replace_table(attribution.shapley_values(sample, attribution.leaves_of(classifier)), f"{root}/shap_values")
+    summary = replace_table(attribution.shapley_summary(values), f"{root}/shap_summary")
 
-    scores = {r["model_name"]: r for r in comparison.collect()}
+    scores = {r["model_name"]: r for r in compared.collect()}
     entry = {
         "model_name": REGISTERED,
         "model_version": version,
@@ -170,7 +196,7 @@ def train_models(
     }
     # Earlier entries stay; the newest one is the one in use.
     spark.createDataFrame([entry], REGISTRY_DDL).write.mode("append").parquet(f"{root}/model_registry")
-    return dict(zip(ML_TABLES, [comparison, importance, values, summary]))
+    return dict(zip(ML_TABLES, [compared, importance, values, summary]))
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:

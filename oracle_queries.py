@@ -352,6 +352,28 @@ CLEANING = {
 }
 
 
+# Messages that come twice, or are cut off.
+_SENT = """
+judged AS (
+  SELECT t.ddl_case_id, CASE WHEN CAST(substr(m.ddl_case_id, 2) AS BIGINT) % 89 = 0 THEN 'malformed'
+      WHEN t.date_of_filing IS NULL AND m.date_of_filing <> '' THEN 'unreadable filing date'
+      WHEN t.date_of_filing IS NULL THEN 'no filing date'
+      WHEN t.date_of_decision < t.date_of_filing THEN 'decided before filing' END AS problem,
+    unnest(CASE WHEN CAST(substr(m.ddl_case_id, 2) AS BIGINT) % 7 = 0 THEN [0, 1] ELSE [0] END) AS copy
+  FROM messages m JOIN typed t USING (ddl_case_id))
+"""
+CLEANING["stream_problems"] = from_typed(
+    f", {_SENT} SELECT " + ", ".join(
+        f"count(*) FILTER (problem = '{name}') AS {name.replace(' ', '_')}"
+        for name in ["malformed", "unreadable filing date", "no filing date", "decided before filing"]
+    ) + ", CAST(count(*) FILTER (copy = 1 AND problem IS DISTINCT FROM 'malformed') AS BIGINT) AS repeated_ids FROM judged"
+)
+CLEANING["stream_quarantine"] = from_typed(
+    f", {_SENT} SELECT CASE WHEN problem <> 'malformed' THEN ddl_case_id END AS ddl_case_id, problem, "
+    "CASE WHEN problem = 'malformed' THEN 40 END AS size FROM judged WHERE problem IS NOT NULL"
+)
+
+
 _SPLIT = """
 parts AS (
   SELECT *, CASE WHEN filing_year <= 1998 THEN 'train' WHEN filing_year <= 2000 THEN 'validation'
@@ -532,21 +554,98 @@ def _run_cells() -> str:
     return " UNION ALL ".join([_cells(), rows, *sizes])
 
 
-_MODELS = [
-    "Logistic Regression", "Random Forest", "Gradient Boosting (depth 6)", "Gradient Boosting (31 leaves)",
-    "Gradient Boosting (depth 6) (Regression)", "Gradient Boosting (31 leaves) (Regression)",
-]
-_CLASS_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
-_DAY_METRICS = ["mae", "rmse", "r2_score"]
-
-
-def _comparison() -> str:
-    parts = []
-    for name in _MODELS:
-        days = name.endswith("(Regression)")
-        flags = [f"{days != (m in _CLASS_METRICS)} AS has_{m}" for m in [*_CLASS_METRICS, *_DAY_METRICS]]
-        parts.append(f"SELECT '{name}' AS model_name, " + ", ".join(flags))
-    return " UNION ALL ".join(parts)
+# The bins of a fit with 16 of them, and the gradients of its first round: classes weigh the same, so each row has half its weight.
+_BINS = f"""
+train AS (SELECT * FROM featured WHERE split = 'train'),
+valued AS (
+  UNPIVOT (SELECT is_resolved, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES)} FROM train)
+  ON {", ".join(_FEATURES)} INTO NAME feature VALUE x),
+counted AS (SELECT feature, x, count(*) AS n FROM valued GROUP BY ALL),
+placed AS (
+  SELECT feature, x, coalesce(sum(n) OVER (PARTITION BY feature ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS place, sum(n) OVER (PARTITION BY feature) AS whole,
+    count(*) OVER (PARTITION BY feature) AS different
+  FROM counted),
+cuts AS (
+  SELECT feature, max(x) AS cut FROM placed
+  GROUP BY feature, CASE WHEN different <= 16 THEN place ELSE floor(before * 16 / whole) END)
+"""
+_PLACES = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(_FEATURES)) + " END"
+_GAINS = f"""
+classes AS (
+  SELECT greatest(1, sum(is_resolved) / sum(1 - is_resolved)) AS weight_0,
+    greatest(1, sum(1 - is_resolved) / sum(is_resolved)) AS weight_1 FROM train),
+sloped AS (
+  SELECT feature, x, CASE WHEN is_resolved = 1 THEN weight_1 * (0.5 - 1) ELSE weight_0 * 0.5 END AS g,
+    CASE WHEN is_resolved = 1 THEN weight_1 ELSE weight_0 END * 0.25 AS h
+  FROM valued, classes),
+histogram AS (
+  SELECT feature, (SELECT min(cut) FROM cuts c WHERE c.feature = s.feature AND c.cut >= s.x) AS cut, count(*) AS n, sum(g) AS g, sum(h) AS h
+  FROM sloped s GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER upto AS left_n, sum(g) OVER upto AS left_g, sum(h) OVER upto AS left_h, sum(n) OVER whole AS all_n,
+    sum(g) OVER whole AS all_g, sum(h) OVER whole AS all_h
+  FROM histogram WINDOW upto AS (PARTITION BY feature ORDER BY cut), whole AS (PARTITION BY feature)),
+gains AS (
+  SELECT *, CASE WHEN least(left_n, all_n - left_n) >= 20 THEN left_g ** 2 / (left_h + 1)
+    + (all_g - left_g) ** 2 / (all_h - left_h + 1) - all_g ** 2 / (all_h + 1) END AS gain FROM running),
+best AS (SELECT * FROM gains WHERE gain > 1e-9 ORDER BY round(gain, 9) DESC, {_PLACES}, cut LIMIT 1)
+"""
+_FIT = [_SPLIT, _LABELS, _FEATURED, _BINS]
+
+# The leaves of the fixed ensembles: value, and for each of the two features the interval and the share of rows that goes there.
+_FIXED_LEAVES = """
+leaves AS (
+  SELECT * FROM (VALUES
+    ('Fixed', 'hearing_span_days', -1e9, 60, 0.4, 'delay_cat_encoded', -1e9, 1, 0.625, -0.5),
+    ('Fixed', 'hearing_span_days', -1e9, 60, 0.4, 'delay_cat_encoded', 1, 1e9, 0.375, 0.3),
+    ('Fixed', 'hearing_span_days', 60, 1e9, 0.6, 'filing_month', -1e9, 6, 0.6, 0.1),
+    ('Fixed', 'hearing_span_days', 60, 1e9, 0.6, 'filing_month', 6, 1e9, 0.4, 0.7),
+    ('Fixed', 'judge_encoded', -1e9, 2, 0.6, 'gender_encoded', -1e9, -1, 0.25, 0.2),
+    ('Fixed', 'judge_encoded', -1e9, 2, 0.6, 'gender_encoded', -1, 1e9, 0.75, -0.4),
+    ('Fixed', 'judge_encoded', 2, 1e9, 0.4, 'case_type_encoded', -1e9, 1, 0.625, 0.6),
+    ('Fixed', 'judge_encoded', 2, 1e9, 0.4, 'case_type_encoded', 1, 1e9, 0.375, -0.1),
+    ('Days', 'delay_cat_encoded', -1e9, 1, 0.5, 'filing_month', -1e9, 4, 0.4, -400),
+    ('Days', 'delay_cat_encoded', -1e9, 1, 0.5, 'filing_month', 4, 1e9, 0.6, -150),
+    ('Days', 'delay_cat_encoded', 1, 1e9, 0.5, 'filing_day_of_week', -1e9, 2, 0.2, 300),
+    ('Days', 'delay_cat_encoded', 1, 1e9, 0.5, 'filing_day_of_week', 2, 1e9, 0.8, 700))
+  AS t(model, f1, low1, high1, s1, f2, low2, high2, s2, value)),
+tested AS (
+  UNPIVOT (SELECT ddl_case_id, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES) + """
+    FROM featured WHERE split = 'test') ON """ + ", ".join(_FEATURES) + """ INTO NAME feature VALUE x),
+met AS (
+  SELECT ddl_case_id, model, f1, f2, CAST(value AS DOUBLE) AS value, CAST(s1 AS DOUBLE) AS s1, CAST(s2 AS DOUBLE) AS s2,
+    CASE WHEN a.x > low1 AND a.x <= high1 THEN 1 ELSE 0 END AS in1, CASE WHEN b.x > low2 AND b.x <= high2 THEN 1 ELSE 0 END AS in2
+  FROM leaves JOIN tested a ON a.feature = f1 JOIN tested b USING (ddl_case_id) WHERE b.feature = f2),
+margins AS (SELECT ddl_case_id, model, sum(value * in1 * in2) AS margin FROM met GROUP BY ALL),
+called AS (
+  SELECT m.ddl_case_id, 0.25 + margin AS margin, 1 / (1 + exp(-0.25 - margin)) AS score, 0.25 + margin > 0 AS called, p.is_resolved
+  FROM margins m JOIN parts p USING (ddl_case_id) WHERE model = 'Fixed'),
+days AS (
+  SELECT 900 + margin AS days, CAST(p.case_age_days AS DOUBLE) AS age
+  FROM margins m JOIN parts p USING (ddl_case_id) WHERE model = 'Days' AND p.is_resolved = 1)
+"""
+_COMPARED = """
+  SELECT 'Fixed' AS model_name,
+    round(count(*) FILTER ((is_resolved = 1) = called) / count(*), 4) AS accuracy,
+    round(coalesce(count(*) FILTER (is_resolved = 1 AND called) / nullif(count(*) FILTER (called), 0), 0), 4) AS precision,
+    round(coalesce(count(*) FILTER (is_resolved = 1 AND called) / nullif(count(*) FILTER (is_resolved = 1), 0), 0), 4) AS recall,
+    round(coalesce(2 * count(*) FILTER (is_resolved = 1 AND called)
+      / nullif(count(*) FILTER (is_resolved = 1) + count(*) FILTER (called), 0), 0), 4) AS f1_score,
+    (SELECT round(sum(CASE WHEN round(p.score, 12) > round(n.score, 12) THEN 1.0 WHEN round(p.score, 12) = round(n.score, 12) THEN 0.5 ELSE 0 END)
+      / count(*), 4) FROM called p, called n WHERE p.is_resolved = 1 AND n.is_resolved = 0) AS roc_auc,
+    NULL AS mae, NULL AS rmse, NULL AS r2_score
+  FROM called
+  UNION ALL SELECT 'Fixed (Regression)', NULL, NULL, NULL, NULL, NULL, round(avg(abs(days - age)), 2),
+    round(sqrt(avg((days - age) ** 2)), 2), round(1 - avg((days - age) ** 2) / var_pop(age), 4) FROM days
+"""
+_ATTRIBUTED = f"""
+attributed AS (
+  SELECT ddl_case_id, f1 AS feature, value * (in1 - s1) * (in2 + s2) / 2 AS phi FROM met WHERE model = 'Fixed'
+  UNION ALL SELECT ddl_case_id, f2, value * (in2 - s2) * (in1 + s1) / 2 FROM met WHERE model = 'Fixed'
+  UNION ALL SELECT ddl_case_id, feature, 0 FROM tested),
+each_row AS (SELECT ddl_case_id, feature, sum(phi) AS phi FROM attributed GROUP BY ALL)
+"""
 
 
 _PLAIN_LINEUP = [
@@ -557,15 +656,38 @@ _LINEUP = from_cleaned(
     "SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _PLAIN_LINEUP)
     + f", CAST({AS_OF} AS VARCHAR) AS prediction_date, true AS outcome_agrees {_PENDING_ROWS}"
 )
-_EACH_FEATURE = " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS {{}}" for f in _FEATURES)
-
 MODELS = {
-    "model_comparison": _comparison(),
-    "feature_importance": _EACH_FEATURE.replace("{}", "adds_up"),
+    "boosting_cuts": from_cleaned("SELECT feature, cut FROM cuts", *_FIT),
+    "boosting_first_gains": from_cleaned(
+        "SELECT feature, cut, n, round(g, 6) AS gradient, round(h, 6) AS curvature, round(gain, 6) AS gain FROM gains", *_FIT, _GAINS
+    ),
+    "boosting_first_tree": from_cleaned(
+        "SELECT -1 AS tree, 0 AS node, NULL AS feature, NULL AS threshold, NULL AS \"left\", NULL AS \"right\", CAST(0 AS DOUBLE) AS value, "
+        "NULL AS n_rows "
+        "UNION ALL SELECT 0, 0, feature, cut, 1, 2, NULL, CAST(all_n AS BIGINT) FROM best "
+        "UNION ALL SELECT 0, 1, NULL, NULL, NULL, NULL, round(-0.05 * left_g / (left_h + 1), 9), CAST(left_n AS BIGINT) FROM best "
+        "UNION ALL SELECT 0, 2, NULL, NULL, NULL, NULL, round(-0.05 * (all_g - left_g) / (all_h - left_h + 1), 9), "
+        "CAST(all_n - left_n AS BIGINT) FROM best",
+        *_FIT, _GAINS,
+    ),
+    "feature_importance": from_cleaned(
+        "SELECT DISTINCT c.feature, CAST(CASE WHEN b.feature IS NULL THEN 0 ELSE 1 END AS BIGINT) AS importance "
+        "FROM cuts c LEFT JOIN best b ON b.feature = c.feature",
+        *_FIT, _GAINS,
+    ),
+    "ensemble_scores": from_cleaned(
+        "SELECT ddl_case_id, round(margin, 9) AS margin, round(score, 9) AS score, CAST(called AS INT) AS prediction, "
+        "round(margin, 9) AS by_intervals FROM called",
+        _SPLIT, _LABELS, _FEATURED, _FIXED_LEAVES,
+    ),
+    "model_comparison": from_cleaned(_COMPARED, _SPLIT, _LABELS, _FEATURED, _FIXED_LEAVES),
+    "shapley_summary": from_cleaned(
+        "SELECT feature, round(avg(abs(phi)), 9) AS mean_abs_shap FROM each_row GROUP BY feature",
+        _SPLIT, _LABELS, _FEATURED, _FIXED_LEAVES, _ATTRIBUTED,
+    ),
     "shapley_values": from_cleaned(
         "SELECT ddl_case_id, CAST(0 AS DOUBLE) AS missed FROM parts WHERE split = 'test'", _SPLIT
     ),
-    "shapley_summary": _EACH_FEATURE.replace("{}", "agrees"),
     "latest_model": (
         "SELECT r_name AS model_name, 'v' || r_regionkey AS model_version, make_date(2020, 1, 4) AS trained_on "
         "FROM region ORDER BY least(r_regionkey + 1, 4) DESC, 'v' || r_regionkey DESC LIMIT 1"

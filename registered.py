@@ -5,18 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import attribution, balance, features, lookups, metrics, profile, sampling
+from docketry.operators import attribution, balance, boosting, ensembles, features, lookups, metrics, profile, sampling
 from docketry.plans import cleaning, scoring, summaries, training
 from docketry.plans.run import run_all
 from docketry.sources import files, sinks, testdata
 from docketry.sources import messages as msg
-from docketry.sources.workspace import new_folder, stored
+from docketry.sources.workspace import hadoop_path, new_folder, stored
 from docketry.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +154,33 @@ def stream_quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.agg(*[F.sum(c).alias(c) for c in counters])
 
 
+def troubled(spark: SparkSession, sf_dir: str) -> str:
+    """Drain messages of which some come twice and some are cut off, in several micro-batches that are merged on the way."""
+    folder = new_folder(spark, "troubled")
+    number = F.substring("ddl_case_id", 2, 20).cast("bigint")
+    rows = testdata.case_messages(spark, sf_dir)
+    rows = rows.unionByName(rows.filter(number % 7 == 0)).withColumn("cut_off", number % 89 == 0)
+    sent = msg.encode(rows.filter("NOT cut_off").drop("cut_off"))
+    cut_off = msg.encode(rows.filter("cut_off").drop("cut_off")).select(F.substring("value", 1, 40).alias("value"))
+    sent.unionByName(cut_off).repartition(8).write.text(f"{folder}/topic")
+    stream = ingest.file_messages(spark, f"{folder}/topic", 2)
+    keys = lookups.stored_keys(testdata.case_keys(spark, sf_dir), f"{folder}/keys")
+    ingest.ingest_run(stream, keys, testdata.AS_OF, folder, "first", most=2)
+    return folder
+
+
+def stream_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The problems and repeated ids summed over the batches."""
+    log = spark.read.parquet(f"{troubled(spark, sf_dir)}/batch_problems")
+    return log.agg(*[F.sum(c).alias(c) for c in log.columns if c != "batch_id"])
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that are no facts, with the length of their text."""
+    bad = spark.read.parquet(f"{troubled(spark, sf_dir)}/quarantine")
+    return bad.select("ddl_case_id", "problem", F.when(F.col("problem") == "malformed", F.length("value")).alias("size"))
+
+
 def stored_summaries(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     """All summary tables from one scan, written and read back."""
     folder = new_folder(spark, "summaries")
@@ -299,12 +325,106 @@ def lineup_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ddl_case_id", score.alias("score"), scoring.outcome(score).alias("predicted_outcome"))
 
 
-_ROOTS: dict[tuple[str, str], str] = {}
+# Few bins, so that features with more values than bins are there on small data too.
+FIRST_TREE = boosting.Boosting("logistic", rounds=1, max_leaves=2, ridge=1.0, least_rows=20, max_bins=16, balance_classes=True)
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = featured(spark, sf_dir).filter("split = 'train'").select(*model.FEATURES, "is_resolved")
+    return stored(rows, new_folder(spark, "train"))
+
+
+def boosting_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosting.cut_points(training_rows(spark, sf_dir), model.FEATURES, FIRST_TREE.max_bins)
+
+
+def boosting_first_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histograms of the first round and the gain behind each bin."""
+    found = boosting.first_gains(training_rows(spark, sf_dir), model.FEATURES, "is_resolved", FIRST_TREE)
+    return found.withColumns({c: F.round(c, 6) for c in ("gradient", "curvature", "gain")})
+
+
+def first_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosting.fit(training_rows(spark, sf_dir), model.FEATURES, "is_resolved", FIRST_TREE).nodes(spark)
+
+
+def boosting_first_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of a fit of one round with two leaves."""
+    return first_tree(spark, sf_dir).withColumn("value", F.round("value", 9))
+
+
+def two_level_tree(features_: list[str], thresholds: list[float], values: list[float], n_rows: list[int]) -> ensembles.Tree:
+    """A root and two nodes below it, each with two leaves."""
+    at = [model.FEATURES.index(f) for f in features_] + [0] * 4
+    return ensembles.Tree(
+        np.array(at), np.array([*thresholds, 0.0, 0.0, 0.0, 0.0]), np.array([1, 3, 5, 3, 4, 5, 6]), np.array([2, 4, 6, 3, 4, 5, 6]),
+        np.array([0.0, 0.0, 0.0, *values]), np.array(n_rows),
+    )
+
+
+# A small ensemble that is the same for all data, to hold scores, metrics and attributions of the given rows to their statements.
+FIXED = ensembles.Ensemble(
+    model.FEATURES, 0.25,
+    [
+        two_level_tree(
+            ["hearing_span_days", "delay_cat_encoded", "filing_month"], [60.0, 1.0, 6.0], [-0.5, 0.3, 0.1, 0.7], [100, 40, 60, 25, 15, 36, 24]
+        ),
+        two_level_tree(
+            ["judge_encoded", "gender_encoded", "case_type_encoded"], [2.0, -1.0, 1.0], [0.2, -0.4, 0.6, -0.1], [200, 120, 80, 30, 90, 50, 30]
+        ),
+    ],
+)
+FIXED_DAYS = ensembles.Ensemble(
+    model.FEATURES, 900.0,
+    [two_level_tree(["delay_cat_encoded", "filing_month", "filing_day_of_week"], [1.0, 4.0, 2.0], [-400.0, -150.0, 300.0, 700.0], [10, 5, 5, 2, 3, 1, 4])],
+)
+
+
+def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(featured(spark, sf_dir).filter("split = 'test'"), new_folder(spark, "test"))
+
+
+def ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows scored by the fixed ensemble: down its trees, and by joining the intervals of its leaves."""
+    rows = test_rows(spark, sf_dir)
+    scored = training.with_score(FIXED, rows).withColumn("margin", FIXED.margin(spark))
+    joined = ensembles.scored_by_intervals(rows, FIXED.leaves(spark), model.FEATURES, "ddl_case_id")
+    joined = joined.select("ddl_case_id", F.round(F.col("margin") + FIXED.base, 9).alias("by_intervals"))
+    plain = [F.round(c, 9).alias(c) for c in ("margin", "score")]
+    return scored.select("ddl_case_id", *plain, F.col("prediction").cast("int")).join(joined, "ddl_case_id", "left")
+
+
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of the fixed ensembles on the test rows, as those of the trained models are found."""
+    return training.comparison({"Fixed": FIXED}, {"Fixed (Regression)": FIXED_DAYS}, test_rows(spark, sf_dir))
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ensembles.split_counts(first_tree(spark, sf_dir), model.FEATURES)
+
+
+def shapley_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean attributions of the fixed ensemble over the test rows."""
+    values = attribution.shapley_values(test_rows(spark, sf_dir), attribution.leaves_of(FIXED))
+    return attribution.shapley_summary(values).withColumn("mean_abs_shap", F.round("mean_abs_shap", 9))
+
+
+_ROOTS: dict[tuple[str, str, str], str] = {}
+
+
+def data_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files of a data folder."""
+    found = []
+    for name in testdata.TABLES:
+        place, system = hadoop_path(spark, f"{sf_dir}/{name}.parquet")
+        if system.exists(place):
+            found += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in system.listStatus(place)]
+    return "\n".join(sorted(found))
 
 
 def whole_run(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of one run over case and key files; done once per session and data folder."""
-    mark = (spark.sparkContext.applicationId, sf_dir)
+    """The folder of one run over case and key files; done once per session for the same files."""
+    mark = (spark.sparkContext.applicationId, sf_dir, data_state(spark, sf_dir))
     if mark not in _ROOTS:
         root = new_folder(spark, "run")
         for table, frame in testdata.raw_keys(spark, sf_dir).items():
@@ -346,48 +466,24 @@ def entry_of(spark: SparkSession, sf_dir: str) -> Row:
     return training.latest_model(training.read_registry(spark, whole_run(spark, sf_dir)))
 
 
-def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The models, and which metrics each has; their values depend on the fits and have tests of their own."""
-    compared = learned("model_comparison", spark, sf_dir)
-    return compared.select(
-        "model_name", *[(F.col(c).isNotNull() & F.col(c).between(-1e9, 1e9)).alias(f"has_{c}") for c in compared.columns[1:]]
-    )
-
-
-def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The features, and whether their splits add up to all splits of the stored model."""
-    found = learned("feature_importance", spark, sf_dir)
-    splits = attribution.tree_nodes(spark, entry_of(spark, sf_dir)["model_path"]).filter("leftChild >= 0")
-    total = splits.agg(F.count(F.lit(1)).alias("splits"))
-    counted = found.agg(F.sum("importance").alias("counted")).join(total, F.col("counted") == F.col("splits"), "left")
-    agrees = counted.select(F.col("splits").isNotNull().alias("adds_up")).head()[0]
-    return found.select("feature", F.lit(bool(agrees)).alias("adds_up"))
+def trained_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of the models that a whole run trains."""
+    return learned("model_comparison", spark, sf_dir)
 
 
 def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each test row, and by how much its attributions and the base miss the model's log odds."""
     root, entry = whole_run(spark, sf_dir), entry_of(spark, sf_dir)
-    classifier = GBTClassificationModel.load(entry["model_path"])
-    base = attribution.leaves_of(spark, entry["model_path"], classifier.treeWeights).base
+    classifier = ensembles.read_ensemble(spark, entry["model_path"], model.FEATURES)
+    base = attribution.leaves_of(classifier).base + classifier.base
     rows = spark.read.parquet(f"{entry['encoder_path'].rsplit('/', 1)[0]}/features").filter("split = 'test'")
-    # The raw prediction is the margin and its negative; the margin is half the log odds.
-    margins = classifier.transform(features.with_vector(rows)).select(
-        "ddl_case_id", (2 * vector_to_array("rawPrediction")[1]).alias("margin")
-    )
+    margins = rows.select("ddl_case_id", classifier.margin(spark).alias("margin"))
     values = spark.read.parquet(f"{root}/shap_values")
     total = reduce(lambda a, b: a + b, [F.col(f"shap_{f}") for f in model.FEATURES])
-    missed = F.abs(total + F.lit(2 * base) - F.col("margin"))
+    missed = F.abs(total + F.lit(base) - F.col("margin"))
     return values.join(margins, "ddl_case_id").select("ddl_case_id", F.round(missed, 6).alias("missed"))
 
 
-def shapley_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The features, and whether each mean is that of the values of all test rows."""
-    values, summary_ = (learned(n, spark, sf_dir) for n in ("shap_values", "shap_summary"))
-    means = values.agg(*[F.avg(F.abs(f"shap_{f}")).alias(f) for f in model.FEATURES]).unpivot([], model.FEATURES, "feature", "mean")
-    agrees = F.abs(F.col("mean") - F.col("mean_abs_shap")) <= 1e-9 * (1 + F.col("mean"))
-    return summary_.join(means, "feature").select("feature", agrees.alias("agrees"))
-
-
 def latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest of a registry with one entry for each region; two have the same time."""
     regions = testdata.table(spark, sf_dir, "region")
@@ -450,6 +546,8 @@ def queries() -> dict[str, Query]:
         "export_summaries": export_summaries,
         "stream_cases_cleaned": stream_cases_cleaned,
         "stream_quality_log": stream_quality_log,
+        "stream_problems": stream_problems,
+        "stream_quarantine": stream_quarantine,
         "resolved_pool": resolved_pool,
         "pending_pool": pending_pool,
         "cleaning_profile": cleaning_profile,
@@ -468,7 +566,12 @@ def queries() -> dict[str, Query]:
         "regression_metrics": regression_metrics,
         "pending_candidates": pending_candidates,
         "lineup_outcome": lineup_outcome,
+        "boosting_cuts": boosting_cuts,
+        "boosting_first_gains": boosting_first_gains,
+        "boosting_first_tree": boosting_first_tree,
+        "ensemble_scores": ensemble_scores,
         "end_to_end_run": end_to_end_run,
+        "trained_models": trained_models,
         "model_comparison": model_comparison,
         "feature_importance": feature_importance,
         "shapley_values": shapley_values,

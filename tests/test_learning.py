@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry import model
-from docketry.operators import attribution, balance, features, metrics, sampling
+from docketry.operators import attribution, balance, ensembles, features, metrics, sampling
 from docketry.operators.running import running_totals
 from docketry.plans import scoring, training
 from docketry.sources.workspace import checkpointed, new_folder, stored
@@ -191,21 +191,25 @@ def test_comparison_has_all_models(trained):
 def test_importance_counts_splits(spark, trained):
     rows = {r["feature"]: r["importance"] for r in trained[1]["feature_importance"].collect()}
     entry = training.latest_model(training.read_registry(spark, trained[0]))
-    nodes = attribution.tree_nodes(spark, entry["model_path"]).filter("leftChild >= 0").count()
-    assert set(rows) == set(model.FEATURES) and sum(rows.values()) == nodes
+    splits = spark.read.parquet(entry["model_path"]).filter("feature IS NOT NULL").count()
+    assert set(rows) == set(model.FEATURES) and sum(rows.values()) == splits
 
 
-def test_shapley_adds_up_to_the_margin(spark, trained):
-    from pyspark.ml.classification import GBTClassificationModel
+def test_registered_model_is_grown_by_leaves(spark, trained):
+    entry = training.latest_model(training.read_registry(spark, trained[0]))
+    leaves = spark.read.parquet(entry["model_path"]).filter("feature IS NULL AND tree >= 0").groupBy("tree").count().collect()
+    assert len(leaves) == 3 and 16 < max(r["count"] for r in leaves) <= 31
 
+
+def test_shapley_adds_up_to_the_margin(spark, trained):
     entry = training.latest_model(training.read_registry(spark, trained[0]))
-    fitted = GBTClassificationModel.load(entry["model_path"])
-    leaves = attribution.leaves_of(spark, entry["model_path"], fitted.treeWeights)
+    fitted = ensembles.read_ensemble(spark, entry["model_path"], model.FEATURES)
+    leaves = attribution.leaves_of(fitted)
     rows = spark.read.parquet(f"{trained[0]}/models/{entry['model_version']}/features").limit(40)
     scored = training.with_score(fitted, rows).select("ddl_case_id", F.log(F.col("score") / (1 - F.col("score"))))
     want = dict(map(tuple, scored.collect()))
-    values = attribution.shapley_values(rows, leaves, scale=2.0)
-    total = sum((F.col(f"shap_{f}") for f in model.FEATURES), F.lit(2.0 * leaves.base))
+    values = attribution.shapley_values(rows, leaves)
+    total = sum((F.col(f"shap_{f}") for f in model.FEATURES), F.lit(leaves.base + fitted.base))
     got = dict(map(tuple, values.select("ddl_case_id", total).collect()))
     assert got == pytest.approx(want, abs=1e-6) and len(got) == 40
 

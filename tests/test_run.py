@@ -27,6 +27,8 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path, facts):
     got = tables["cases_cleaned"].fillna("", ["judge_position"])  # a file cannot hold a null text
     assert sorted(map(str, got.collect())) == sorted(map(str, facts.fillna("", ["judge_position"]).collect()))
     assert tables["data_quality_log"].count() == 2
+    assert tables["quarantine"].count() == tables["data_quality_log"].agg({"impossible_dates": "sum"}).first()[0]
+    assert len(list((tmp_path / "out" / "_runs").iterdir())) == 1 and not (tmp_path / "out" / "_lease").exists()
     assert set(SUMMARY_TABLES) <= set(tables)
     assert tables["model_comparison"].count() == 6 and tables["model_registry"].count() == 2
     # The cap bounds the rows that fit the classifiers alone: every test row is explained.
