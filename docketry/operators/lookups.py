@@ -13,9 +13,10 @@ from docketry.functions.columns import code_to_int
 from docketry.sources.workspace import stored
 
 BROADCAST_BYTES = 64 << 20
-# A salted task of a code that holds the whole fact reads about this much of it.
-SALT_BYTES = 256 << 20
-SALTS = range(8, 4097)
+# Codes that hold this share of a fact are joined apart from the others.
+HEAVY_SHARE = 1 / 256
+# Rows that match nothing in a shuffled join are spread over so many places.
+PLACES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -80,25 +81,41 @@ def check_sizes(lookups: dict[str, Lookup], limit: int = BROADCAST_BYTES) -> dic
     return {name: replace(lk, small=found[name] <= limit) for name, lk in lookups.items()}
 
 
-def salts_for(fact: DataFrame) -> int:
-    """How many salts the fact needs, from the size of the largest table that it is read from."""
-    leaves = fact._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = max(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return max(SALTS[0], min(SALTS[-1], size // SALT_BYTES))
+def heavy_codes(fact: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> list[int]:
+    """The hashes of the codes that hold at least about `share` of the fact.
+
+    A sketch of frequent items is filled within the tasks and merged; of a code with twice the sketch's error it is certain, and
+    its error is far below `share`. At most 1 / `share` codes come back, whatever the fact holds.
+    """
+    code = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]), F.xxhash64(*on)).alias("code")
+    kept = int(16 / share)
+    found = fact.select(code).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(code, {int(1 / share)}, {kept}) FILTER (WHERE code IS NOT NULL)").alias("top")
+    ).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] >= share * found["n"]]
 
 
-def lookup_join(fact: DataFrame, lookup: Lookup, salts: int | None = None) -> DataFrame:
+def lookup_join(fact: DataFrame, lookup: Lookup, share: float = HEAVY_SHARE) -> DataFrame:
     """Left join a unique lookup onto a fact; the row count never changes.
 
-    Within the checked bound the lookup is broadcast and the fact is not moved.
-    Beyond it both sides are shuffled on the key plus a salt, the lookup once per
-    salt, so a code that holds much of the fact is spread over `salts` tasks.
-    The salt is a hash of the row and stays the same when a task is rerun.
+    Within the checked bound the lookup is broadcast and the fact is not moved. Beyond it the codes that hold `share` of the
+    fact are found first, by reading the fact's codes once; their few rows of the lookup are broadcast. All
+    other codes are joined once, by a shuffle of both sides, in which rows of the heavy codes, and those without a code, go to
+    any task by a hash of the whole row: no code has more than about `share` of the rows of the shuffle.
     """
     on = list(lookup.on)
     if lookup.small:
         return fact.join(F.broadcast(lookup.frame), on, "left")
-    salts = salts or salts_for(fact)
-    copies = lookup.frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")
-    return fact.withColumn("_salt", salt).join(copies, on + ["_salt"], "left").drop("_salt")
+    names = [c for c in lookup.frame.columns if c not in on]
+    heavy = heavy_codes(fact, on, share)
+    is_heavy = F.xxhash64(*on).isin(heavy) if heavy else F.lit(False)
+    known = F.struct(*names)
+    few = lookup.frame.filter(is_heavy).select(*on, known.alias("_few"))
+    # Always 0, but not a literal: with one the optimizer would take the place out of the keys of the join.
+    nowhere = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    rest = lookup.frame.filter(~is_heavy).select(*on, nowhere.alias("_place"), known.alias("_rest"))
+    alone = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on], is_heavy)
+    place = F.when(alone, F.pmod(F.xxhash64(*fact.columns), F.lit(PLACES)) + 1).otherwise(0).cast("int")
+    joined = fact.withColumn("_place", place).join(F.broadcast(few), on, "left").join(rest, [*on, "_place"], "left")
+    found = [F.coalesce(f"_few.{c}", f"_rest.{c}").alias(c) for c in names]
+    return joined.select(*on, *[c for c in fact.columns if c not in on], *found)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.functions.columns import code_to_int
+from docketry.sources.workspace import hadoop_path, side_by_side
+
+log = logging.getLogger(__name__)
 
 
 def profile(frame: DataFrame, name: str) -> DataFrame:
@@ -40,6 +45,56 @@ def profile_tables(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(f, n) for n, f in frames.items()])
 
 
+PROFILE_DDL = (
+    "table_name string, status string, note string, row_count bigint, column_count int, position int, column_name string, "
+    "column_type string, nulls bigint, first_value string"
+)
+
+
+def _counts_and_first_row(frame: DataFrame) -> list[tuple]:
+    """(rows, columns, position, name, type, nulls, value of the first row) of each column, in one pass.
+
+    The first row is the smallest by its columns in order, the same one on each run.
+    """
+    names = [f"`{c}`" for c in frame.columns]
+    row = frame.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(names)])).alias("first"),
+        *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(names)],
+    )
+    shown = row.select("n", *[f"c{i}" for i in range(len(names))], *[F.col(f"first.v{i}").cast("string").alias(f"f{i}") for i in range(len(names))])
+    found = shown.first()
+    return [
+        (found["n"], len(names), i, f.name, f.dataType.simpleString(), found["n"] - found[f"c{i}"], found[f"f{i}"])
+        for i, f in enumerate(frame.schema)
+    ]
+
+
+def profile_paths(spark: SparkSession, paths: dict[str, str], reader: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
+    """The profile of each source by its path: a row per column, or one warning row.
+
+    Sources are read by themselves, several at a time: one that is `missing`, `unreadable` (with the first line of the error in
+    `note`) or `empty` of columns does not keep the others from being read. `reader` reads a path, Parquet by default.
+    Rows are as many as columns in all sources.
+    """
+    read = reader or (lambda session, path: session.read.parquet(path))
+
+    def of(name: str) -> list[tuple]:
+        place, system = hadoop_path(spark, paths[name])
+        if not system.exists(place):
+            log.warning("no file for %s: %s", name, paths[name])
+            return [(name, "missing", paths[name], *[None] * 7)]
+        try:
+            columns = _counts_and_first_row(read(spark, paths[name]))
+        except Exception as error:  # noqa: BLE001 - whatever a reader raises is what the row reports
+            note = str(error).strip().splitlines()[0][:200] if str(error).strip() else type(error).__name__
+            log.warning("cannot read %s: %s", name, note)
+            return [(name, "unreadable", note, *[None] * 7)]
+        return [(name, "ok", None, *c) for c in columns] or [(name, "empty", None, *[None] * 7)]
+
+    rows = side_by_side(spark, of, paths)
+    return spark.createDataFrame([r for part in rows for r in part], PROFILE_DDL)
+
+
 def first_rows(frame: DataFrame, rows: int, *order: str) -> DataFrame:
     """The sample rows of a profile: the first in the given order, the same ones on each run."""
     return frame.orderBy(*order).limit(rows)

@@ -233,6 +233,24 @@ def _profile() -> str:
     return from_messages(" UNION ALL ".join(parts))
 
 
+def _profile_files() -> str:
+    """Counts of each table, and of its first row by all columns the texts and whole numbers; then the two sources that cannot be read."""
+    parts = []
+    for table, columns in TABLE_COLUMNS.items():
+        names = columns.split()
+        order = ", ".join(f"{c} ASC NULLS FIRST" for c in names)
+        parts += [
+            f"SELECT '{table}' AS table_name, 'ok' AS status, (SELECT count(*) FROM {table}) AS row_count, {len(names)} AS column_count, "
+            f"{i} AS position, '{c}' AS column_name, (SELECT count(*) - count({c}) FROM {table}) AS nulls, "
+            f"(SELECT CASE WHEN typeof({c}) IN ('VARCHAR', 'INTEGER', 'BIGINT') THEN CAST({c} AS VARCHAR) END FROM {table} "
+            f"ORDER BY {order} LIMIT 1) AS first_value"
+            for i, c in enumerate(names)
+        ]
+    parts += [f"SELECT '{name}', '{status}', NULL, NULL, NULL, NULL, NULL, NULL" for name, status in
+              [("nothing", "missing"), ("case_files", "unreadable")]]
+    return " UNION ALL ".join(parts)
+
+
 _FILE_YEAR = (
     "CAST(CASE WHEN date_of_filing LIKE '__/%' THEN substr(date_of_filing, 7, 4) "
     "ELSE substr(date_of_filing, 1, 4) END AS INT)"
@@ -324,6 +342,7 @@ CLEANING = {
         f"count(*) FILTER ({_IS_PENDING}) AS pending_rows FROM raw"
     ),
     "profile_tables": _profile(),
+    "profile_files": _profile_files(),
     "profile_first_row": from_messages("SELECT * FROM messages ORDER BY ddl_case_id LIMIT 1"),
     "json_roundtrip": _MESSAGE_ROWS,
     "publish_cases": _MESSAGE_ROWS,

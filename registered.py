@@ -248,6 +248,17 @@ def profile_first_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.first_rows(testdata.case_messages(spark, sf_dir), 1, "ddl_case_id")
 
 
+def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All given tables by their paths, a path with nothing there, and CSV files that are no Parquet; values of texts and whole numbers."""
+    paths = {name: f"{sf_dir}/{name}.parquet" for name in testdata.TABLES}
+    paths |= {"nothing": f"{sf_dir}/nothing.parquet", "case_files": case_files(spark, sf_dir)}
+    found = profile.profile_paths(spark, paths)
+    shown = F.when(F.col("column_type").isin("string", "int", "bigint"), F.col("first_value"))
+    return found.select(
+        "table_name", "status", "row_count", "column_count", "position", "column_name", "nulls", shown.alias("first_value")
+    )
+
+
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.temporal_split(cleaned(spark, sf_dir), testdata.TRAIN_UNTIL, testdata.VALIDATE_UNTIL)
 
@@ -554,6 +565,7 @@ def queries() -> dict[str, Query]:
         "resolved_sample": resolved_sample,
         "profile_tables": profile_tables,
         "profile_first_row": profile_first_row,
+        "profile_files": profile_files,
         "temporal_split": temporal_split,
         "fallback_split": fallback_split,
         "distinct_years": distinct_years,

@@ -38,6 +38,22 @@ def test_running_totals_cross_ranges(spark):
     assert got.filter("before <> 2 * k OR place <> k").count() == 0 and got.count() == n
 
 
+def test_running_totals_move_the_rows_once(spark):
+    from decimal import Decimal
+
+    frame = spark.range(0, 3000, 1, 5).select(
+        (F.col("id") * 7 % 3000).alias("k"), F.when(F.col("id") % 4 > 0, F.col("id").cast("decimal(10,2)")).alias("d"), (F.col("id") / 8).alias("x")
+    )
+    got = running_totals(frame, ["k"], {"d": "before_d", "x": "before_x"})
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Window" not in text  # the sort before the checkpoint is the only one
+    total_d, total_x = Decimal(0), 0.0
+    for r in got.orderBy("k").collect():
+        assert (r["before_d"], r["before_x"]) == (total_d, total_x)
+        total_d, total_x = total_d + (r["d"] or 0), total_x + r["x"]
+    assert running_totals(frame.limit(0), ["k"], {"d": "before"}).count() == 0
+
+
 def test_yearly_cap_counts_and_repeats(spark):
     # Half of one year are copies of one row, and one year has fewer rows than the cap.
     rows = [case(i, 2012) for i in range(300)] + [case(0, 2012)] * 300 + [case(i, 2013) for i in range(20)]

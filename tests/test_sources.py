@@ -113,3 +113,25 @@ def test_exports(spark, tmp_path):
     parts = list((tmp_path / "daily_lineup.csv").glob("part-*"))
     assert len(parts) == 3 and all(p.read_text().startswith("id,t") for p in parts)
     assert files.read_csv(spark, str(tmp_path / "daily_lineup.csv")).count() == 2500
+
+
+def test_a_profile_goes_on_past_missing_and_broken_files(spark, tmp_path, caplog):
+    from docketry.operators import profile
+
+    rows = spark.createDataFrame([("b", None, [1]), ("a", 2, None), (None, 3, [2])], "name string, n int, list array<int>")
+    rows.write.parquet(f"{tmp_path}/good")
+    (tmp_path / "broken.parquet").write_text("this is no parquet file, whatever its name says")
+    (tmp_path / "nothing_in_it").mkdir()
+    paths = {k: f"{tmp_path}/{v}" for k, v in {"good": "good", "gone": "gone", "broken": "broken.parquet", "bare": "nothing_in_it"}.items()}
+    with caplog.at_level(logging.WARNING):
+        got = profile.profile_paths(spark, paths).collect()
+    assert [(r["column_name"], r["nulls"], r["row_count"], r["first_value"]) for r in got if r["table_name"] == "good"] == [
+        ("name", 1, 3, None), ("n", 1, 3, "3"), ("list", 1, 3, "[2]")
+    ]
+    status = {r["table_name"]: r["status"] for r in got}
+    assert status == {"good": "ok", "gone": "missing", "broken": "unreadable", "bare": "unreadable"}
+    assert all(r["note"] for r in got if r["status"] != "ok") and "gone" in caplog.text and "broken" in caplog.text
+    empty = spark.createDataFrame([], "a int")
+    empty.write.parquet(f"{tmp_path}/no_rows")
+    none = profile.profile_paths(spark, {"no_rows": f"{tmp_path}/no_rows"}).collect()
+    assert [(r["status"], r["row_count"], r["first_value"]) for r in none] == [("ok", 0, None)]
