@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.operators.lookups import Lookup, build_keys, check_sizes, lookup_join
-from docketry.sources.workspace import new_folder, stored
+from docketry.sources.workspace import hadoop_path, new_folder, stored
 
 AS_OF = date(2004, 1, 1)
 TRAIN_UNTIL, VALIDATE_UNTIL = 1998, 2000
@@ -47,12 +47,22 @@ def _unique(frame: DataFrame, key: str, *columns: str) -> DataFrame:
     return frame.groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
 
 
-_SMALL: dict[tuple[str, str], dict[str, bool]] = {}
+def data_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files of a data folder, to tell when it has changed."""
+    found = []
+    for name in TABLES:
+        place, system = hadoop_path(spark, f"{sf_dir}/{name}.parquet")
+        if system.exists(place):
+            found += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in system.listStatus(place)]
+    return "\n".join(sorted(found))
+
+
+_SMALL: dict[tuple[str, str, str], dict[str, bool]] = {}
 
 
 def _checked(spark: SparkSession, sf_dir: str, sides: dict[str, Lookup]) -> dict[str, Lookup]:
-    """The lookups with their sizes, which are measured once per session and folder."""
-    mark = (spark.sparkContext.applicationId, sf_dir)
+    """The lookups with their sizes, which are measured once per session and state of the folder."""
+    mark = (spark.sparkContext.applicationId, sf_dir, data_state(spark, sf_dir))
     if mark not in _SMALL:
         _SMALL[mark] = {name: lookup.small for name, lookup in check_sizes(sides).items()}
     return {name: replace(lookup, small=_SMALL[mark][name]) for name, lookup in sides.items()}
@@ -153,16 +163,16 @@ def raw_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-_KEYS: dict[tuple[str, str], dict[str, Lookup]] = {}
+_KEYS: dict[tuple[str, str, str], dict[str, Lookup]] = {}
 
 
 def case_keys(spark: SparkSession, sf_dir: str) -> dict[str, Lookup]:
-    """The unique keys; once per session and folder their sizes are measured.
+    """The unique keys; once per session and state of the folder their sizes are measured.
 
     The purposes come from the large orders table and are stored, so that a query
     does not look for them again.
     """
-    mark = (spark.sparkContext.applicationId, sf_dir)
+    mark = (spark.sparkContext.applicationId, sf_dir, data_state(spark, sf_dir))
     if mark not in _KEYS:
         raw = raw_keys(spark, sf_dir)
         raw["purpose"] = stored(raw["purpose"], new_folder(spark, "purposes"))

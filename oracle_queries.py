@@ -667,6 +667,22 @@ each_row AS (SELECT ddl_case_id, feature, sum(phi) AS phi FROM attributed GROUP
 """
 
 
+# The features of the pending cases, under the name that the leaves of the fixed ensembles look for.
+_PENDING_FEATURES = _FEATURED.replace("FROM parts)", "FROM cleaned WHERE is_resolved = 0 AND date_next_list IS NOT NULL)").replace(
+    "ddl_case_id, split,", "ddl_case_id, 'test' AS split,"
+) + f", pending AS (SELECT * {_PENDING_ROWS})"
+_LINEUP_MARGINS = """
+lineup_margins AS (
+  SELECT ddl_case_id, 0.25 + sum(CASE WHEN model = 'Fixed' THEN value * in1 * in2 ELSE 0 END) AS margin,
+    900 + sum(CASE WHEN model = 'Days' THEN value * in1 * in2 ELSE 0 END) AS days
+  FROM met GROUP BY ddl_case_id)
+"""
+_FIXED_LINEUP = (
+    "ddl_case_id, state_name, district_name, case_type, date_of_filing, date_next_list, case_age_days, delay_category, petitioner_gender, "
+    "disposal_type, round(1 / (1 + exp(-margin)), 9) AS resolution_probability, "
+    "CASE WHEN 1 / (1 + exp(-margin)) >= 0.5 THEN 'DISPOSE' ELSE 'ADJOURN' END AS predicted_outcome, "
+    f"round(days, 9) AS predicted_days_remaining, {AS_OF} AS prediction_date"
+)
 _PLAIN_LINEUP = [
     "ddl_case_id", "state_name", "district_name", "case_type", "date_of_filing", "date_next_list", "case_age_days",
     "delay_category", "petitioner_gender", "disposal_type",
@@ -713,7 +729,14 @@ MODELS = {
     ),
     "daily_lineup": _LINEUP,
     "export_lineup": _LINEUP,
-    "lineup_counters": from_cleaned(f"SELECT count(*) AS total_predictions, count(*) AS with_outcome {_PENDING_ROWS}"),
+    "fixed_lineup": from_cleaned(
+        "SELECT " + _FIXED_LINEUP + " FROM pending JOIN lineup_margins USING (ddl_case_id)", _SPLIT, _LABELS, _PENDING_FEATURES, _FIXED_LEAVES, _LINEUP_MARGINS
+    ),
+    "lineup_counters": from_cleaned(
+        "SELECT count(*) AS total_predictions, count(*) FILTER (1 / (1 + exp(-margin)) >= 0.5) AS dispose_count, "
+        "count(*) FILTER (1 / (1 + exp(-margin)) < 0.5) AS adjourn_count FROM pending JOIN lineup_margins USING (ddl_case_id)",
+        _SPLIT, _LABELS, _PENDING_FEATURES, _FIXED_LEAVES, _LINEUP_MARGINS,
+    ),
 }
 
 

@@ -15,7 +15,7 @@ from docketry.plans import cleaning, scoring, summaries, training
 from docketry.plans.run import run_all
 from docketry.sources import files, sinks, testdata
 from docketry.sources import messages as msg
-from docketry.sources.workspace import hadoop_path, new_folder, stored
+from docketry.sources.workspace import new_folder, stored
 from docketry.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,19 +423,9 @@ def shapley_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ROOTS: dict[tuple[str, str, str], str] = {}
 
 
-def data_state(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and times of the files of a data folder."""
-    found = []
-    for name in testdata.TABLES:
-        place, system = hadoop_path(spark, f"{sf_dir}/{name}.parquet")
-        if system.exists(place):
-            found += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in system.listStatus(place)]
-    return "\n".join(sorted(found))
-
-
 def whole_run(spark: SparkSession, sf_dir: str) -> str:
     """The folder of one run over case and key files; done once per session for the same files."""
-    mark = (spark.sparkContext.applicationId, sf_dir, data_state(spark, sf_dir))
+    mark = (spark.sparkContext.applicationId, sf_dir, testdata.data_state(spark, sf_dir))
     if mark not in _ROOTS:
         root = new_folder(spark, "run")
         for table, frame in testdata.raw_keys(spark, sf_dir).items():
@@ -511,6 +501,17 @@ def lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.daily_lineup(facts, entry_of(spark, sf_dir), testdata.AS_OF)
 
 
+def fixed_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineup of a registry entry with the fixed ensembles, all columns; labels are those of the training rows."""
+    folder = new_folder(spark, "fixed")
+    paths = {"model_path": f"{folder}/classifier", "reg_model_path": f"{folder}/regressor", "encoder_path": f"{folder}/encoder"}
+    stored(FIXED.nodes(spark), paths["model_path"])
+    stored(FIXED_DAYS.nodes(spark), paths["reg_model_path"])
+    stored(labels(spark, sf_dir), paths["encoder_path"])
+    scored = scoring.daily_lineup(cleaned(spark, sf_dir), Row(**paths), testdata.AS_OF)
+    return scored.withColumns({c: F.round(c, 9) for c in ("resolution_probability", "predicted_days_remaining")})
+
+
 def without_model(rows: DataFrame) -> DataFrame:
     """The columns of a lineup that no model touches, and whether its outcome goes with its probability."""
     probability = F.col("resolution_probability").cast("double")
@@ -524,9 +525,8 @@ def daily_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All predictions, and those with either outcome."""
-    counted = scoring.lineup_counters(lineup(spark, sf_dir))
-    return counted.select("total_predictions", (F.col("dispose_count") + F.col("adjourn_count")).alias("with_outcome"))
+    """All predictions of the fixed ensembles, and those with each outcome."""
+    return scoring.lineup_counters(fixed_lineup(spark, sf_dir))
 
 
 def export_lineup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -590,6 +590,7 @@ def queries() -> dict[str, Query]:
         "shapley_summary": shapley_summary,
         "latest_model": latest_model,
         "daily_lineup": daily_lineup,
+        "fixed_lineup": fixed_lineup,
         "lineup_counters": lineup_counters,
         "export_lineup": export_lineup,
     }

@@ -12,6 +12,10 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path, facts):
         number = rows.ddl_case_id.substr(2, 20).cast("bigint")
         part = rows.filter((number >= low) & (number < high)).coalesce(1)
         part.write.options(**files.CSV).csv(f"{tmp_path}/cases/cases_{year}.csv")
+    broken = next((tmp_path / "cases" / "cases_2011.csv").glob("part-*.csv"))
+    with broken.open("a") as file:
+        file.write('"cut off","1"\n')
+    (broken.parent / f".{broken.name}.crc").unlink()
     raw = testdata.raw_keys(spark, sf_dir)
     for table, (file, *_) in model.KEY_TABLES.items():
         raw[table].coalesce(1).write.options(**files.CSV).csv(f"{tmp_path}/keys/{file}")
@@ -28,6 +32,8 @@ def test_whole_run_over_files(spark, sf_dir, tmp_path, facts):
     assert sorted(map(str, got.collect())) == sorted(map(str, facts.fillna("", ["judge_position"]).collect()))
     assert tables["data_quality_log"].count() == 2
     assert tables["quarantine"].count() == tables["data_quality_log"].agg({"impossible_dates": "sum"}).first()[0]
+    bad = tables["bad_records"].collect()
+    assert [(r["file_year"], r["bad_record"]) for r in bad] == [(2011, '"cut off","1"')] and broken.name in bad[0]["file"]
     assert len(list((tmp_path / "out" / "_runs").iterdir())) == 1 and not (tmp_path / "out" / "_lease").exists()
     assert set(SUMMARY_TABLES) <= set(tables)
     assert tables["model_comparison"].count() == 6 and tables["model_registry"].count() == 2

@@ -135,3 +135,28 @@ def test_a_profile_goes_on_past_missing_and_broken_files(spark, tmp_path, caplog
     empty.write.parquet(f"{tmp_path}/no_rows")
     none = profile.profile_paths(spark, {"no_rows": f"{tmp_path}/no_rows"}).collect()
     assert [(r["status"], r["row_count"], r["first_value"]) for r in none] == [("ok", 0, None)]
+
+
+def test_one_bad_record_leaves_the_rest(spark, tmp_path):
+    good = "".join(f"c{i},{i % 30}\n" for i in range(2000))
+    (tmp_path / "cases_2010.csv").write_text(f"ddl_case_id,state_code\n{good}lonely\n{good}a,b,c\n,\n")
+    (tmp_path / "cases_2011.csv").write_text('state_code,extra,ddl_case_id\n3,"z\n4,y,d\n')
+    rows = files.read_yearly_checked(spark, str(tmp_path), range(2010, 2012))
+    topic = messages.publish_checked_to_files(rows, f"{tmp_path}/topic")
+    got = messages.decode(spark.read.text(topic))
+    assert got.count() == 4002 and got.filter("ddl_case_id = '' AND state_code = ''").count() == 1
+    bad = {(r["file_year"], r["bad_record"], r["file"].rsplit("/", 1)[-1]) for r in messages.bad_records(spark, f"{tmp_path}/topic").collect()}
+    assert {b for b in bad if b[0] == 2010} == {(2010, "lonely", "cases_2010.csv"), (2010, "a,b,c", "cases_2010.csv")}
+    assert {b for b in bad if b[0] == 2011} == {(2011, "3,\"z", "cases_2011.csv")}
+    strict = files.read_yearly_csv(spark, str(tmp_path), [2010])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        strict.collect()
+
+
+def test_no_bad_record_and_only_bad_records(spark, tmp_path):
+    (tmp_path / "cases_2010.csv").write_text("ddl_case_id,state_code\na,1\n")
+    (tmp_path / "cases_2012.csv").write_text("ddl_case_id,state_code\nx\n")
+    messages.publish_checked_to_files(files.read_yearly_checked(spark, str(tmp_path), [2010]), f"{tmp_path}/good")
+    assert messages.bad_records(spark, f"{tmp_path}/good").count() == 0
+    topic = messages.publish_checked_to_files(files.read_yearly_checked(spark, str(tmp_path), [2012]), f"{tmp_path}/bad")
+    assert messages.bad_records(spark, f"{tmp_path}/bad").count() == 1 and spark.read.schema("value string").text(topic).count() == 0
