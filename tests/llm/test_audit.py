@@ -1,6 +1,7 @@
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
 import pyarrow as pa
 import re
 from fixtures import documents, frame
@@ -88,3 +89,23 @@ def test_no_documents_and_no_labels(spark):
     assert filter_audit.audit(docs.limit(0), labels).count() == 0
     lost = filter_audit.audit(docs, labels).agg(F.sum(F.col("good_lost") + F.col("toxic_lost"))).first()[0]
     assert lost == 0
+
+
+def test_numbers_are_packed_and_unpacked():
+    for numbers in ([], [0], [1, 70_000, 2**31 - 1, 5] * 100):
+        assert filter_audit.unpacked(filter_audit.packed(np.array(numbers, np.int64))).tolist() == numbers
+
+
+def test_words_are_numbered_in_groups(spark, monkeypatch):
+    """Small groups in the tasks that number words leave the ids as whole as large ones."""
+    monkeypatch.setattr(filter_audit, "FLUSH_ROWS", 7)
+    monkeypatch.setattr(filter_audit, "SHARD_BYTES", 500)
+    docs = frame(spark)
+    ids, matrix = filter_audit.term_matrix(docs, F.coalesce("text", F.lit("")), {"doc": F.col("doc_id")})
+    names = [r.word for r in ids.orderBy("id").collect()]
+    assert sorted(names) == sorted({w for _, t, *_ in documents() for w in WORD.findall(t or "")})
+    found = Counter()
+    for s in matrix.collect():
+        for i, n in zip(s.ids, s.counts, strict=True):
+            found[names[i]] += n
+    assert found == Counter(w for _, t, *_ in documents() for w in WORD.findall(t or ""))
