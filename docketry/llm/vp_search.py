@@ -24,7 +24,7 @@ from docketry.sources.workspace import new_folder, ship_package, stored
 SHARD = 4_096
 BLOCK = 1_024
 LEAF = 96
-SEED_ROWS = 1_024
+SEED_ROWS = 4_096
 RELAX = 1.3
 # A product made by the matrix library may differ from the exact one by this share of the lengths.
 SLACK = 1e-9
@@ -130,13 +130,13 @@ class Tree:
         a, b, c, d = node.bounds
         to_near = np.maximum(0, np.maximum(a - away, away - b)) * self._relax
         to_far = np.maximum(0, np.maximum(c - away, away - d)) * self._relax
-        near_first = to_near <= to_far
         slack = SLACK * max(1.0, self.longest)
-        # Each query goes down its more promising side first; the other side may then no longer matter.
-        turns = ((node.near, to_near, near_first), (node.far, to_far, ~near_first),
-                 (node.far, to_far, near_first), (node.near, to_near, ~near_first))
-        for child, bound, whose in turns:
-            go = some[whose & (bound <= self._worst(some) + slack)]
+        turns = [(node.near, to_near), (node.far, to_far)]
+        # All queries go down together, first where most of them are nearer; for the other side they know more.
+        if 2 * np.count_nonzero(to_near <= to_far) < len(some):
+            turns.reverse()
+        for child, bound in turns:
+            go = some[bound <= self._worst(some) + slack]
             if len(go):
                 self._visit(child, go)
 
@@ -192,8 +192,8 @@ def search(
 
     `query_rows` is a condition on the column vec_id. Nearness is the largest inner product in double precision, on the
     vectors as they are. A query's own id is no neighbour of it; a row of other id with an equal vector is. Rows without an id,
-    and vectors that are null, empty, zero or hold null or non-finite components take no part. All vectors must have one
-    length. Rows of one id stand for one row, the smallest by its components. With k or fewer candidates all are
+    and vectors that are null, empty, zero or hold null or non-finite components take no part, nor do vectors that have not as
+    many components as most have (of two such numbers the larger one). Rows of one id stand for one row, the smallest by its components. With k or fewer candidates all are
     returned; no queries give no rows. Other columns do not matter.
 
     Every row is in a shard's tree; the first bounds come from a fixed number of rows, chosen by a digest.
@@ -202,16 +202,12 @@ def search(
     ship_package(spark)
     rows = usable(vectors, id_column, vector).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = stored(rows, new_folder(spark, "vectors"))
-    n, longest, shortest, widest = rows.agg(
-        F.count(F.lit(1)), F.sqrt(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))),
-        F.min(F.size("embedding")), F.max(F.size("embedding")),
-    ).head()
-    out = "query_id long, rank int, vec_id long, score double"
-    if not n:
-        return spark.createDataFrame([], out)
-    if shortest != widest:
-        raise ValueError(f"vectors of {shortest} to {widest} components")
-    longest = float(longest) * (1 + 1e-12)
+    size = F.sqrt(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)))
+    sizes = rows.groupBy(F.size("embedding").alias("width")).agg(F.count(F.lit(1)).alias("n"), size.alias("longest"))
+    most = sizes.orderBy(F.desc("n"), F.desc("width")).head()
+    if most is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows, n, longest = rows.filter(F.size("embedding") == most["width"]), most["n"], float(most["longest"]) * (1 + 1e-12)
     shards = -(-n // SHARD)
     queries = rows.filter(query_rows)
     blocks = max(1, -(-queries.count() // BLOCK))
@@ -221,7 +217,20 @@ def search(
     seed = spark.sparkContext.broadcast((np.array([r.vec_id for r in seeds]), np.array([r.embedding for r in seeds])))
     packed = _packed(rows.withColumn("shard", F.pmod(mark, F.lit(shards))), "shard")
     asked = _packed(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks))), "block")
-    asked = stored(asked.withColumnsRenamed({"names": "q_names", "vectors": "q_vectors"}), new_folder(spark, "queries"))
+    asked = asked.withColumnsRenamed({"names": "q_names", "vectors": "q_vectors"})
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed_names, seed_vectors = seed.value
+        for batch in batches:
+            known = []
+            for names, raw in zip(batch.column("q_names").to_pylist(), batch.column("q_vectors").to_pylist(), strict=True):
+                names = np.frombuffer(names, np.int64)
+                known.append(_seeded(names, np.frombuffer(raw).reshape(len(names), -1), seed_names, seed_vectors, k, longest).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known, pa.binary())], ["q_names", "q_vectors", "q_known"])
+
+    # The first bounds of a block are found once, not for each shard.
+    asked = asked.select("q_names", "q_vectors").mapInArrow(bound, "q_names binary, q_vectors binary, q_known binary")
+    asked = stored(asked, new_folder(spark, "queries"))
     # The stated queries meet all rows, a block of them a shard at a time.
     pairs = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
     pairs = pairs.join(packed, "shard")
@@ -229,7 +238,6 @@ def search(
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, tree = None, None
-        seed_names, seed_vectors = seed.value
         for batch in batches:
             for row in batch.to_pylist():
                 names = np.frombuffer(row["names"], np.int64)
@@ -239,13 +247,12 @@ def search(
                 asked_names = np.frombuffer(row["q_names"], np.int64)
                 asked_vectors = np.frombuffer(row["q_vectors"]).reshape(len(asked_names), -1)
                 best = Best.empty(len(asked_names), k)
-                known = _seeded(asked_names, asked_vectors, seed_names, seed_vectors, k, longest)
-                best.score[:, -1] = known
+                best.score[:, -1] = np.frombuffer(row["q_known"])
                 best.name[:, -1] = NOBODY
                 tree.search(asked_names, asked_vectors, best, relax)
                 yield _found(asked_names, best)
 
-    found = pairs.select("shard", "names", "vectors", "q_names", "q_vectors").mapInArrow(
+    found = pairs.select("shard", "names", "vectors", "q_names", "q_vectors", "q_known").mapInArrow(
         find, "query_id long, vec_id long, score double"
     )
     # At most k rows a query and shard.

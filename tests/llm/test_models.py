@@ -58,8 +58,12 @@ def test_fewer_candidates_than_wanted_no_rows_and_mixed_lengths(spark):
     assert [tuple(r) for r in got] == [(0, 1, 1, 2.0)]
     assert vp_search.search(vectors(spark, []), "vec_id % 20 = 0").count() == 0
     assert vp_search.search(vectors(spark, [(1, [1.0])]), "vec_id % 20 = 0").count() == 0
-    with pytest.raises(ValueError, match="components"):
-        vp_search.search(vectors(spark, [(0, [1.0]), (1, [1.0, 2.0])]), "vec_id % 20 = 0")
+    # Vectors that have not as many components as most take no part, as queries or as candidates.
+    mixed = [(0, [1.0]), (1, [1.0, 2.0]), (2, [3.0, 1.0]), (20, [2.0, 1.0]), (40, [5.0, 5.0, 5.0])]
+    got = vp_search.search(vectors(spark, mixed), "vec_id % 20 = 0").collect()
+    assert sorted(map(tuple, got)) == [(20, 1, 2, 7.0), (20, 2, 1, 4.0)]
+    even = vp_search.search(vectors(spark, [(0, [1.0]), (20, [2.0]), (1, [1.0, 2.0]), (40, [1.0, 1.0])]), "vec_id % 20 = 0")
+    assert [tuple(r) for r in even.collect()] == [(40, 1, 1, 3.0)]
 
 
 def test_registered_search_finds_nearly_all(spark, sf_dir):
