@@ -83,7 +83,11 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, d1, d2, keys) of (doc_id, text): size and digest of the set, and the band keys of non-empty sets."""
+    """(doc_id, n, d1, d2, keys) of (doc_id, text): size and digest of the set, and the band keys of non-empty sets.
+
+    A column `mark`, if there is one, is handed on.
+    """
+    marked = "mark" in docs.columns
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,12 +99,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                     [
                         batch.column("doc_id").slice(row, end - row), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([d for d, _ in digests], pa.int64()), pa.array([d for _, d in digests], pa.int64()),
-                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(keys, pa.list_(pa.int64())), *([batch.column("mark").slice(row, end - row)] if marked else []),
                     ],
-                    ["doc_id", "n", "d1", "d2", "keys"],
+                    ["doc_id", "n", "d1", "d2", "keys", *(["mark"] if marked else [])],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(sign, "doc_id long, n long, d1 long, d2 long, keys array<long>" + (", mark long" if marked else ""))
 
 
 def similar(size_a: Column, size_b: Column, both: Column) -> Column:
@@ -275,8 +279,13 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     their sets. Null ids stay; a class of null ids only has a null component. Equal rows stay; no rows give no rows;
     other columns do not matter.
     """
-    spark = docs.sparkSession
-    rows = with_text(docs, F.col(id_column).cast("long").alias("doc_id"), text=text)
+    out = _with_components(with_text(docs, F.col(id_column).cast("long").alias("doc_id"), text=text))
+    return out.select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _with_components(rows: DataFrame) -> DataFrame:
+    """(doc_id, n, d1, d2, component_id) of each row of (doc_id, text), and its `mark` if there is one."""
+    spark = rows.sparkSession
     signed = stored(signatures(rows), new_folder(spark, "signed"))
     classes = classes_of(signed)
     # Only one document of a class carries its keys on.
@@ -303,20 +312,21 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     named = stored(named, new_folder(spark, "named"))
     smallest = named.groupBy("component").agg(F.min("label").alias("component_id"))
     by_class = stored(named.join(smallest, "component").select("d1", "d2", "component_id"), new_folder(spark, "by-class"))
-    out = signed.select("doc_id", "n", "d1", "d2").join(by_class, ["d1", "d2"], "left")
-    return out.select(
-        F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    )
+    out = signed.drop("keys").join(by_class, ["d1", "d2"], "left")
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that are the smallest id of their component, with all columns as they were.
 
-    Rows without words and rows with a null id are kept. Of several rows of one id one is kept.
+    Rows without words and rows with a null id are kept. Rows of one id are told apart by their sets: of those with one set
+    one is kept, the smallest by a hash of the row, so that reruns agree; texts of their own are all kept.
     """
     named = docs.filter(F.col(id_column).isNotNull())
-    found = linked(named, id_column, text).filter(F.col(id_column) == F.col("component_id"))
-    kept = stored(found.select(F.col(id_column).alias("_kept")).distinct(), new_folder(docs.sparkSession, "kept"))
-    rows = named.join(kept, F.col(id_column) == F.col("_kept")).drop("_kept").dropDuplicates([id_column])
-    return rows.union(docs.filter(F.col(id_column).isNull()))
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    rows = with_text(named, F.col(id_column).cast("long").alias("doc_id"), mark.alias("mark"), text=text)
+    found = _with_components(rows).filter("doc_id = component_id").groupBy("doc_id", "d1", "d2").agg(F.min("mark").alias("_mark"))
+    kept = stored(found.select(F.col("doc_id").alias("_kept"), "_mark"), new_folder(docs.sparkSession, "kept"))
+    same = (F.col(id_column).cast("long") == F.col("_kept")) & (mark == F.col("_mark"))
+    first = named.withColumn("_row", mark).join(kept, same).dropDuplicates([id_column, "_row"]).drop("_kept", "_mark", "_row")
+    return first.union(docs.filter(F.col(id_column).isNull()))

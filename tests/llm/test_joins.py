@@ -103,6 +103,19 @@ def test_one_of_each_keeps_the_smallest_and_all_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_one_of_each_keeps_every_text_of_an_id(spark):
+    """Rows of one id with texts of their own stay, copies do not, and reruns agree."""
+    one, other, third = ("some words that are told here number %d and then a few more of them" % n + " end" * n for n in (1, 5, 9))
+    rows = [(5, one, "en", "a", 1), (5, other, "en", "b", 2), (5, one.upper(), "en", "c", 3), (5, one, "en", "d", 4), (5, one, "en", "d", 4),
+            (3, third, "en", "e", 5), (5, third, "en", "f", 6), (7, other, "en", "g", 7), (7, "", "en", "h", 8), (None, one, "en", "i", 9)]
+    kept = jaccard_join.one_of_each(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept) == sorted(
+        [(0, one), (3, third), (5, one), (5, other), (7, "")]
+    )
+    again = jaccard_join.one_of_each(frame(spark, rows[::-1]).repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, kept))
+
+
 def test_registered_join_on_whole_table(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in op8_jaccard_join(spark, sf_dir).collect())
