@@ -4,6 +4,8 @@ One layer of masked attention and one of rectified units change the scores that
 give: the logits of the next class are the log of P(class | previous id), from all training text, plus what the
 layers add from up to WINDOW - 1 ids before. At first the layers add nothing.
 
+The probability of a class is that of its group of 16 by that of the class in the group, and the layers add to both.
+
 Ids are divided into classes for the output: frequent ones are classes of their own, the rest share classes, in which
 the corpus' counts tell them apart: those of the id behind the class before it, or of the id alone where it is not one of
 the TAIL most frequent. Inputs are the more frequent ids and one place for all others.
@@ -18,9 +20,10 @@ import numpy as np
 # Ids of a window, and how many of them, from the window before, are only looked at.
 WINDOW, OVERLAP = 32, 8
 WIDTH, HIDDEN = 16, 32
-INPUTS, CLASSES, SINGLE, TAIL = 1024, 256, 224, 4096
+GROUPS, MEMBERS = 16, 16
+INPUTS, CLASSES, SINGLE, TAIL = 1024, GROUPS * MEMBERS, 224, 4096
 # Windows of a batch when scoring.
-BATCH = 128
+BATCH = 256
 
 F32 = np.float32
 
@@ -78,15 +81,19 @@ class Vocabulary:
         return out.reshape(-1)
 
 
-def neighbour_logits(pairs: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """log P(class | input place before) from counts of pairs; rare places lean on the classes' own counts.
+def neighbour_shares(pairs: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """P(group | input place before), and for each group P(class | its group, input place before), from counts of pairs;
+    rare places lean on the classes' own counts.
 
-    The last row, INPUTS, is for the beginning of a text.
+    (INPUTS + 1, 1 + GROUPS, MEMBERS): the first row of a place is that of the groups. The last place, INPUTS, is for the
+    beginning of a text.
     """
     alone = (classes + 0.5) / (classes + 0.5).sum()
     strength = 2.0 + (pairs > 0).sum(axis=1, keepdims=True) * 0.75
     shared = (pairs + strength * alone) / (pairs.sum(axis=1, keepdims=True) + strength)
-    return np.log(shared).astype(F32)
+    shared = shared.reshape(len(pairs), GROUPS, MEMBERS)
+    groups = shared.sum(axis=2)
+    return np.concatenate([groups[:, None, :], shared / groups[:, :, None]], axis=1).astype(F32)
 
 
 Params = dict[str, np.ndarray]
@@ -101,27 +108,37 @@ def first_params(seed: int = 1) -> Params:
     d, h = WIDTH, HIDDEN
     return {
         "ids": (chance.standard_normal((INPUTS + 1, d)) * 0.3).astype(F32), "places": (chance.standard_normal((WINDOW, d)) * 0.1).astype(F32),
-        "q": some(d, d), "k": some(d, d), "v": some(d, d), "o": some(d, d), "up": some(d, h), "up_bias": np.zeros(h, F32),
-        "down": some(h, d), "out": np.zeros((d, CLASSES), F32), "bias": np.zeros(CLASSES, F32),
+        "q": some(d, d), "kv": some(d, 2 * d), "o": some(d, d), "up": some(d, h), "up_bias": np.zeros(h, F32), "down": some(h, d),
+        "groups": np.zeros((d, GROUPS), F32), "groups_bias": np.zeros(GROUPS, F32),
+        "members": np.zeros((GROUPS, d, MEMBERS), F32), "members_bias": np.zeros((GROUPS, MEMBERS), F32),
     }
 
 
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), F32))
 _SCALE = F32(1 / np.sqrt(WIDTH))
+# Exponents lie between this and its negative.
+_MOST = 40
+
 
+def layers(p: Params, x: np.ndarray, start: int = 0):
+    """What the layers make of places from `start` on in windows of input places; all steps, for the way back.
 
-def layers(p: Params, x: np.ndarray):
-    """What the layers make of windows of input places; all steps, for the way back."""
+    Steps before and behind attention are one row a place, so that all windows are one product.
+    """
+    n, d = len(x), WIDTH
     e = np.take(p["ids"], x, axis=0, mode="clip")
     e += p["places"]
-    q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-    a = (q * _SCALE) @ k.transpose(0, 2, 1)
-    np.exp(np.minimum(a, 30, out=a), out=a)
-    a *= _SEEN
+    own = e[:, start:].reshape(-1, d)
+    q = (own @ (p["q"] * _SCALE)).reshape(n, -1, d)
+    kv = (e.reshape(-1, d) @ p["kv"]).reshape(n, -1, 2 * d)
+    k, v = kv[:, :, :d], kv[:, :, d:]
+    a = q @ k.transpose(0, 2, 1)
+    np.exp(np.clip(a, -_MOST, _MOST, out=a), out=a)
+    a *= _SEEN[start:]
     a /= np.einsum("bij->bi", a)[:, :, None]
-    c = a @ v
+    c = (a @ v).reshape(-1, d)
     r = c @ p["o"]
-    r += e
+    r += own
     u = r @ p["up"]
     u += p["up_bias"]
     np.maximum(u, 0, out=u)
@@ -130,76 +147,113 @@ def layers(p: Params, x: np.ndarray):
     return e, q, k, v, a, c, r, u, h
 
 
-_ROOM: dict[str, np.ndarray] = {}
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    """The places in the order of their groups, and where each group's are in it."""
+    end = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    return np.argsort(group.astype(np.uint8), kind="stable"), [slice(a, b) for a, b in zip([0, *end[:-1]], end, strict=True)]
 
 
-def _room(name: str, *shape: int) -> np.ndarray:
-    """Memory that is used again for each batch: fresh pages would cost more than the sums in them."""
-    if name not in _ROOM or _ROOM[name].shape[0] < shape[0]:
-        _ROOM[name] = np.empty(shape, F32)
-    return _ROOM[name][: shape[0]]
+def _weights(added: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unscaled probabilities and their sums: what the layers add to the logits is a factor on what the counts say."""
+    np.clip(added, -_MOST, _MOST, out=added)
+    np.exp(added, out=added)
+    added *= known
+    return added, np.einsum("ij->i", added)
 
 
-def log_probs(
-    p: Params, table: np.ndarray, shares: np.ndarray, x: np.ndarray, target: np.ndarray, start: np.ndarray
-) -> np.ndarray:
-    """Log probability of each target class; only places from `start` of each window on are wanted, others are 0.
+def _group_weights(p: Params, base: np.ndarray, h: np.ndarray, before: np.ndarray):
+    added = h @ p["groups"]
+    added += p["groups_bias"]
+    return _weights(added, np.take(base[:, 0], before, axis=0, mode="clip"))
 
-    `table` is the neighbours' logits with the bias added, and `shares` its exponentials: what the layers add to the logits
-    is a factor on those.
-    """
-    h = layers(p, x)[-1].reshape(-1, WIDTH)
-    place = np.flatnonzero((np.arange(WINDOW)[None, :] >= start[:, None]).reshape(-1))
-    before, goal = x.reshape(-1)[place], target.reshape(-1)[place]
-    added, known = _room("added", len(place), CLASSES), _room("known", len(place), CLASSES)
-    # Powers of two are cheaper than exponentials.
-    np.matmul(h[place], p["out"] * F32(1 / np.log(2)), out=added)
-    hit = added[np.arange(len(goal)), goal] * F32(np.log(2)) + table[before, goal]
-    np.exp2(added, out=added)
-    np.take(shares, before, axis=0, out=known, mode="clip")
-    out = np.zeros(x.size, F32)
-    out[place] = hit - np.log(np.einsum("ij,ij->i", added, known))
-    return out.reshape(x.shape)
+
+def _member_weights(p: Params, base: np.ndarray, h: np.ndarray, before: np.ndarray, group: np.ndarray, at: list[slice]):
+    """The same for the members of each place's group; the places are in the order of their groups."""
+    added = np.empty((len(h), MEMBERS), h.dtype)
+    for g, some in enumerate(at):
+        np.matmul(h[some], p["members"][g], out=added[some])
+        added[some] += p["members_bias"][g]
+    row = before.astype(np.int64) * (1 + GROUPS) + 1 + group
+    return _weights(added, np.take(base.reshape(-1, MEMBERS), row, axis=0, mode="clip"))
+
+
+def log_probs(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, start: int) -> np.ndarray:
+    """Log probability of each target class from place `start` of each window on."""
+    h = layers(p, x, start)[-1]
+    before, goal = x[:, start:].reshape(-1), target[:, start:].reshape(-1)
+    group, member = goal // MEMBERS, goal % MEMBERS
+    place = np.arange(len(goal))
+    found, total = _group_weights(p, base, h, before)
+    share = found[place, group] / total
+    order, at = _by_group(group)
+    found, total = _member_weights(p, base, h[order], before[order], group[order], at)
+    share[order] *= found[place, member[order]] / total
+    return np.log(share + F32(1e-37)).reshape(len(x), -1)
+
+
+def _sum(rows: np.ndarray) -> np.ndarray:
+    """The sum of the rows, as a product: cheaper than a reduction along short rows."""
+    return np.ones(len(rows), rows.dtype) @ rows
 
 
 def step(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> tuple[float, Params]:
     """Mean loss over the wanted places of a batch of windows, and its gradient."""
     e, q, k, v, a, c, r, u, h = layers(p, x)
-    n = max(1, int(wanted.sum()))
-    logits = h @ p["out"]
-    logits += (base + p["bias"])[x]
-    logits -= logits.max(axis=2, keepdims=True)
-    np.exp(logits, out=logits)
-    share = 1 / np.einsum("bij->bi", logits)
-    b, t = np.arange(len(x))[:, None], np.arange(x.shape[1])
-    loss = -float((np.log(logits[b, t, target] * share + 1e-30) * wanted).sum()) / n
-    g = logits
-    weight = wanted.astype(logits.dtype) / logits.dtype.type(n)
-    g *= (share * weight)[:, :, None]
-    g[b, t, target] -= weight
+    d = WIDTH
+    before, goal = x.reshape(-1), target.reshape(-1)
+    weight = wanted.reshape(-1).astype(h.dtype) / h.dtype.type(max(1, int(wanted.sum())))
+    place = np.arange(len(goal))
+    group, member = goal // MEMBERS, goal % MEMBERS
     grad: Params = {}
 
-    def flat(y: np.ndarray) -> np.ndarray:
-        return y.reshape(-1, y.shape[-1])
-
-    grad["out"], grad["bias"] = flat(h).T @ flat(g), flat(g).sum(axis=0)
-    gh = g @ p["out"].T
-    grad["down"] = flat(u).T @ flat(gh)
-    gu = (gh @ p["down"].T) * (u > 0)
-    grad["up"], grad["up_bias"] = flat(r).T @ flat(gu), flat(gu).sum(axis=0)
-    gr = gh + gu @ p["up"].T
-    grad["o"] = flat(c).T @ flat(gr)
+    g, total = _group_weights(p, base, h, before)
+    loss = np.log(g[place, group] / total + 1e-30) @ weight
+    g *= (weight / total)[:, None]
+    g[place, group] -= weight
+    grad["groups"], grad["groups_bias"] = h.T @ g, _sum(g)
+    gh = g @ p["groups"].T
+
+    order, at = _by_group(group)
+    sorted_h, sorted_weight, sorted_member = h[order], weight[order], member[order]
+    g, total = _member_weights(p, base, sorted_h, before[order], group[order], at)
+    loss = -float(loss + np.log(g[place, sorted_member] / total + 1e-30) @ sorted_weight)
+    g *= (sorted_weight / total)[:, None]
+    g[place, sorted_member] -= sorted_weight
+    grad["members"], grad["members_bias"] = np.empty_like(p["members"]), np.empty_like(p["members_bias"])
+    back = np.empty_like(h)
+    for m, some in enumerate(at):
+        grad["members"][m] = sorted_h[some].T @ g[some]
+        grad["members_bias"][m] = _sum(g[some])
+        np.matmul(g[some], p["members"][m].T, out=back[some])
+    gh[order] += back
+
+    grad["down"] = u.T @ gh
+    gu = gh @ p["down"].T
+    gu *= u > 0
+    grad["up"], grad["up_bias"] = r.T @ gu, _sum(gu)
+    gr = gu @ p["up"].T
+    gr += gh
+    grad["o"] = c.T @ gr
     gc = gr @ p["o"].T
-    ga, gv = gc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ gc
-    gs = a * (ga - (ga * a).sum(axis=2, keepdims=True)) * _SCALE
-    gq, gk = gs @ k, gs.transpose(0, 2, 1) @ q
-    ge = gr.copy()
-    for name, y in (("q", gq), ("k", gk), ("v", gv)):
-        grad[name] = flat(e).T @ flat(y)
-        ge += y @ p[name].T
-    grad["places"] = ge.sum(axis=0)
-    grad["ids"] = np.zeros_like(p["ids"])
-    np.add.at(grad["ids"], x.reshape(-1), flat(ge))
+    mean = np.einsum("ij,ij->i", gc, c).reshape(len(x), -1, 1)
+    gc = gc.reshape(len(x), -1, d)
+    gs = gc @ v.transpose(0, 2, 1)
+    gs -= mean
+    gs *= a
+    gq = (gs @ k).reshape(-1, d)
+    gq *= _SCALE
+    gkv = np.empty((len(x), x.shape[1], 2 * d), h.dtype)
+    # The scale is in q already.
+    np.matmul(gs.transpose(0, 2, 1), q, out=gkv[:, :, :d])
+    np.matmul(a.transpose(0, 2, 1), gc, out=gkv[:, :, d:])
+    gkv, e = gkv.reshape(-1, 2 * d), e.reshape(-1, d)
+    grad["q"], grad["kv"] = e.T @ gq, e.T @ gkv
+    ge = gr
+    ge += gq @ p["q"].T
+    ge += gkv @ p["kv"].T
+    grad["places"] = _sum(ge.reshape(len(x), -1)).reshape(-1, d)
+    cell = (before.astype(np.int64) * d)[:, None] + np.arange(d)
+    grad["ids"] = np.bincount(cell.reshape(-1), ge.reshape(-1), p["ids"].size).reshape(-1, d).astype(h.dtype)
     return loss, grad
 
 
@@ -253,13 +307,12 @@ def score(p: Params, base: np.ndarray, vocabulary: Vocabulary, tail: np.ndarray,
     there, cells = vocabulary.tail_cells(y, (np.cumsum(size) - size)[size > 0])
     inside[there] = tail[cells]
     total = np.bincount(np.repeat(np.arange(len(ids)), size), inside, len(ids))
-    table = base + p["bias"]
-    shares = np.exp(table)
     x, y, start, text = windows_of(ids, vocabulary)
-    goal = vocabulary.of_class[np.maximum(y, 0)]
-    wanted = (y >= 0) & (np.arange(WINDOW) >= start[:, None])
-    for at in range(0, len(x), BATCH):
-        some = slice(at, at + BATCH)
-        found = log_probs(p, table, shares, x[some], goal[some], start[some]) * wanted[some]
-        total += np.bincount(text[some], found.sum(axis=1, dtype=np.float64), len(ids))
+    goal, wanted = vocabulary.of_class[np.maximum(y, 0)], y >= 0
+    for late in (0, OVERLAP):
+        windows = np.flatnonzero(start == late)
+        for at in range(0, len(windows), BATCH):
+            some = windows[at : at + BATCH]
+            found = log_probs(p, base, x[some], goal[some], late) * wanted[some, late:]
+            total += np.bincount(text[some], found.sum(axis=1, dtype=np.float64), len(ids))
     return total / np.log(10)

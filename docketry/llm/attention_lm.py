@@ -11,7 +11,8 @@ and 0x09-0x0D, with A-Z lower-cased; a text's words are followed by one end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,8 +31,8 @@ FREQUENT = 200_000
 SUMMED = 400_000
 # A part has windows for STEPS steps in each round, or up to twice as many; each of its windows is in one round.
 ROUNDS, STEPS, WINDOWS_PER_STEP, RATE = 4, 120, 96, 0.01
-# Ids that are handled together.
-TOGETHER = 1 << 15
+# Ids that are scored, and counted, together.
+TOGETHER, COUNTED = 1 << 15, 1 << 20
 
 
 def held_out(id_column: str) -> Column:
@@ -134,14 +135,14 @@ def read_texts(rows: DataFrame, base: Base, definition: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(read, ddl)
 
 
-def _id_lists(batch: pa.RecordBatch, kind: np.dtype) -> Iterator[list[np.ndarray]]:
+def _id_lists(batches: Iterable[pa.RecordBatch], kind: np.dtype, most: int) -> Iterator[list[np.ndarray]]:
     """The ids of each row, some rows at a time."""
     part: list[np.ndarray] = []
     size = 0
-    for raw in batch.column("ids"):
+    for raw in itertools.chain.from_iterable(batch.column("ids") for batch in batches):
         part.append(np.frombuffer(raw.as_buffer(), kind))
         size += len(part[-1])
-        if size >= TOGETHER:
+        if size >= most:
             yield part
             part, size = [], 0
     if part:
@@ -153,9 +154,8 @@ def _summed(frame: DataFrame, kind: np.dtype, cells, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for part in _id_lists(batch, kind):
-                total += np.bincount(cells(part), minlength=size)
+        for part in _id_lists(batches, kind, COUNTED):
+            total += np.bincount(cells(part), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
@@ -194,7 +194,7 @@ def train(texts: DataFrame, kind: np.dtype, size: int) -> Model:
 
     tail = vocabulary.tail_logs(_summed(texts, kind, tail_cells, (net.CLASSES + 1) * net.TAIL))
     seen = _summed(texts, kind, pairs, (net.INPUTS + 1) * net.CLASSES).reshape(-1, net.CLASSES).astype(float)
-    base = net.neighbour_logits(seen, seen.sum(axis=0))
+    base = net.neighbour_shares(seen, seen.sum(axis=0))
     params = net.first_params()
     wide = F.lit(np.dtype(kind).itemsize * net.WINDOW)
     total = texts.agg(F.sum(F.ceil(F.length("ids") / wide)).alias("n")).head().n or 0
@@ -256,10 +256,10 @@ def _round(windows: DataFrame, params: net.Params, base: np.ndarray, vocabulary,
         table = table.sort_by([("mark", "ascending"), ("window", "ascending")])
         opens = np.array(table.column("opens").to_pylist(), bool)
         x, target, wanted = _unpacked(table.column("window").to_pylist(), opens, kind, vocabulary.value)
-        start, logits = shared.value
+        start, known = shared.value
         rate = RATE * 0.6**number
         steps = -(-len(x) // WINDOWS_PER_STEP)
-        found = net.train(start, logits, x, target, wanted, steps, rate, number, WINDOWS_PER_STEP)
+        found = net.train(start, known, x, target, wanted, steps, rate, number, WINDOWS_PER_STEP)
         values = np.concatenate([found[name].reshape(-1) for name in sorted(found)]).astype(np.float64)
         return pa.table({"at": pa.array(np.arange(len(values))), "value": pa.array(values)})
 
@@ -286,7 +286,7 @@ def scored(texts: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            found = [net.score(m.params, m.base, m.vocabulary, m.tail, part) for part in _id_lists(batch, m.kind)]
+            found = [net.score(m.params, m.base, m.vocabulary, m.tail, part) for part in _id_lists([batch], m.kind, TOGETHER)]
             score = pa.array(np.concatenate([np.zeros(0), *found]))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], score], [*kept, "score"])
 

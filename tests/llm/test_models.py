@@ -287,7 +287,7 @@ def small_model(seed=0):
     chance = np.random.default_rng(seed)
     vocabulary = attention.Vocabulary.from_counts(chance.integers(0, 9, 500).astype(float))
     params = {k: (v + chance.standard_normal(v.shape) * 0.1).astype(np.float32) for k, v in attention.first_params().items()}
-    base = attention.neighbour_logits(np.zeros((attention.INPUTS + 1, attention.CLASSES)), np.ones(attention.CLASSES))
+    base = attention.neighbour_shares(np.zeros((attention.INPUTS + 1, attention.CLASSES)), np.ones(attention.CLASSES))
     tail = vocabulary.tail_logs(chance.integers(0, 3, (attention.CLASSES + 1) * attention.TAIL))
     return params, base, vocabulary, tail
 
@@ -302,6 +302,40 @@ def test_probabilities_sum_to_one_and_look_back_only():
     assert whole[0] > whole[1] > whole[2]
 
 
+def plain_score(params, base, vocabulary, tail, ids):
+    """log10 probability of a list of ids, place by place, with one window a place, from the definitions alone."""
+    p = {k: v.astype(float) for k, v in params.items()}
+    hop, total = attention.WINDOW - attention.OVERLAP, 0.0
+    inputs = [attention.INPUTS, *vocabulary.of_input[ids[:-1]].tolist()]
+    for at, token in enumerate(ids.tolist()):
+        begin = 0 if at < attention.WINDOW else (at - attention.OVERLAP) // hop * hop
+        e = [p["ids"][inputs[begin + j]] + p["places"][j] for j in range(at - begin + 1)]
+        keys, values = [y @ p["kv"][:, : attention.WIDTH] for y in e], [y @ p["kv"][:, attention.WIDTH :] for y in e]
+        heat = [math.exp(float(e[-1] @ p["q"] @ k) / math.sqrt(attention.WIDTH)) for k in keys]
+        r = e[-1] + sum(w * v for w, v in zip(heat, values, strict=True)) / sum(heat) @ p["o"]
+        h = r + np.maximum(r @ p["up"] + p["up_bias"], 0) @ p["down"]
+        group, member = divmod(int(vocabulary.of_class[token]), attention.MEMBERS)
+        known = base[inputs[at]].astype(float)
+        groups = known[0] * np.exp(h @ p["groups"] + p["groups_bias"])
+        members = known[1 + group] * np.exp(h @ p["members"][group] + p["members_bias"][group])
+        total += math.log(groups[group] / groups.sum()) + math.log(members[member] / members.sum())
+        place = vocabulary.of_tail[token]
+        before = vocabulary.of_class[ids[at - 1]] if at else attention.CLASSES
+        total += tail[before * attention.TAIL + place] if place >= 0 else vocabulary.log_share[token]
+    return total / math.log(10)
+
+
+def test_scores_are_those_of_a_plain_loop():
+    params, _, vocabulary, tail = small_model(2)
+    chance = np.random.default_rng(5)
+    seen = chance.integers(0, 4, (attention.INPUTS + 1, attention.CLASSES)).astype(float)
+    base = attention.neighbour_shares(seen, seen.sum(axis=0))
+    assert base[:, 0].sum(axis=1) == pytest.approx(np.ones(len(base)), rel=1e-5)
+    ids = [chance.integers(0, 500, n) for n in (0, 1, 31, 32, 33, 56, 57, 300)]
+    want = [plain_score(params, base, vocabulary, tail, y) if len(y) else 0.0 for y in ids]
+    assert attention.score(params, base, vocabulary, tail, ids).tolist() == pytest.approx(want, rel=1e-4)
+
+
 def test_every_id_is_scored_once():
     vocabulary = small_model()[2]
     for n in (1, 4, 5, 23, 24, 25, 44, 45, 64, 65, 200):
