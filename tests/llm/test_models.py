@@ -161,6 +161,14 @@ def test_registered_mixing_on_whole_table(spark, sf_dir):
     sizes = [sum(word_count(r.text) for r in rows if r.source == n) for n in names]
     want = dict(zip(names, filled(sizes, [(1, 2, 3)[k % 3] for k in range(len(names))], 3.0), strict=True))
     assert all(r.target == pytest.approx(want[of[r.doc_id]]) for r in got)
+    # Words and documents of each source come near what its target asks for, and no document is split.
+    for name, whole in zip(names, sizes, strict=True):
+        mine = [r for r in got if of[r.doc_id] == name]
+        share = want[name] / whole
+        times = [r.taken / r["size"] for r in mine if r["size"]]
+        assert all(t in (math.floor(share), math.ceil(share)) or t == round(share) for t in times)
+        assert abs(sum(r.taken for r in mine) - want[name]) <= max(r["size"] for r in mine)
+        assert abs(sum(times) - share * len(times)) <= 2
 
 
 def labelled(spark, rows, column="toxic"):
@@ -223,6 +231,55 @@ def test_sparse_places_are_drawn_towards_the_whole(spark):
     assert got[402].path_mean > 0.6  # a path without others follows its host
 
 
+def pulled(groups, mean_of, total):
+    """Weight of the mean above, from groups of (sum, number)."""
+    q = sum(n * (s / n - mean_of[k]) ** 2 / max(mean_of[k] * (1 - mean_of[k]), 1e-6) for k, (s, n) in groups.items())
+    if len(groups) < 2 or total <= len(groups):
+        return 10.0
+    alike = (q - len(groups)) / max(1e-9, total - sum(n * n for _, n in groups.values()) / total)
+    alike = min(0.999, max(1e-4, alike))
+    return (1 - alike) / alike
+
+
+def plain_posterior(rows, share):
+    """{id: (host_mean, path_mean, score)} by going over all rows for each group."""
+    p = {k: 1 / (1 + math.exp(-m)) for k, _, _, m in rows}
+    places, hosts = {}, {}
+    for k, host, path, _ in rows:
+        for groups, name in ((places, (host, path)), (hosts, host)):
+            s, n = groups.get(name, (0.0, 0))
+            groups[name] = (s + p[k], n + 1)
+    mean = (sum(p.values()) + share) / (len(rows) + 1)
+    by_host = pulled(hosts, dict.fromkeys(hosts, mean), len(rows))
+    host_mean = {k: (s + by_host * mean) / (n + by_host) for k, (s, n) in hosts.items()}
+    by_path = pulled(places, {k: host_mean[k[0]] for k in places}, len(rows))
+    out = {}
+    for k, host, path, margin in rows:
+        s, n = hosts[host]
+        h = (s - p[k] + by_host * mean) / (n - 1 + by_host)
+        s, n = places[host, path]
+        q = (s - p[k] + by_path * h) / (n - 1 + by_path)
+        kept = min(max(q, 1e-6), 1 - 1e-6)
+        logit = margin - math.log(share / (1 - share)) + math.log(kept / (1 - kept))
+        out[k] = (h, q, 1 / (1 + math.exp(-logit)))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 400])
+def test_posteriors_are_those_of_plain_sums(spark, n):
+    chance = np.random.default_rng(n)
+    hosts, paths = [None, "a", "b", "c", "d"], [None, "x", "y"]
+    lean = {h: float(chance.normal()) for h in hosts}
+    rows = []
+    for k in range(n):
+        host, path = hosts[min(int(chance.integers(0, 9)), 4)], paths[int(chance.integers(0, 3))]
+        rows.append((k, host, path, lean[host] + float(chance.normal())))
+    data = spark.createDataFrame(rows, "id long, host string, path string, margin double")
+    got = {r.id: (r.host_mean, r.path_mean, r.score) for r in site_quality.posterior(data, 0.3).collect()}
+    want = plain_posterior(rows, 0.3)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_quality_of_odd_rows(spark):
     docs, labels = labelled(spark, [(1, None, 1), (2, "", 0), (3, "a | b %%% " * 2000, 1), (None, "x", None)], "quality")
     docs = docs.withColumns({"source": F.lit(None).cast("string"), "lang": F.lit("en"), "s": F.lit(1)})
