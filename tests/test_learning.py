@@ -121,6 +121,24 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, n):
     assert got == want
 
 
+def test_no_candidate_lies_behind_the_reach_of_its_point(spark, monkeypatch):
+    """What a search writes out is bounded by each point's k-th distance in its own block, not by the blocks it visits."""
+    monkeypatch.setattr(balance, "BLOCK_POINTS", 64)
+    frame, vectors = points(spark, 900, 1)
+    blocks = balance._point_blocks(frame, 5)
+    reach = {p: r for b in blocks.collect() for p, r in zip(b["points"], b["reaches"])}
+    got = balance._candidates(blocks, 5).collect()
+    assert all(r["distance"] <= reach[r["point"]] for r in got)
+    d = ((vectors[:, None, :] - vectors[None, :, :]) ** 2).sum(axis=2).astype(float)
+    np.fill_diagonal(d, np.inf)
+    asked = {}
+    for r in got:
+        assert r["distance"] == d[r["point"], r["near"]]
+        asked.setdefault(r["point"], set()).add(r["near"])
+    assert all(set(np.argsort(d[i], kind="stable")[:5]) <= asked[i] for i in range(len(d)))
+    assert len(got) < 5 * len(d) * blocks.count() / 2
+
+
 def test_smote_balances_between_neighbours(spark):
     rows = [
         {"filing_year": 2010 + i % 3, "filing_month": i % 12, "filing_day_of_week": i % 7, "hearing_span_days": i,
