@@ -41,8 +41,10 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     rows count each; other columns do not matter. Runs are counted within tasks before they are moved.
     """
     runs = docs.select(F.col("doc_id"), F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(RUN), F.lit(0))).alias("run"))
+    # Of plain letters alone this is what translate gives, which looks up each character.
+    plain = F.octet_length("run") == F.length("run")
     lowered = runs.select(
-        F.translate("run", UPPER, LOWER).alias("run"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")
+        F.when(plain, F.lower("run")).otherwise(F.translate("run", UPPER, LOWER)).alias("run"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")
     )
     hashed = lowered.select("run", F.crc32(F.concat("id", F.lit(":"), "run")).alias("h"), F.length("run").alias("size"))
     at = (F.col("h") % F.col("size")).cast("int")
@@ -150,8 +152,12 @@ def near_words(words: DataFrame) -> DataFrame:
 
     pairs = pairs.select(forwards("word").alias("word"), "n", forwards("other.word").alias("other"), F.col("other.n").alias("other_n"))
     pairs = pairs.filter(F.levenshtein("word", "other", 1) == 1)
-    turned = pairs.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    return pairs.unionByName(turned).distinct()
+    # Both directions from one reading of the levels.
+    there, back = (
+        F.struct(F.col(a).alias("word"), F.col(f"{m}n").alias("n"), F.col(b).alias("other"), F.col(f"{k}n").alias("other_n"))
+        for a, m, b, k in (("word", "", "other", "other_"), ("other", "other_", "word", ""))
+    )
+    return pairs.select(F.inline(F.array(there, back))).distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
