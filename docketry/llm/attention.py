@@ -117,150 +117,209 @@ def first_params(seed: int = 1) -> Params:
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), F32))
 _SCALE = F32(1 / np.sqrt(WIDTH))
 # Exponents lie between this and its negative.
-_MOST = 40
+_MOST = F32(40)
+# Places of a product: larger products of such short rows cost up to twice as much a row.
+_ROWS = 256
+# Sums over the places a place looks back to, one for each column of what it looks at.
+_ALL = np.ones((WINDOW, WIDTH), F32)
+# Which half of a row of outputs is that of the groups, and which that of the members.
+_HALVES = np.repeat(np.eye(2, dtype=F32), MEMBERS, axis=0)
+_SPREAD = np.ascontiguousarray(_HALVES.T)
 
 
-def layers(p: Params, x: np.ndarray, start: int = 0):
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for many rows, some at a time: much cheaper than in one for results this small."""
+    n = len(a) // _ROWS
+    full = n * _ROWS
+    out = (a[:full].reshape(n, _ROWS, -1).transpose(0, 2, 1) @ b[:full].reshape(n, _ROWS, -1)).sum(axis=0) if n else 0
+    return out + a[full:].T @ b[full:] if full < len(a) else out
+
+
+def _times(a: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """a @ weights for many rows, some at a time for the same reason."""
+    if len(a) % _ROWS:
+        return a @ weights
+    return (a.reshape(-1, _ROWS, a.shape[1]) @ weights).reshape(len(a), -1)
+
+
+def _turned(some: np.ndarray) -> np.ndarray:
+    """The rows of each window as columns, copied: products with them are cheaper then."""
+    return np.ascontiguousarray(some.transpose(0, 2, 1))
+
+
+def _heads(p: Params) -> np.ndarray:
+    """The weights of queries, scaled, keys and values side by side."""
+    return np.concatenate([p["q"] * _SCALE, p["kv"]], axis=1)
+
+
+def layers(p: Params, heads: np.ndarray, x: np.ndarray, start: int = 0):
     """What the layers make of places from `start` on in windows of input places; all steps, for the way back.
 
-    Steps before and behind attention are one row a place, so that all windows are one product.
+    Steps before and behind attention are one row a place, so that all windows are one product. Attention is divided by
+    its sums behind the product with the values, where rows are shorter.
     """
     n, d = len(x), WIDTH
-    e = np.take(p["ids"], x, axis=0, mode="clip")
+    e = p["ids"].take(x, axis=0, mode="clip")
     e += p["places"]
-    own = e[:, start:].reshape(-1, d)
-    q = (own @ (p["q"] * _SCALE)).reshape(n, -1, d)
-    kv = (e.reshape(-1, d) @ p["kv"]).reshape(n, -1, 2 * d)
-    k, v = kv[:, :, :d], kv[:, :, d:]
-    a = q @ k.transpose(0, 2, 1)
-    np.exp(np.clip(a, -_MOST, _MOST, out=a), out=a)
+    both = _times(e.reshape(-1, d), heads).reshape(n, -1, 3 * d)
+    q, k, v = both[:, start:, :d], both[:, :, d : 2 * d], both[:, :, 2 * d :]
+    a = q @ _turned(k)
+    a.clip(-_MOST, _MOST, out=a)
+    np.exp(a, out=a)
     a *= _SEEN[start:]
-    a /= np.einsum("bij->bi", a)[:, :, None]
+    total = (a @ _ALL).reshape(-1, d)
     c = (a @ v).reshape(-1, d)
+    c /= total
     r = c @ p["o"]
-    r += own
-    u = r @ p["up"]
+    r += e[:, start:].reshape(-1, d)
+    u = _times(r, p["up"])
     u += p["up_bias"]
-    np.maximum(u, 0, out=u)
-    h = u @ p["down"]
+    positive = (u > 0).astype(u.dtype)
+    u *= positive
+    h = _times(u, p["down"])
     h += r
-    return e, q, k, v, a, c, r, u, h
-
+    return e, q, k, v, a, total, c, r, positive, u, h
 
-def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[slice]]:
-    """The places in the order of their groups, and where each group's are in it."""
-    end = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
-    return np.argsort(group.astype(np.uint8), kind="stable"), [slice(a, b) for a, b in zip([0, *end[:-1]], end, strict=True)]
 
+def output_table(base: np.ndarray) -> np.ndarray:
+    """For each group and each input place before, in one row: the shares of the groups and of that group's members."""
+    out = np.empty((GROUPS, len(base), GROUPS + MEMBERS), base.dtype)
+    out[:, :, :GROUPS], out[:, :, GROUPS:] = base[:, 0], base[:, 1:].transpose(1, 0, 2)
+    return out.reshape(-1, GROUPS + MEMBERS)
 
-def _weights(added: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unscaled probabilities and their sums: what the layers add to the logits is a factor on what the counts say."""
-    np.clip(added, -_MOST, _MOST, out=added)
-    np.exp(added, out=added)
-    added *= known
-    return added, np.einsum("ij->i", added)
 
+def output_weights(p: Params) -> np.ndarray:
+    """For each group the weights of the groups and of its members side by side, the biases as a last row."""
+    out = np.empty((GROUPS, WIDTH + 1, GROUPS + MEMBERS), p["groups"].dtype)
+    out[:, :-1, :GROUPS], out[:, -1, :GROUPS] = p["groups"], p["groups_bias"]
+    out[:, :-1, GROUPS:], out[:, -1, GROUPS:] = p["members"], p["members_bias"]
+    return out
 
-def _group_weights(p: Params, base: np.ndarray, h: np.ndarray, before: np.ndarray):
-    added = h @ p["groups"]
-    added += p["groups_bias"]
-    return _weights(added, np.take(base[:, 0], before, axis=0, mode="clip"))
 
+def _outputs(weights: np.ndarray, table: np.ndarray, h: np.ndarray, before: np.ndarray, goal: np.ndarray):
+    """Unscaled probabilities of the groups and of the members of each place's group, with the places in the order of the groups.
 
-def _member_weights(p: Params, base: np.ndarray, h: np.ndarray, before: np.ndarray, group: np.ndarray, at: list[slice]):
-    """The same for the members of each place's group; the places are in the order of their groups."""
-    added = np.empty((len(h), MEMBERS), h.dtype)
-    for g, some in enumerate(at):
-        np.matmul(h[some], p["members"][g], out=added[some])
-        added[some] += p["members_bias"][g]
-    row = before.astype(np.int64) * (1 + GROUPS) + 1 + group
-    return _weights(added, np.take(base.reshape(-1, MEMBERS), row, axis=0, mode="clip"))
-
-
-def log_probs(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, start: int) -> np.ndarray:
-    """Log probability of each target class from place `start` of each window on."""
-    h = layers(p, x, start)[-1]
+    What the layers add to the logits is a factor on what the counts say. (order, where each group's places are, h, the
+    probabilities, their two sums a place, the wanted two of all places in the flat probabilities).
+    """
+    each = INPUTS + 1
+    row = goal // MEMBERS * each
+    row += before
+    # Row numbers of the table: in their order its rows lie near each other.
+    row = row.astype(np.uint16)
+    order = np.argsort(row, kind="stable")
+    row = row.take(order)
+    end = np.searchsorted(row, np.arange(1, GROUPS + 1) * each).tolist()
+    at = [slice(a, b) for a, b in zip([0, *end], end, strict=False)]
+    some = np.ones((len(h), WIDTH + 1), h.dtype)
+    some[:, :WIDTH] = h.take(order, axis=0)
+    found = np.empty((len(h), GROUPS + MEMBERS), h.dtype)
+    for part, w in zip(at, weights, strict=True):
+        np.matmul(some[part], w, out=found[part])
+    found.clip(-_MOST, _MOST, out=found)
+    np.exp(found, out=found)
+    found *= table.take(row, axis=0, mode="clip")
+    goal, place = goal.take(order), np.arange(0, found.size, GROUPS + MEMBERS)
+    wanted = place + goal // MEMBERS, place + (goal % MEMBERS + GROUPS)
+    return order, at, some, found, found @ _HALVES, wanted
+
+
+def log_probs(p: Params, weights: np.ndarray, table: np.ndarray, x: np.ndarray, target: np.ndarray, start: int) -> np.ndarray:
+    """Log probability of each target class from place `start` of each window on; `weights` and `table` are those of the outputs."""
+    h = layers(p, _heads(p), x, start)[-1]
     before, goal = x[:, start:].reshape(-1), target[:, start:].reshape(-1)
-    group, member = goal // MEMBERS, goal % MEMBERS
-    place = np.arange(len(goal))
-    found, total = _group_weights(p, base, h, before)
-    share = found[place, group] / total
-    order, at = _by_group(group)
-    found, total = _member_weights(p, base, h[order], before[order], group[order], at)
-    share[order] *= found[place, member[order]] / total
-    return np.log(share + F32(1e-37)).reshape(len(x), -1)
-
-
-def _sum(rows: np.ndarray) -> np.ndarray:
-    """The sum of the rows, as a product: cheaper than a reduction along short rows."""
-    return np.ones(len(rows), rows.dtype) @ rows
+    order, _, _, found, total, (group, member) = _outputs(weights, table, h, before, goal)
+    found = found.reshape(-1)
+    share = found.take(group) / total[:, 0]
+    share *= found.take(member) / total[:, 1]
+    out = np.empty_like(share)
+    out[order] = np.log(share + F32(1e-37))
+    return out.reshape(len(x), -1)
+
+
+def gradient(p: Params, table: np.ndarray, x: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> Params:
+    """The gradient of the mean loss over the wanted places of a batch of windows."""
+    heads, weights = _heads(p), output_weights(p)
+    steps = layers(p, heads, x)
+    before, d = x.reshape(-1), WIDTH
+    order, at, some, g, total, cells = _outputs(weights, table, steps[-1], before, target.reshape(-1))
+    weight = wanted.reshape(-1).take(order).astype(g.dtype)
+    weight /= g.dtype.type(max(1, int(wanted.sum())))
+    g *= (weight[:, None] / total) @ _SPREAD
+    flat = g.reshape(-1)
+    for k in cells:
+        flat[k] -= weight
+    found, back = np.empty_like(weights), np.empty((len(g), d), g.dtype)
+    # The weights without their bias, turned.
+    turned = np.ascontiguousarray(weights[:, :-1].transpose(0, 2, 1))
+    for part, w, out in zip(at, turned, found, strict=True):
+        mine = g[part]
+        np.matmul(some[part].T, mine, out=out)
+        np.matmul(mine, w, out=back[part])
+    groups = (np.ones(GROUPS, g.dtype) @ found.reshape(GROUPS, -1)).reshape(d + 1, -1)[:, :GROUPS]
+    grad = {"groups": groups[:-1], "groups_bias": groups[-1], "members": found[:, :-1, GROUPS:], "members_bias": found[:, -1, GROUPS:]}
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    gh = back.take(place, axis=0)
+
+    # Products with turned weights are dear, those with a turned copy of them are not.
+    back = {k: np.ascontiguousarray(p[k].T) for k in ("o", "up", "down")} | {"heads": np.ascontiguousarray(heads.T)}
+    found, ge = _layers_gradient(back, steps, gh)
+    grad |= found
+    grad["q"], grad["kv"] = grad["heads"][:, :d] * _SCALE, grad.pop("heads")[:, d:]
+    number, grad["ids"] = before.astype(np.int64), np.empty_like(p["ids"])
+    for k, column in enumerate(ge.T.astype(np.float64, order="C")):
+        grad["ids"][:, k] = np.bincount(number, column, len(p["ids"]))
+    return grad
+
+
+def _layers_gradient(turned: Params, steps, gh: np.ndarray) -> tuple[Params, np.ndarray]:
+    """The gradient of the layers' weights, and of the rows of input places, from the one behind the layers."""
+    e, q, k, v, a, total, c, r, positive, u, _ = steps
+    n, d = len(e), WIDTH
+    grad = {"down": _product(u, gh)}
+    gu = _times(gh, turned["down"])
+    gu *= positive
+    grad["up"], grad["up_bias"] = _product(r, gu), np.ones(len(gu), gu.dtype) @ gu
+    gr = _times(gu, turned["up"])
+    gr += gh
+    grad["o"] = _product(c, gr)
+    # With the means as a last column and a row of -1 behind the values, one product takes the means away.
+    less = np.empty((len(gr), d + 1), gr.dtype)
+    gc = less[:, :d]
+    np.divide(gr @ turned["o"], total, out=gc)
+    np.einsum("ij,ij->i", gc, c, out=less[:, d])
+    values = np.empty((n, d + 1, WINDOW), gr.dtype)
+    values[:, :d], values[:, d] = v.transpose(0, 2, 1), -1
+    gs = less.reshape(n, -1, d + 1) @ values
+    gs *= a
+    back = np.empty((n, WINDOW, 3 * d), gr.dtype)
+    np.matmul(gs, k, out=back[:, :, :d])
+    np.matmul(gs.transpose(0, 2, 1), q, out=back[:, :, d : 2 * d])
+    np.matmul(a.transpose(0, 2, 1), gc.reshape(n, -1, d), out=back[:, :, 2 * d :])
+    back = back.reshape(-1, 3 * d)
+    grad["heads"] = _product(e.reshape(-1, d), back)
+    ge = _times(back, turned["heads"])
+    ge += gr
+    grad["places"] = (np.ones(n, ge.dtype) @ ge.reshape(n, -1)).reshape(-1, d)
+    return grad, ge
 
 
 def step(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted: np.ndarray) -> tuple[float, Params]:
     """Mean loss over the wanted places of a batch of windows, and its gradient."""
-    e, q, k, v, a, c, r, u, h = layers(p, x)
-    d = WIDTH
-    before, goal = x.reshape(-1), target.reshape(-1)
-    weight = wanted.reshape(-1).astype(h.dtype) / h.dtype.type(max(1, int(wanted.sum())))
-    place = np.arange(len(goal))
-    group, member = goal // MEMBERS, goal % MEMBERS
-    grad: Params = {}
-
-    g, total = _group_weights(p, base, h, before)
-    loss = np.log(g[place, group] / total + 1e-30) @ weight
-    g *= (weight / total)[:, None]
-    g[place, group] -= weight
-    grad["groups"], grad["groups_bias"] = h.T @ g, _sum(g)
-    gh = g @ p["groups"].T
-
-    order, at = _by_group(group)
-    sorted_h, sorted_weight, sorted_member = h[order], weight[order], member[order]
-    g, total = _member_weights(p, base, sorted_h, before[order], group[order], at)
-    loss = -float(loss + np.log(g[place, sorted_member] / total + 1e-30) @ sorted_weight)
-    g *= (sorted_weight / total)[:, None]
-    g[place, sorted_member] -= sorted_weight
-    grad["members"], grad["members_bias"] = np.empty_like(p["members"]), np.empty_like(p["members_bias"])
-    back = np.empty_like(h)
-    for m, some in enumerate(at):
-        grad["members"][m] = sorted_h[some].T @ g[some]
-        grad["members_bias"][m] = _sum(g[some])
-        np.matmul(g[some], p["members"][m].T, out=back[some])
-    gh[order] += back
-
-    grad["down"] = u.T @ gh
-    gu = gh @ p["down"].T
-    gu *= u > 0
-    grad["up"], grad["up_bias"] = r.T @ gu, _sum(gu)
-    gr = gu @ p["up"].T
-    gr += gh
-    grad["o"] = c.T @ gr
-    gc = gr @ p["o"].T
-    mean = np.einsum("ij,ij->i", gc, c).reshape(len(x), -1, 1)
-    gc = gc.reshape(len(x), -1, d)
-    gs = gc @ v.transpose(0, 2, 1)
-    gs -= mean
-    gs *= a
-    gq = (gs @ k).reshape(-1, d)
-    gq *= _SCALE
-    gkv = np.empty((len(x), x.shape[1], 2 * d), h.dtype)
-    # The scale is in q already.
-    np.matmul(gs.transpose(0, 2, 1), q, out=gkv[:, :, :d])
-    np.matmul(a.transpose(0, 2, 1), gc, out=gkv[:, :, d:])
-    gkv, e = gkv.reshape(-1, 2 * d), e.reshape(-1, d)
-    grad["q"], grad["kv"] = e.T @ gq, e.T @ gkv
-    ge = gr
-    ge += gq @ p["q"].T
-    ge += gkv @ p["kv"].T
-    grad["places"] = _sum(ge.reshape(len(x), -1)).reshape(-1, d)
-    cell = (before.astype(np.int64) * d)[:, None] + np.arange(d)
-    grad["ids"] = np.bincount(cell.reshape(-1), ge.reshape(-1), p["ids"].size).reshape(-1, d).astype(h.dtype)
-    return loss, grad
+    table = output_table(base)
+    logs = log_probs(p, output_weights(p), table, x, target, 0)
+    return -float((logs * wanted).sum() / max(1, int(wanted.sum()))), gradient(p, table, x, target, wanted)
 
 
 def train(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted: np.ndarray, steps: int, rate: float, seed: int, batch: int = 64) -> Params:
     """Adam over batches of the windows, again and again in a fixed shuffled order."""
-    p = {k: v.copy() for k, v in p.items()}
-    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    # All weights lie in one row, so that a step changes them together.
+    flat = np.concatenate([v.reshape(-1) for v in p.values()])
+    ends = np.cumsum([v.size for v in p.values()]).tolist()
+    p = {k: flat[end - v.size : end].reshape(v.shape) for (k, v), end in zip(p.items(), ends, strict=True)}
+    first, second = np.zeros_like(flat), np.zeros_like(flat)
+    table = output_table(base)
     chance = np.random.default_rng(seed)
     order, at = chance.permutation(len(x)), 0
     for t in range(1, steps + 1):
@@ -268,12 +327,18 @@ def train(p: Params, base: np.ndarray, x: np.ndarray, target: np.ndarray, wanted
             order, at = chance.permutation(len(x)), 0
         some = order[at : at + batch]
         at += batch
-        _, grad = step(p, base, x[some], target[some], wanted[some])
+        grad = gradient(p, table, x.take(some, axis=0), target.take(some, axis=0), wanted.take(some, axis=0))
+        g = np.concatenate([grad[k].reshape(-1) for k in p])
         now = rate * min(1.0, t / 20)
-        for k, g in grad.items():
-            first[k] += F32(0.1) * (g - first[k])
-            second[k] += F32(0.01) * (g * g - second[k])
-            p[k] -= F32(now) * (first[k] / F32(1 - 0.9**t)) / (np.sqrt(second[k] / F32(1 - 0.99**t)) + F32(1e-8))
+        first += F32(0.1) * (g - first)
+        g *= g
+        g -= second
+        g *= F32(0.01)
+        second += g
+        np.divide(second, F32(1 - 0.99**t), out=g)
+        np.sqrt(g, out=g)
+        g += F32(1e-8)
+        flat -= F32(now) * (first / F32(1 - 0.9**t)) / g
     return p
 
 
@@ -299,8 +364,10 @@ def windows_of(ids: list[np.ndarray], vocabulary: Vocabulary):
     return x[place], np.where(inside, y[place], -1), np.where(begin > 0, OVERLAP, 0), text
 
 
-def score(p: Params, base: np.ndarray, vocabulary: Vocabulary, tail: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of each list of ids, in windows that overlap, each id scored once."""
+def score(
+    p: Params, base: np.ndarray, vocabulary: Vocabulary, tail: np.ndarray, ids: list[np.ndarray], table: np.ndarray | None = None
+) -> np.ndarray:
+    """log10 probability of each list of ids, in windows that overlap, each id scored once; `table` is `output_table(base)`."""
     size = np.array([len(y) for y in ids], np.int64)
     y = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
     inside = vocabulary.log_share[y].astype(np.float64)
@@ -309,10 +376,11 @@ def score(p: Params, base: np.ndarray, vocabulary: Vocabulary, tail: np.ndarray,
     total = np.bincount(np.repeat(np.arange(len(ids)), size), inside, len(ids))
     x, y, start, text = windows_of(ids, vocabulary)
     goal, wanted = vocabulary.of_class[np.maximum(y, 0)], y >= 0
+    weights, table = output_weights(p), output_table(base) if table is None else table
     for late in (0, OVERLAP):
         windows = np.flatnonzero(start == late)
         for at in range(0, len(windows), BATCH):
             some = windows[at : at + BATCH]
-            found = log_probs(p, base, x[some], goal[some], late) * wanted[some, late:]
+            found = log_probs(p, weights, table, x[some], goal[some], late) * wanted[some, late:]
             total += np.bincount(text[some], found.sum(axis=1, dtype=np.float64), len(ids))
     return total / np.log(10)

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,19 +182,20 @@ def train(texts: DataFrame, kind: np.dtype, size: int) -> Model:
     vocabulary = net.Vocabulary.from_counts(counts.astype(float))
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    def pairs(part: list[np.ndarray]) -> np.ndarray:
-        v, found = shared.value, []
-        for y in part:
-            before = np.concatenate([[net.INPUTS], v.of_input[y[:-1]]])
-            found.append(before.astype(np.int64) * net.CLASSES + v.of_class[y])
-        return np.concatenate(found)
+    pairs = (net.INPUTS + 1) * net.CLASSES
 
-    def tail_cells(part: list[np.ndarray]) -> np.ndarray:
-        size = np.array([len(y) for y in part])
-        return shared.value.tail_cells(np.concatenate(part), (np.cumsum(size) - size)[size > 0])[1]
+    def cells(part: list[np.ndarray]) -> np.ndarray:
+        """Pairs of an input place and the class behind it, and behind all pairs the cells of the tail."""
+        v, size, y = shared.value, np.array([len(y) for y in part]), np.concatenate(part)
+        begins = (np.cumsum(size) - size)[size > 0]
+        before = np.empty(len(y), np.int64)
+        before[1:] = v.of_input[y[:-1]]
+        before[begins] = net.INPUTS
+        return np.concatenate([before * net.CLASSES + v.of_class[y], pairs + v.tail_cells(y, begins)[1]])
 
-    tail = vocabulary.tail_logs(_summed(texts, kind, tail_cells, (net.CLASSES + 1) * net.TAIL))
-    seen = _summed(texts, kind, pairs, (net.INPUTS + 1) * net.CLASSES).reshape(-1, net.CLASSES).astype(float)
+    seen = _summed(texts, kind, cells, pairs + (net.CLASSES + 1) * net.TAIL)
+    tail = vocabulary.tail_logs(seen[pairs:])
+    seen = seen[:pairs].reshape(-1, net.CLASSES).astype(float)
     base = net.neighbour_shares(seen, seen.sum(axis=0))
     params = net.first_params()
     wide = F.lit(np.dtype(kind).itemsize * net.WINDOW)
@@ -204,31 +206,42 @@ def train(texts: DataFrame, kind: np.dtype, size: int) -> Model:
     return Model(params, base, vocabulary, tail, kind)
 
 
-def _marks(seed: int, ids: np.ndarray) -> np.ndarray:
-    """A number without order for each window of a text, other ones for other texts and other seeds."""
-    digest = int((ids * np.arange(1, len(ids) + 1)).sum())
-    n = -(-len(ids) // net.WINDOW)
-    first = mixed(np.array([(seed + digest) & (2**64 - 1)], np.uint64))
-    return (mixed(first + np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(1)).astype(np.int64)
+def _marks(seeds: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number without order for each window of some texts, other ones for other texts and other seeds; also the number
+    of the text of each window and that of the window in its text. The texts lie one behind the other in `ids`."""
+    place = np.arange(1, len(ids) + 1) - np.repeat(begin, size)
+    digest = np.concatenate([[0], np.cumsum(ids * place)])
+    n = -(-size // net.WINDOW)
+    text = np.repeat(np.arange(len(size)), n)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    first = mixed((seeds + digest[begin + size] - digest[begin]).view(np.uint64))
+    marks = mixed(first[text] + (number + 1).astype(np.uint64)) >> np.uint64(1)
+    return marks.astype(np.int64), text, number
 
 
 def _windows(texts: DataFrame, kind: np.dtype, parts: int, number: int) -> DataFrame:
     """(mark, part, opens, window) of the training windows of a round: their ids and, but at the beginning of a text, the
     one before them. Together the rounds have all windows, each in one."""
 
+    wide = np.dtype(kind).itemsize
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = np.dtype(kind).itemsize
         for batch in batches:
-            marks, opens, found = [np.zeros(0, np.int64)], [], []
-            for seed, raw in zip(batch.column("seed").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                own = _marks(seed, np.frombuffer(raw, kind).astype(np.int64))
-                here = np.flatnonzero(own // parts % ROUNDS == number)
-                marks.append(own[here])
-                for k in here.tolist():
-                    opens.append(k == 0)
-                    found.append(raw[max(0, k * net.WINDOW - 1) * wide : (k + 1) * net.WINDOW * wide])
-            mark = np.concatenate(marks)
-            columns = [pa.array(mark), pa.array(mark % parts), pa.array(opens, pa.bool_()), pa.array(found, pa.binary())]
+            column = batch.column("ids").cast(pa.large_binary())
+            _, offsets, raw = column.buffers()
+            ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // wide if len(column) else np.zeros(1, np.int64)
+            data = np.frombuffer(raw, kind, ends[-1])[ends[0] :] if ends[-1] else np.zeros(0, kind)
+            size, begin = np.diff(ends), ends[:-1] - ends[0]
+            marks, text, k = _marks(batch.column("seed").to_numpy(), data.astype(np.int64), begin, size)
+            here = np.flatnonzero(marks // parts % ROUNDS == number)
+            mark, text, k = marks[here], text[here], k[here]
+            first = np.maximum(k * net.WINDOW - 1, 0)
+            length = np.minimum((k + 1) * net.WINDOW, size[text]) - first
+            until = np.cumsum(length)
+            found = data[np.repeat(begin[text] + first - (until - length), length) + np.arange(until[-1] if len(until) else 0)]
+            offsets = np.concatenate([[0], until * wide]).astype(np.int32)
+            window = pa.Array.from_buffers(pa.binary(), len(mark), [None, pa.py_buffer(offsets), pa.py_buffer(found)])
+            columns = [pa.array(mark), pa.array(mark % parts), pa.array(k == 0), window]
             yield pa.RecordBatch.from_arrays(columns, ["mark", "part", "opens", "window"])
 
     return texts.select("seed", "ids").mapInArrow(cut, "mark long, part long, opens boolean, window binary")
@@ -241,10 +254,13 @@ def _unpacked(raw: list[bytes], opens: np.ndarray, kind: np.dtype, vocabulary: n
     ids = np.frombuffer(b"".join(raw), kind).astype(np.int64)
     place = (end - size + ~opens)[:, None] + np.arange(net.WINDOW)
     inside = place < end[:, None]
-    place = np.minimum(place, len(ids) - 1)
-    x = vocabulary.of_input[ids[np.maximum(place - 1, 0)]]
+    target = vocabulary.of_class[ids].take(place, mode="clip")
+    place -= 1
+    x = vocabulary.of_input[ids].take(place, mode="clip")
     x[opens, 0] = net.INPUTS
-    return np.where(inside, x, 0), np.where(inside, vocabulary.of_class[ids[place]], 0), inside.astype(np.float32)
+    x *= inside
+    target *= inside
+    return x, target, inside.astype(np.float32)
 
 
 def _round(windows: DataFrame, params: net.Params, base: np.ndarray, vocabulary, kind: np.dtype, parts: int, number: int) -> net.Params:
@@ -252,18 +268,26 @@ def _round(windows: DataFrame, params: net.Params, base: np.ndarray, vocabulary,
     spark = windows.sparkSession
     shared = spark.sparkContext.broadcast((params, base))
 
-    def fit(table: pa.Table) -> pa.Table:
+    def fit(table: pa.Table) -> pa.RecordBatch:
         table = table.sort_by([("mark", "ascending"), ("window", "ascending")])
-        opens = np.array(table.column("opens").to_pylist(), bool)
+        opens = table.column("opens").to_numpy()
         x, target, wanted = _unpacked(table.column("window").to_pylist(), opens, kind, vocabulary.value)
         start, known = shared.value
         rate = RATE * 0.6**number
         steps = -(-len(x) // WINDOWS_PER_STEP)
         found = net.train(start, known, x, target, wanted, steps, rate, number, WINDOWS_PER_STEP)
         values = np.concatenate([found[name].reshape(-1) for name in sorted(found)]).astype(np.float64)
-        return pa.table({"at": pa.array(np.arange(len(values))), "value": pa.array(values)})
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["at", "value"])
+
+    def fit_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [batch for batch in batches if batch.num_rows]
+        if found:
+            table = pa.Table.from_batches(found)
+            for part in pc.unique(table.column("part")).sort():
+                yield fit(table.filter(pc.equal(table.column("part"), part)))
 
-    trained = windows.repartition(parts, "part").groupBy("part").applyInArrow(fit, "at long, value double")
+    # A part is a task.
+    trained = windows.repartitionById(parts, F.col("part").cast("int")).mapInArrow(fit_parts, "at long, value double")
     # One row a weight.
     table = trained.groupBy("at").agg(F.avg("value").alias("value")).toArrow()
     if not table.num_rows:
@@ -285,8 +309,9 @@ def scored(texts: DataFrame, model: Model) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        table = net.output_table(m.base)
         for batch in batches:
-            found = [net.score(m.params, m.base, m.vocabulary, m.tail, part) for part in _id_lists([batch], m.kind, TOGETHER)]
+            found = [net.score(m.params, m.base, m.vocabulary, m.tail, part, table) for part in _id_lists([batch], m.kind, TOGETHER)]
             score = pa.array(np.concatenate([np.zeros(0), *found]))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], score], [*kept, "score"])
 

@@ -426,6 +426,77 @@ def test_each_training_id_is_stepped_on_once(spark):
     assert inputs[attention.INPUTS] == 12 and (inputs[:-1] == 2 * np.bincount(before, minlength=attention.INPUTS)).all()
 
 
+def test_counts_of_neighbours_and_tail_are_one_pass(spark, monkeypatch):
+    sizes, real = [], attention_lm._summed
+    monkeypatch.setattr(attention_lm, "_summed", lambda *given: sizes.append(given[-1]) or real(*given))
+    monkeypatch.setattr(attention_lm, "_round", lambda windows, params, *rest: params)
+    chance, kind = np.random.default_rng(6), np.dtype(np.uint16)
+    texts = [chance.integers(0, 400, n).astype(kind) for n in (0, 1, 2, 90, 400)]
+    data = spark.createDataFrame([(n, bytearray(y.tobytes())) for n, y in enumerate(texts)], "seed long, ids binary")
+    model = attention_lm.train(data, kind, 500)
+    assert len(sizes) == 2
+    v, seen = model.vocabulary, np.zeros((attention.INPUTS + 1, attention.CLASSES))
+    tail = np.zeros((attention.CLASSES + 1, attention.TAIL))
+    for y in (y.tolist() for y in texts):
+        for before, token in zip([None, *y], y, strict=False):
+            seen[attention.INPUTS if before is None else v.of_input[before], v.of_class[token]] += 1
+            if v.of_tail[token] >= 0:
+                tail[attention.CLASSES if before is None else v.of_class[before], v.of_tail[token]] += 1
+    assert np.array_equal(model.base, attention.neighbour_shares(seen, seen.sum(axis=0)))
+    assert np.array_equal(model.tail, v.tail_logs(tail.reshape(-1)))
+
+
+def test_each_part_of_a_round_is_a_task_and_is_not_sorted(spark, monkeypatch):
+    kind, frames = np.dtype(np.uint16), []
+    real = type(spark.range(1)).toArrow
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", lambda frame: frames.append(frame) or real(frame))
+    vocabulary, params = small_model()[2], attention.first_params()
+    base = attention.neighbour_shares(np.zeros((attention.INPUTS + 1, attention.CLASSES)), np.ones(attention.CLASSES))
+    data = spark.createDataFrame([(1, bytearray((np.arange(9000) % 500).astype(kind).tobytes()))], "seed long, ids binary")
+    windows = attention_lm._windows(data, kind, 3, 0)
+    found = attention_lm._round(windows, params, base, spark.sparkContext.broadcast(vocabulary), kind, 3, 0)
+    assert all(found[k].shape == v.shape and np.isfinite(found[k]).all() for k, v in params.items())
+    assert any((found[k] != params[k]).any() for k in params)
+    plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.replace("SortAggregate", "") and "FlatMapGroups" not in plan
+
+
+def test_windows_are_slices_of_their_texts(spark):
+    chance, kind = np.random.default_rng(8), np.dtype(np.uint16)
+    texts = [chance.integers(0, 500, n).astype(kind) for n in (0, 1, 32, 0, 33, 64, 1000, 0)]
+    seeds = [5, -(2**63), 2**63 - 1, 0, -1, 7, 7, 9]
+    rows = [(n, bytearray(y.tobytes())) for n, y in zip(seeds, texts, strict=True)]
+    data = spark.createDataFrame(rows, "seed long, ids binary").coalesce(1)
+    got = [r for number in range(attention_lm.ROUNDS) for r in attention_lm._windows(data, kind, 2, number).collect()]
+    want = [(k == 0, y[max(0, k - 1) : k + 32].tobytes()) for y in texts for k in range(0, len(y), 32)]
+    assert sorted((r.opens, bytes(r.window)) for r in got) == sorted(want)
+    assert len({r.mark for r in got}) == len(got) and all(r.part == r.mark % 2 for r in got)
+    assert attention_lm._windows(data.limit(0), kind, 2, 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 7, 8, 40])
+def test_training_is_adam_over_the_batches(n):
+    params, base, *_ = small_model(3)
+    chance = np.random.default_rng(n)
+    x = chance.integers(0, attention.INPUTS, (n, attention.WINDOW)).astype(np.int32)
+    y = chance.integers(0, attention.CLASSES, x.shape).astype(np.int32)
+    wanted = (chance.random(x.shape) < 0.9).astype(np.float32)
+    got = attention.train(params, base, x, y, wanted, 3, 0.01, 4, 16)
+    p, chance = {k: v.astype(float) for k, v in params.items()}, np.random.default_rng(4)
+    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    order, at = chance.permutation(n), 0
+    for t in range(1, 4):
+        if at >= n:
+            order, at = chance.permutation(n), 0
+        some, at = order[at : at + 16], at + 16
+        _, grad = attention.step(p, base.astype(float), x[some], y[some], wanted[some])
+        for k, g in grad.items():
+            first[k] += 0.1 * (g - first[k])
+            second[k] += 0.01 * (g * g - second[k])
+            p[k] -= 0.01 * min(1.0, t / 20) * first[k] / (1 - 0.9**t) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
+    assert all(np.abs(got[k] - p[k]).mean() < 2e-5 and np.abs(got[k] - p[k]).max() < 4e-3 for k in p)
+
+
 def test_gradients():
     params, base, *_ = small_model()
     params = {k: v.astype(np.float64) for k, v in params.items()}
