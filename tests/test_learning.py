@@ -207,6 +207,53 @@ def test_shapley_equals_permutations():
         assert values == pytest.approx(want / len(orders))
 
 
+def test_tables_of_attributions_equal_the_formula():
+    rng = np.random.default_rng(2)
+    width, games = 4, 60
+    feature = np.array([rng.permutation(6)[:width] for _ in range(games)])
+    low, high = rng.integers(0, 5, (games, width)).astype(float), rng.integers(5, 9, (games, width)).astype(float)
+    share = rng.random((games, width))
+    low[rng.random((games, width)) < 0.3], high[rng.random((games, width)) < 0.3] = -inf, inf
+    # Some paths are shorter, some have no step at all, and some steps are those of all training rows.
+    for short in range(20):
+        feature[short, short % 5 :], low[short, short % 5 :], high[short, short % 5 :], share[short, short % 5 :] = 0, -inf, inf, 1.0
+    share[20:25, 0] = 1.0
+    leaves = attribution.Leaves(rng.normal(size=games), feature, low, high, share)
+    x = np.vstack([rng.integers(-1, 11, (200, 6)), rng.random((50, 6)) * 9]).astype(float)
+    assert attribution.Explainer(leaves, 6).values(x) == pytest.approx(attribution.shapley_matrix(x, leaves), abs=1e-12)
+
+
+def test_all_training_rows_fit_the_classifiers(spark):
+    n = 100_300  # more than the cap of a year was
+    of = {
+        "ddl_case_id": F.concat(F.lit("c"), F.col("id")), "case_age_days": F.lit(9), "hearing_span_days": (F.col("id") % 700).cast("int"),
+        "filing_year": F.when(F.col("id") < n, 1998).when(F.col("id") == n, 1999).otherwise(2001), "delay_category": F.lit("Fast"),
+        "judge_position": F.lit("a"), "case_type": F.lit("civil"), "petitioner_gender": F.lit("male"),
+        "date_of_filing": F.lit(date(1998, 1, 5)), "is_resolved": F.lit(1),
+    }
+    rows = spark.range(n + 2).select(*[c.alias(name) for name, c in of.items()])
+    data = training.prepare(rows, new_folder(spark, "whole"), training.Settings(1998, 2000))
+    assert data.balanced.count() == data.train.count() == n
+    bounded = training.prepare(rows, new_folder(spark, "bounded"), training.Settings(1998, 2000, rows_per_year=50))
+    assert bounded.balanced.count() == 50 and bounded.train.count() == n
+
+
+def test_thresholds_of_the_forest_come_from_all_rows(spark):
+    """A threshold that few rows tell, which a sample of Spark's size hardly ever has."""
+    n = 70_000
+    value = F.when(F.col("id") < 3, 500 + F.col("id")).otherwise(F.col("id") % 2)
+    flat = {f: F.lit(0.0).alias(f) for f in model.FEATURES if f != "hearing_span_days"}
+    rows = spark.range(0, n, 1, 4).select(
+        value.cast("double").alias("hearing_span_days"), *flat.values(), F.when(F.col("id") == 1, 1).otherwise(0).alias("is_resolved")
+    )
+    learner = training.RandomForestClassifier(
+        labelCol="is_resolved", seed=1, maxBins=100, numTrees=5, maxDepth=3, bootstrap=False, featureSubsetStrategy="all"
+    )
+    scored = training.with_score(training.learned(learner, rows, "is_resolved"), rows)
+    high = {r["hearing_span_days"]: r["score"] for r in scored.filter("hearing_span_days >= 500").collect()}
+    assert high == {500.0: 0.0, 501.0: 1.0, 502.0: 0.0}
+
+
 @pytest.fixture(scope="module")
 def trained(spark, facts):
     root = new_folder(spark, "small")
